@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, minhash_dedup, mixing, piece_counts
+from . import byte_bpe, embedding_dedup, minhash_dedup, mixing, pii, piece_counts, quality_classifier, quality_rules, toxicity, warc
 from .common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), 4096)
 
@@ -24,6 +28,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -32,6 +40,18 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -9,6 +9,7 @@ import numpy as np
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_SIGN = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _VALUE = np.random.default_rng(20_240_517).integers(1, 1 << 62, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -23,16 +24,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """raw: all texts joined by a line feed; of each word start, end (bytes in raw) and doc."""
+    """raw: all texts joined by a line feed; of each word start, end (bytes in raw) and doc.
 
-    def __init__(self, texts: list[str], lower: bool = False):
+    bare: ASCII signs part words like blanks do.
+    """
+
+    def __init__(self, texts: list[str], lower: bool = False, bare: bool = False):
         encoded = [t.encode() for t in texts]
         raw = np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)
         self.raw = _LOWER[raw] if lower else raw
         lengths = np.array([len(x) + 1 for x in encoded], np.int64)
         self.doc_end = np.cumsum(lengths)
         self.doc_start = self.doc_end - lengths
-        self.solid = ~_BLANK[raw]
+        self.solid = ~(_SIGN if bare else _BLANK)[raw]
         edge = np.diff(self.solid.view(np.int8), prepend=np.int8(0), append=np.int8(0))
         self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         self.length = self.end - self.start

@@ -1,3 +1,68 @@
-STAGES = []
+"""A training corpus from raw documents: toxicity, near-duplicates, personal data, mixing, tokens.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of
+documents. run() writes each stage's result to the shared folder and rereads it as the next one's input.
+Nulls: a null text is clean, has no duplicates, no spans, no words and no tokens; a null doc_id is kept as
+long as the mix keeps it. An empty table stays empty through all stages.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tariffspark.llm import byte_bpe, minhash_dedup, mixing, pii, toxicity
+from tariffspark.llm.common import materialise, table
+
+#: Toxicity and near-duplicates cannot be said in SQL.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise NotImplementedError
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs whose doc_id is not among ids; null ids stay."""
+    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain rejects go."""
+    judged = toxicity.classify(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, judged.where("toxic"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents (five-word shingles, Jaccard of 0.8) the least doc_id stays."""
+    return _without(docs, minhash_dedup.near_duplicates(docs, size=5, percent=80).where("not kept"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Spans become the name of their kind; n_chars follows the text."""
+    done = pii.redact(docs, pii.find(docs))
+    return done.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate and its draw say; copies are rows alike."""
+    plan = mixing.mix(docs.select("doc_id", "text", "source")).where("copies > 0").select(F.col("doc_id").alias("_id"), "copies").dropDuplicates(["_id"])
+    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"])).select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")).drop("_copy")
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the bytes decoded from them, one row for each row of docs."""
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near-duplicates", drop_near_duplicates),
+    ("personal data", redact_personal_data),
+    ("mixing", mix_sources),
+    ("byte-level BPE", encode_tokens),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return docs

@@ -11,7 +11,9 @@ sig[k] = min over shingles x of P((S(x) + k) mod 2^32). Consecutive coordinates
    most, the likely original) and proposes (member, hub) pairs: linear in the bucket.
 3. Proposed pairs whose set sizes allow the threshold are verified on the full sets, recomputed from
    the texts of just these documents.
-4. Buckets whose members are still in several components are finished without a cap: their members
+4. Members other than the hub of a bucket that are still in several components get HUBS - 1 further hubs
+   in turn; a bucket of up to HUBS + 1 members is then settled.
+5. Larger buckets that are still in several components are finished without a cap: their members
    meet in tiles of bounded size (members of the bucket's largest component only meet the others),
    each tile is verified by products of incidence matrices and returns a forest of its links.
 
@@ -39,6 +41,9 @@ from .wordarrays import Words, mix64, sets_of
 
 BANDS, ROWS = 28, 7
 TILE = 256
+HUBS = 3
+#: Up to so many candidate ids (8 bytes each) are broadcast to pick their texts; more are joined by sorting.
+BROADCAST_IDS = 4_000_000
 
 
 def _scatter(x: np.ndarray) -> np.ndarray:
@@ -111,7 +116,10 @@ def _signed(docs: DataFrame, key: str, size: int, bands: int, rows: int) -> Data
 
 def _texts_of(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """(id, text), one row for each of ids(id)."""
-    return document_texts(docs, key).join(ids.select(F.col("id").alias(key)), key, "left_semi").groupBy(key).agg(F.min("text").alias("text")).withColumnRenamed(key, "id")
+    wanted = ids.select(F.col("id").alias(key))
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    return document_texts(docs, key).join(wanted, key, "left_semi").groupBy(key).agg(F.min("text").alias("text")).withColumnRenamed(key, "id")
 
 
 def _verify_pairs(pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -209,19 +217,25 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     member = materialise(member.join(crowd, "bucket"))
     pull = member.groupBy("id").agg(F.sum("crowd").alias("pull"))
     member = materialise(member.join(pull, "id"))
-    hub = member.groupBy("bucket").agg(F.max_by(F.struct("id", "n"), F.struct("pull", -F.col("id"))).alias("hub"))
-    fits = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
-    pairs = materialise(member.join(hub, "bucket").where(F.col("id") != F.col("hub.id")).where(fits).select(F.col("id").alias("u"), F.col("hub.id").alias("v")).distinct())
-    candidates = member.select("id").distinct()
-    texts = materialise(_texts_of(docs, key, candidates))
-    with_texts = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("left_text")), "u").join(texts.select(F.col("id").alias("v"), F.col("text").alias("right_text")), "v")
-    links = materialise(_verify_pairs(with_texts, size, percent))
-    found = materialise(components(links))
-    labelled = member.select("bucket", "id").join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    split = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rest = materialise(_rest(labelled.join(split, "bucket"), texts, size, percent))
-    if not rest.isEmpty():
-        found = materialise(components(links.union(rest)))
+    texts = materialise(_texts_of(docs, key, materialise(member.select("id").distinct())))
+    links = found = None
+    rest = member.withColumn("component", F.col("id"))
+    for _ in range(HUBS):
+        hub = rest.groupBy("bucket").agg(F.max_by(F.struct("id", "n", "component"), F.struct("pull", -F.col("id"))).alias("hub"))
+        rest = materialise(rest.join(hub, "bucket").where(F.col("id") != F.col("hub.id")))
+        fits = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
+        pairs = rest.where(fits & (F.col("component") != F.col("hub.component"))).select(F.col("id").alias("u"), F.col("hub.id").alias("v")).distinct()
+        with_texts = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("left_text")), "u").join(texts.select(F.col("id").alias("v"), F.col("text").alias("right_text")), "v")
+        fresh = materialise(_verify_pairs(with_texts, size, percent))
+        links = fresh if links is None else links.union(fresh)
+        if found is None or not fresh.isEmpty():
+            found = materialise(components(links))
+        rest = rest.drop("hub", "component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        split = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+        rest = materialise(rest.join(split, "bucket").select("id", "n", "bucket", "pull", "component"))
+    left = materialise(_rest(rest.select("bucket", "id", "component"), texts, size, percent))
+    if not left.isEmpty():
+        found = materialise(components(links.union(left)))
     by_set = signed.select(F.col(key).alias("doc"), "n_shingles", "set_a", "set_b")
     # A repeated id ties its sets together; with ids that do not repeat this is each document's own edge to its representative.
     ties = by_set.where("n_shingles > 0").join(reps.select("set_a", "set_b", "n_shingles", "rep"), ["set_a", "set_b", "n_shingles"]).select("doc", "rep")

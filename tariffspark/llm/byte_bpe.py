@@ -29,7 +29,9 @@ from .common import TwoGenerations, document_texts, sliced
 
 LONG_WORD = 192
 QUERY_BYTES = 1_000_000
-CACHED_CHUNKS = 500_000
+#: Slices and cache bound a worker's memory; executors keep idle workers while other stages need their heap.
+CACHED_CHUNKS = 250_000
+SLICE = 1 << 20
 #: A blank that follows white space: there the text can't be cut before the blank.
 _UNSAFE_CUT = regex.compile(r"\s\x20|^\x20")
 
@@ -217,7 +219,7 @@ def _coded(docs: DataFrame, path: str, pattern: str, key: str, schema: str, row,
         own = codec(path, pattern)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in sliced(texts, 4 << 20):
+            for a, b in sliced(texts, SLICE):
                 packed = own.encode(texts[a:b])
                 rows = list(map(row, packed, own.decode(packed) if decoded else packed))
                 yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), *map(pa.array, zip(*rows, strict=True))], names=names)
@@ -232,7 +234,7 @@ def decode(coded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> Da
         own = codec(path, pattern)
         for batch in batches:
             packed = [x or b"" for x in batch.column(1).to_pylist()]
-            for a, b in sliced(packed, 4 << 20):
+            for a, b in sliced(packed, SLICE):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(own.decode(packed[a:b]), pa.binary())], names=[key, "decoded"])
 
     return coded.select(F.col(key), F.col("ids")).mapInArrow(run, f"{key} {_type(coded, key)}, decoded binary")

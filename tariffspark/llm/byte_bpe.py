@@ -1,21 +1,25 @@
 """Byte-level BPE encoding and decoding with DuckDB recursive queries in each partition.
 
-Each partition holds one in-memory DuckDB with the merge table. Token-position rows of the
-words that a batch needs join that table; a recursive query contracts in every word the
-leftmost pair of minimum rank until nothing changes; an ordered aggregation over the
-resulting ids gives back bytes. Results per space-delimited chunk stay in a bounded cache.
-
-Nulls and empty texts: no tokens, empty bytes. Very long words (one run of letters or blanks) take a
-second recursive query that contracts all occurrences of the minimum-rank pair at once where
-that provably equals one-at-a-time contraction, and only the leftmost where it may not.
-Repeated rows are encoded each for itself; other columns, whatever their names, are not read.
+Each partition holds one in-memory DuckDB with the merge table. Token-position rows of the words that a
+batch needs join that table; a recursive query contracts in every word the leftmost pair of minimum rank
+until nothing changes; an ordered aggregation over the resulting ids gives back bytes. The recursion holds
+one row for each word (USING KEY), so its memory does not grow with the number of steps.
+
+A step takes further occurrences of the leftmost pair along, left to right. That equals one step for each,
+unless contracting makes a pair of the same or a lower rank: the next step sees such a pair and then redoes
+the step for the leftmost occurrence alone. Words are cut beforehand where two bytes meet that no token
+holds side by side, since nothing is ever merged across. Results per space-delimited chunk stay in a
+cache bounded by bytes, which idle workers drop.
+
+Nulls and empty texts: no tokens, empty bytes. Long words take the same query; it steps once for each pair
+that occurs, not for each occurrence. Repeated rows are encoded each for itself; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from array import array
 from collections.abc import Iterator, Sequence
 
 import duckdb
@@ -25,66 +29,52 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, document_texts, sliced
+from .common import TwoGenerations, document_texts, held, sliced, text_slices
 
-LONG_WORD = 192
-QUERY_BYTES = 1_000_000
-#: Slices and cache bound a worker's memory; executors keep idle workers while other stages need their heap.
-CACHED_CHUNKS = 500_000
-SLICE = 1 << 20
+QUERY_BYTES = 250_000
+#: Slices, queries and the two generations of the cache bound a worker's memory.
+CACHE_BYTES = 48 << 20
+SLICE = 1 << 19
+LONGEST_KEPT = 192
+#: Ids are private-use characters while words are contracted, so that a word's tokens are one string.
+BASE = 0xF0000
 #: A blank that follows white space: there the text can't be cut before the blank.
 _UNSAFE_CUT = regex.compile(r"\s\x20|^\x20")
 
-_CONTRACT = """
-WITH RECURSIVE state(word, toks) AS (
-  SELECT word, toks FROM fresh
-  UNION ALL
-  (WITH spots AS (
-     SELECT word, unnest(toks) AS tok, unnest(toks[2:]) AS right_tok, generate_subscripts(toks, 1) AS pos FROM state),
-   best AS (
-     SELECT word, min(rank::BIGINT << 20 | pos) AS pair
-     FROM spots JOIN merges ON tok = left_id AND right_tok = right_id GROUP BY word)
-   SELECT word, list_concat(list_append(toks[:(pair & 1048575) - 1], (pair >> 20)::INTEGER), toks[(pair & 1048575) + 2:])
-   FROM state JOIN best USING (word))
-)
-SELECT word, arg_min(toks, len(toks)) FROM state GROUP BY word
+#: Every way to part a token into two. chains: the token followed by its left part is no pair of this or a lower rank.
+_MERGES = f"""
+CREATE TABLE merges AS
+SELECT chr({BASE} + a.id) AS left_tok, chr({BASE} + b.id) AS right_tok, t.id AS rank, coalesce(longer.id, t.id + 1) > t.id AS chains
+FROM (SELECT id, bytes, unnest(range(1, length(bytes))) AS cut FROM vocabulary WHERE id >= 0) t
+JOIN vocabulary a ON a.bytes = left(t.bytes, cut)
+JOIN vocabulary b ON b.bytes = substr(t.bytes, cut + 1)
+LEFT JOIN vocabulary longer ON longer.bytes = t.bytes || left(t.bytes, cut)
 """
 
-#: For long words: the state is one list per word, replaced at each step.
-_CONTRACT_LONG = """
-WITH RECURSIVE state(word, toks) USING KEY (word) AS (
-  SELECT word, toks FROM fresh
+#: rank <= low: the last step of the word made such a pair, and is redone for one occurrence.
+_CONTRACT = f"""
+WITH RECURSIVE state(word, toks, earlier, pair, low) USING KEY (word) AS (
+  SELECT word, toks, '', '', -1 FROM fresh
   UNION
   (WITH spots AS (
-     SELECT word, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM state),
-   pairs AS (
-     SELECT word, pos, tok, lag(tok) OVER w AS before, lead(tok) OVER w AS right_tok, lead(tok, 2) OVER w AS after
-     FROM spots WINDOW w AS (PARTITION BY word ORDER BY pos)),
-   ranked AS (
-     SELECT pairs.*, rank, min(rank) OVER (PARTITION BY word) AS low
-     FROM pairs LEFT JOIN merges ON tok = left_id AND right_tok = right_id),
-   runs AS (
-     SELECT word, pos, before, after, low, pos - row_number() OVER (PARTITION BY word ORDER BY pos) AS run
-     FROM ranked WHERE rank = low),
-   picked AS (
-     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY word, run ORDER BY pos) AS nth FROM runs) WHERE nth % 2 = 1),
-   checked AS (
-     SELECT picked.word, picked.pos, low,
-            min(CASE WHEN least(coalesce(a.rank, 2147483647), coalesce(b.rank, 2147483647), coalesce(c.rank, 2147483647)) <= low
-                     THEN picked.pos END) OVER (PARTITION BY picked.word) AS stop
-     FROM picked
-     LEFT JOIN merges a ON a.left_id = before AND a.right_id = low
-     LEFT JOIN merges b ON b.left_id = low AND b.right_id = after
-     LEFT JOIN merges c ON c.left_id = low AND c.right_id = low),
-   taken AS (SELECT word, pos, low FROM checked WHERE stop IS NULL OR pos <= stop)
-   SELECT spots.word, list(coalesce(here.low, spots.tok) ORDER BY spots.pos)
-   FROM spots SEMI JOIN taken active ON spots.word = active.word
-   LEFT JOIN taken here ON here.word = spots.word AND here.pos = spots.pos
-   LEFT JOIN taken prior ON prior.word = spots.word AND prior.pos = spots.pos - 1
-   WHERE prior.pos IS NULL
-   GROUP BY spots.word)
+     SELECT word, unnest(parts) AS tok, unnest(parts[2:]) AS next_tok, generate_subscripts(parts, 1) AS pos
+     FROM (SELECT word, string_split(toks, '') AS parts FROM state)),
+   best AS (
+     SELECT word, min((rank::BIGINT << 33) | (pos::BIGINT << 1) | chains::BIGINT) AS k
+     FROM spots JOIN merges ON tok = left_tok AND next_tok = right_tok GROUP BY word),
+   found AS (
+     SELECT word, toks, earlier, pair, low, (k >> 33)::INTEGER AS rank, ((k >> 1) & 4294967295) AS pos, (k & 1) = 1 AS chains
+     FROM state JOIN best USING (word))
+   SELECT word,
+     CASE WHEN rank <= low THEN left(earlier, strpos(earlier, pair) - 1) || chr({BASE} + low) || substr(earlier, strpos(earlier, pair) + 2)
+          WHEN chains THEN replace(toks, substr(toks, pos, 2), chr({BASE} + rank))
+          ELSE left(toks, pos - 1) || chr({BASE} + rank) || substr(toks, pos + 2) END,
+     CASE WHEN rank <= low OR NOT chains THEN '' ELSE toks END,
+     CASE WHEN rank <= low OR NOT chains THEN '' ELSE substr(toks, pos, 2) END,
+     CASE WHEN rank <= low OR NOT chains THEN -1 ELSE rank END
+   FROM found)
 )
-SELECT word, toks FROM state
+SELECT toks FROM state ORDER BY word
 """
 
 #: One ordered aggregation over the ids of many texts; the row of id -1 stands between texts.
@@ -103,27 +93,23 @@ class Codec:
 
     def __init__(self, path: str, pattern: str):
         ranks = read_ranks(path)
+        if max(ranks.values()) >= 0x110000 - BASE:
+            raise ValueError("ids must fit the private-use planes")
         self.words_of = regex.compile(pattern).findall
         self.ranks = ranks
-        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        left, right, merged = [], [], []
-        for token, rank in ranks.items():
-            for cut in range(1, len(token)):
-                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
-                if a is not None and b is not None:
-                    left.append(a)
-                    right.append(b)
-                    merged.append(rank)
-        ints = lambda x: pa.array(x, pa.int32())
-        self._load("merges", left_id=ints(left), right_id=ints(right), rank=ints(merged))
-        self._load("vocabulary", id=ints([-1, *ranks.values()]), bytes=pa.array([_BETWEEN, *(t.decode("latin-1") for t in ranks)]))
-        self.chunks = TwoGenerations(CACHED_CHUNKS, LONG_WORD)
-
-    def _load(self, name: str, **columns) -> None:
-        self.db.register("loading", pa.table(columns))
-        self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM loading")
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.uint32)
+        # No temp_directory: batches fit into memory, and nothing is left on a machine's own disk.
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "allocator_flush_threshold": "1MB", "allocator_bulk_deallocation_flush_threshold": "1MB"})
+        self.db.register("loading", pa.table({"id": pa.array([-1, *ranks.values()], pa.int32()), "bytes": pa.array([_BETWEEN, *(t.decode("latin-1") for t in ranks)])}))
+        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM loading")
         self.db.unregister("loading")
+        self.db.execute(_MERGES)
+        raw, last = np.frombuffer(b"".join(ranks), np.uint8), np.cumsum([len(t) for t in ranks]) - 1
+        inside = np.ones(len(raw), bool)
+        inside[last] = False
+        self.meet = np.zeros((256, 256), bool)  # bytes that some token holds side by side
+        self.meet[raw[:-1][inside[:-1]], raw[1:][inside[:-1]]] = True
+        self.chunks = TwoGenerations(CACHE_BYTES, LONGEST_KEPT)
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """word -> its ids as little-endian uint32."""
@@ -131,27 +117,34 @@ class Codec:
         batch, size = [], 0
         for word in words:
             raw = word.encode()
-            if raw in self.ranks:
-                out[word] = self.ranks[raw].to_bytes(4, "little")
-            elif len(raw) > LONG_WORD:
-                out[word] = self._contract(_CONTRACT_LONG, [word], [raw])[word]
-            else:
-                batch.append((word, raw))
-                size += len(raw)
-                if size >= QUERY_BYTES:
-                    out.update(self._contract(_CONTRACT, *zip(*batch, strict=True)))
-                    batch, size = [], 0
+            rank = self.ranks.get(raw)
+            if rank is not None:
+                out[word] = rank.to_bytes(4, "little")
+                continue
+            batch.append((word, raw))
+            size += len(raw)
+            if size >= QUERY_BYTES:
+                out.update(self._contract(*zip(*batch, strict=True)))
+                batch, size = [], 0
         if batch:
-            out.update(self._contract(_CONTRACT, *zip(*batch, strict=True)))
+            out.update(self._contract(*zip(*batch, strict=True)))
         return out
 
-    def _contract(self, query: str, words: Sequence[str], raws: Sequence[bytes]) -> dict[str, bytes]:
-        ends = np.cumsum([0, *map(len, raws)], dtype=np.int32)
-        toks = pa.ListArray.from_arrays(ends, self.single[np.frombuffer(b"".join(raws), np.uint8)])
-        self.db.register("fresh", pa.table({"word": np.arange(len(raws), dtype=np.int32), "toks": toks}))
-        found = self.db.execute(query).fetchall()
+    def _contract(self, words: Sequence[str], raws: Sequence[bytes]) -> dict[str, bytes]:
+        flat, ends = np.frombuffer(b"".join(raws), np.uint8), np.cumsum([len(x) for x in raws])
+        cut = np.append(~self.meet[flat[:-1], flat[1:]], True)
+        cut[ends - 1] = True
+        piece_ends = np.flatnonzero(cut) + 1
+        toks = (self.single[flat] + np.uint32(BASE)).astype("<u4").tobytes().decode("utf-32-le").encode()
+        offsets = (4 * np.append(0, piece_ends)).astype(np.int64)  # such a character takes four bytes
+        given = pa.LargeStringArray.from_buffers(len(piece_ends), pa.py_buffer(offsets), pa.py_buffer(toks))
+        self.db.register("fresh", pa.table({"word": np.arange(len(piece_ends), dtype=np.int32), "toks": given}))
+        found = self.db.execute(_CONTRACT).fetchnumpy()["toks"].tolist()
         self.db.unregister("fresh")
-        return {words[i]: array("I", ids).tobytes() for i, ids in found}
+        ids = (np.frombuffer("".join(found).encode("utf-32-le"), "<u4") - np.uint32(BASE)).astype("<u4").tobytes()
+        upto = 4 * np.cumsum([0, *map(len, found)])
+        at = upto[np.append(0, np.searchsorted(piece_ends, ends) + 1)].tolist()
+        return {w: ids[a:b] for w, a, b in zip(words, at, at[1:], strict=False)}
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """The bytes of each text's packed ids; an id outside the vocabulary is an error."""
@@ -188,13 +181,11 @@ class Codec:
 
 
 _SEPARATOR = (-1).to_bytes(4, "little", signed=True)
-_codecs: dict[tuple[str, str], Codec] = {}
 
 
-def codec(path: str, pattern: str) -> Codec:
-    if (path, pattern) not in _codecs:
-        _codecs[path, pattern] = Codec(path, pattern)
-    return _codecs[path, pattern]
+def codec(path: str, pattern: str):
+    """The worker's codec, for the duration of a task."""
+    return held((path, pattern), lambda: Codec(path, pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
@@ -216,13 +207,12 @@ def _coded(docs: DataFrame, path: str, pattern: str, key: str, schema: str, row,
     names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in sliced(texts, SLICE):
-                packed = own.encode(texts[a:b])
-                rows = list(map(row, packed, own.decode(packed) if decoded else packed))
-                yield pa.RecordBatch.from_arrays([keys.slice(a, b - a), *map(pa.array, zip(*rows, strict=True))], names=names)
+        with codec(path, pattern) as own:
+            for batch in batches:
+                for a, b, texts in text_slices(batch.column(1), SLICE):
+                    packed = own.encode(texts)
+                    rows = list(map(row, packed, own.decode(packed) if decoded else packed))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *map(pa.array, zip(*rows, strict=True))], names=names)
 
     return document_texts(docs, key).mapInArrow(run, schema)
 
@@ -231,10 +221,10 @@ def decode(coded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> Da
     """(key, decoded: binary) of rows (key, ids: binary of little-endian uint32); null ids decode to nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        for batch in batches:
-            packed = [x or b"" for x in batch.column(1).to_pylist()]
-            for a, b in sliced(packed, SLICE):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(own.decode(packed[a:b]), pa.binary())], names=[key, "decoded"])
+        with codec(path, pattern) as own:
+            for batch in batches:
+                packed = [x or b"" for x in batch.column(1).to_pylist()]
+                for a, b in sliced(packed, SLICE):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(own.decode(packed[a:b]), pa.binary())], names=[key, "decoded"])
 
     return coded.select(F.col(key), F.col("ids")).mapInArrow(run, f"{key} {_type(coded, key)}, decoded binary")

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,11 +68,22 @@ def sliced(texts: list[str], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def text_slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, list[str]]]:
+    """(from, to, texts) of a string column, about `limit` bytes at a time, so that only these are Python objects."""
+    upto = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(column):
+        done = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, done + limit, side="right")))
+        yield start, end, column.slice(start, end - start).to_pylist()
+        start = end
+
+
 class TwoGenerations:
-    """Memory of results by key, at most 2 * limit of them: what was used since the last turnover survives it."""
+    """Memory of results by key, about 2 * limit bytes of them at most: what was used since the last turnover survives it."""
 
     def __init__(self, limit: int, longest: int):
-        self.limit, self.longest, self.new, self.old = limit, longest, {}, {}
+        self.limit, self.longest, self.new, self.old, self.size = limit, longest, {}, {}, 0
 
     def resolve(self, parts: list[list[str]], make: Callable[[list[str]], dict]) -> list[list]:
         """The value of every part; make gives those of the parts that aren't held. Keys over `longest` aren't kept."""
@@ -81,6 +99,55 @@ class TwoGenerations:
                     if g is None:
                         got[i] = found[own[i]]
             self.new.update(x for x in found.items() if len(x[0]) <= self.longest)
-            if len(self.new) > self.limit:
-                self.old, self.new = self.new, {}
+            self.size += ENTRY_BYTES * len(found) + 3 * sum(map(len, found))
+            if self.size > self.limit:
+                self.old, self.new, self.size = self.new, {}, 0
         return have
+
+
+#: What a key and a value take in a dict beside the key's characters.
+ENTRY_BYTES = 240
+#: Seconds without a task after which a worker drops what it holds.
+IDLE = 3.0
+
+
+class _Held:
+    value, users, timer = None, 0, None
+
+
+_held: dict[tuple, _Held] = {}
+_holding = threading.Lock()
+
+
+@contextmanager
+def held(key: tuple, make: Callable[[], object]) -> Iterator:
+    """An object that a Python worker keeps between its tasks and drops IDLE seconds after the last one.
+
+    Workers outlive their stage; while others need the executor's memory, idle ones hold nothing.
+    """
+    pa.set_memory_pool(pa.system_memory_pool())  # whose freed memory _drop can give back
+    with _holding:
+        own = _held.setdefault(key, _Held())
+        own.users += 1
+        if own.timer:
+            own.timer.cancel()
+        if own.value is None:
+            own.value = make()
+    try:
+        yield own.value
+    finally:
+        with _holding:
+            own.users -= 1
+            own.timer = threading.Timer(IDLE, _drop, (key,))
+            own.timer.daemon = True
+            own.timer.start()
+
+
+def _drop(key: tuple) -> None:
+    with _holding:
+        if key in _held and not _held[key].users:
+            del _held[key]
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc gives freed memory back only when told to
+    if trim:
+        trim(0)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_texts, materialise, sliced
+from .common import document_texts, materialise, sliced, text_slices
 from .components import components
 from .wordarrays import Words, mix64, sets_of
 
@@ -96,9 +96,8 @@ def _signed(docs: DataFrame, key: str, size: int, bands: int, rows: int) -> Data
     """(key, n_shingles, set_a, set_b, keys) of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in sliced(texts):
-                sets = sets_of(texts[a:b], size)
+            for a, b, texts in text_slices(batch.column(1)):
+                sets = sets_of(texts, size)
                 n = np.array([len(s) for s in sets], np.int64)
                 print_a = np.array([int(np.add.reduce(mix64(s))) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
                 print_b = np.array([int(np.bitwise_xor.reduce(mix64(s + np.uint64(0x5851F42D4C957F2D)))) if len(s) else 0 for s in sets], np.uint64).view(np.int64)

@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, document_texts, sliced
+from .common import TwoGenerations, document_texts, held, text_slices
 
-CACHED = 600_000
+CACHE_BYTES = 96 << 20
 KEPT_LENGTH = 64
 #: The longest run of blanks that is one piece; longer runs are cut into such pieces from the left.
 BLANK_RUN = 16
@@ -56,7 +56,7 @@ class PieceModel:
         order = np.argsort(keys)
         self.keys = np.append(np.array(keys, np.int64)[order], np.int64(1) << 62)
         self.ranks, self.merged = np.append(np.array(ranks, np.int64)[order], _NONE), np.append(np.array(merged, np.int64)[order], -1)
-        self.cache = TwoGenerations(CACHED, KEPT_LENGTH)
+        self.cache = TwoGenerations(CACHE_BYTES, KEPT_LENGTH)
 
     def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         key = left << 22 | right
@@ -144,24 +144,14 @@ class PieceModel:
         return [*out, " " * blanks] if blanks else out
 
 
-_models: dict[str, PieceModel] = {}
-
-
-def model(path: str) -> PieceModel:
-    if path not in _models:
-        _models[path] = PieceModel(path)
-    return _models[path]
-
-
 def count_tokens(docs: DataFrame, path: str, limit: int, key: str = "doc_id") -> DataFrame:
     """(key, n_bytes, n_tokens, over_limit: n_tokens > limit) for each row of docs(key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model(path)
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in sliced(texts, 4 << 20):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(own.count(texts[a:b]), pa.int64())], names=[key, "n_bytes", "n_tokens"])
+        with held((path,), lambda: PieceModel(path)) as own:
+            for batch in batches:
+                for a, b, texts in text_slices(batch.column(2), 4 << 20):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(own.count(texts), pa.int64())], names=[key, "n_bytes", "n_tokens"])
 
     sized = document_texts(docs, key).select(key, F.octet_length("text").cast("long").alias("n_bytes"), "text")
     counted = sized.mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, n_bytes long, n_tokens long")

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import document_texts, sliced
+from .common import document_texts, sliced, text_slices
 from .labelled import sample
 from .wordarrays import Words
 
@@ -195,9 +195,8 @@ def assess(docs: DataFrame, field: Field, share: float = SHARE, key: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in sliced(texts):
-                found = judge(texts[a:b], field, share)
+            for a, b, texts in text_slices(batch.column(1)):
+                found = judge(texts, field, share)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *[pa.array(found[c]) for c in names]], names=[key, *names])
 
     schema = f"{key} {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in names[:5]) + ", base_failed boolean, kept boolean, content_share double"

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_texts, sliced
+from .common import document_texts, sliced, text_slices
 from .labelled import sample
 from .wordarrays import Words, mix64
 
@@ -153,9 +153,8 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.5, key: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in sliced(texts):
-                p = chain.predict(texts[a:b])
+            for a, b, texts in text_slices(batch.column(1)):
+                p = chain.predict(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *[pa.array(p[:, j]) for j in range(p.shape[1])]], names=[key, *names])
 
     schema = f"{key} {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in names)

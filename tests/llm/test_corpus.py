@@ -180,3 +180,14 @@ def test_classifiers():
     chain = toxicity.fit(toxic[:40], good[:40])
     assert (chain.predict(toxic[40:])[:, -1] > 0.5).all() and (chain.predict([*good[40:], ""])[:, -1] < 0.5).all()
     assert (toxicity.fit([], good).predict(good)[:, -1] < 0.5).all()
+
+
+def test_byte_bpe_long_words():
+    path = tokenizers.path("byte_bpe_50k.tiktoken")
+    own = byte_bpe.Codec(path, tokenizers.PATTERN)
+    enc = tiktoken.Encoding("own", pat_str=tokenizers.PATTERN, mergeable_ranks=own.ranks, special_tokens={})
+    letters = lambda n, of: "".join(RNG.choice(of) for _ in range(n))
+    texts = ["a" * 20_001, "-" * 30_000, "ab" * 9_999, letters(20_000, "abcdefghijklmnopqrstuvwxyz"), letters(3_000, "etaoin"), letters(5_000, "的一是在不了"), " " * 9_999, letters(20_000, "ABCDwxyz0189+/"), *[letters(RNG.randint(2, 400), "aeinrst") for _ in range(200)]]
+    packed = own.encode(texts)
+    assert packed == [struct.pack(f"<{len(ids)}I", *ids) for ids in map(enc.encode_ordinary, texts)]
+    assert own.decode(packed) == [t.encode() for t in texts]

@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, document_texts, held, sliced, text_slices
+from .common import TwoGenerations, document_texts, held, sliced, text_slices, typed
 
 QUERY_BYTES = 250_000
 #: Slices, queries and the two generations of the cache bound a worker's memory.
@@ -190,21 +190,18 @@ def codec(path: str, pattern: str):
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """(key, ids: binary of little-endian uint32, n_tokens) for each row of docs(key, text)."""
-    return _coded(docs, path, pattern, key, f"{key} {_type(docs, key)}, n_tokens long, ids binary", lambda i, _: (len(i) // 4, i), decoded=False)
+    return _coded(docs, path, pattern, key, "n_tokens long, ids binary", lambda i, _: (len(i) // 4, i), decoded=False)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the bytes decoded from them."""
     digest = lambda x: hashlib.sha256(x).hexdigest()
-    return _coded(docs, path, pattern, key, f"{key} {_type(docs, key)}, n_tokens long, ids_sha256 string, decoded_sha256 string", lambda i, d: (len(i) // 4, digest(i), digest(d)))
+    return _coded(docs, path, pattern, key, "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda i, d: (len(i) // 4, digest(i), digest(d)))
 
 
-def _type(docs: DataFrame, key: str) -> str:
-    return docs.schema[key].dataType.simpleString()
-
-
-def _coded(docs: DataFrame, path: str, pattern: str, key: str, schema: str, row, decoded: bool = True) -> DataFrame:
-    names = [part.split()[0] for part in schema.split(", ")]
+def _coded(docs: DataFrame, path: str, pattern: str, key: str, fields: str, row, decoded: bool = True) -> DataFrame:
+    schema = typed(docs, key, fields)
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with codec(path, pattern) as own:
@@ -227,4 +224,4 @@ def decode(coded: DataFrame, path: str, pattern: str, key: str = "doc_id") -> Da
                 for a, b in sliced(packed, SLICE):
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(own.decode(packed[a:b]), pa.binary())], names=[key, "decoded"])
 
-    return coded.select(F.col(key), F.col("ids")).mapInArrow(run, f"{key} {_type(coded, key)}, decoded binary")
+    return coded.select(F.col(key), F.col("ids")).mapInArrow(run, typed(coded, key, "decoded binary"))

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -43,14 +44,26 @@ def _local_root(spark: SparkSession) -> str:
     return root
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost executors."""
+def materialise(df: DataFrame, *spent: DataFrame) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage, survives lost executors.
+
+    spent: earlier results of this function that nothing reads any more; their files go.
+    """
     spark = df.sparkSession
     path = shared_dir(spark)
     df.write.parquet(path)
+    for old in spent:
+        target = spark._jvm.org.apache.hadoop.fs.Path(old.inputFiles()[0].rpartition("/")[0]) if old.inputFiles() else None
+        if target is not None:
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def typed(docs: DataFrame, key: str, fields: str) -> StructType:
+    """The schema of (key, fields): the key's own type, then the fields of a DDL string."""
+    return StructType([StructField(key, docs.schema[key].dataType), *StructType.fromDDL(fields).fields])
+
+
 def document_texts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, text) with null texts as empty ones; further columns are left behind."""
     return docs.select(F.col(key), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = materialise(large)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        star = materialise(small)
+        star = materialise(small, star, large)
         now = _digest(star)
         if now == seen:
             break

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, document_texts, held, text_slices
+from .common import TwoGenerations, document_texts, held, text_slices, typed
 
 CACHE_BYTES = 96 << 20
 KEPT_LENGTH = 64
@@ -154,5 +154,5 @@ def count_tokens(docs: DataFrame, path: str, limit: int, key: str = "doc_id") ->
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(own.count(texts), pa.int64())], names=[key, "n_bytes", "n_tokens"])
 
     sized = document_texts(docs, key).select(key, F.octet_length("text").cast("long").alias("n_bytes"), "text")
-    counted = sized.mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, n_bytes long, n_tokens long")
+    counted = sized.mapInArrow(run, typed(docs, key, "n_bytes long, n_tokens long"))
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_texts, text_slices
+from .common import document_texts, text_slices, typed
 from .labelled import sample
 
 LIMIT = 2000
@@ -83,7 +83,7 @@ def score(docs: DataFrame, good: list[str], bad: list[str], prior: float = 0.5,
                 p = 1 / (1 + np.exp(-np.clip(slope * (x - centre) + intercept, -30, 30)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(p)], names=[key, "score"])
 
-    scored = document_texts(docs, key).mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, score double")
+    scored = document_texts(docs, key).mapInArrow(run, typed(docs, key, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

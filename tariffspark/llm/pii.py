@@ -1,36 +1,67 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame functions only.
 
-Base spans come from four patterns with checks (IP parts, Luhn, digit counts). Candidates are runs of
-blank-separated tokens that hold a digit or an at sign. A candidate that a base span overlaps is a seed
-instance of its kind. The words around a candidate are its lexical patterns (two words before; one
-before and one after). On the graph of distinct (pattern, instance) pairs two scores are refined in turn:
-a pattern's score for a kind is the mean score of its instances, if MIN_SEEDS distinct seeds support it;
-an instance's score is the best of its patterns' scores, a seed's is 1. After ROUNDS, instances of at
-least CONFIDENT for one kind, shaped like an identifier, are spans of that kind wherever they occur.
+Base spans come from four patterns with checks (IP parts, Luhn, digit counts). Candidates are blank-separated
+tokens with a digit or an at sign; numbers that only single blanks part are one. A candidate that holds a base
+span is a seed entity of its kind; a quoted hexadecimal string of 32 digits or more after an equals sign or a
+colon is a seed of the kind `secret`. The words around a candidate are its lexical patterns: two before, one
+before, one after, one on either side. Distinct (pattern, instance) pairs are the graph, scored in rounds:
+
+- a pattern's score for a kind is the mass of its instances of that kind (seeds 1, others their own score)
+  over the instances that count: those of another kind and those whose form cannot be of the kind, among them
+  numbers that failed its check, count fully, undecided ones UNKNOWN each. It needs the support of `min_seeds`
+  instances that are seeds or were accepted in an earlier round;
+- an instance's score is that of its best pattern among those of a kind its form allows; at `confident` it is
+  accepted, supports its other patterns from then on, and is a span of the kind wherever it occurs.
+
+The rounds end when nothing new is accepted, or after `rounds`. Seeds of `secret` are spans, too.
 
 Null and empty texts: no spans. Repeated rows: the same spans each. A text without candidates costs one
-scan. Only (key, text) are read; a null key is kept. Positions are code points, ends exclusive.
+scan; the work is linear in a text's length, and in its number of hits but for blocks of BLOCK hits, whatever
+the length of words. Only (key, text) are read; a null key is kept. Positions are code points, ends exclusive.
+Candidates that tie between kinds take the first listed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
 
-KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
+#: The four kinds of base spans, and one that only the method finds.
+KINDS = ("email", "ip", "card", "phone", "secret")
+SECRET = KINDS.index("secret")
+ROUNDS = 5
 MIN_SEEDS = 5
 CONFIDENT = 0.9
+UNKNOWN = 0.1
+BLOCK = 256
 #: The patterns of the base spans, with possessive and look-behind forms that keep Java's matcher linear and off the stack.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9]++(?:[\x20-][0-9]++)*+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-_TOKEN = r"[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-CANDIDATE = rf"(?<![^\x20\x09-\x0D]){_TOKEN}(?:\x20{_TOKEN})*+"
-_SHAPE = r"@|(?:[^0-9]*[0-9]){6}"
+_BLANK, _SOLID = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+_NUMBER = r"[0-9][0-9().-]*+"
+CANDIDATE = rf"(?<!{_SOLID})(?:[+(]*+{_NUMBER}(?:\x20\(?{_NUMBER})*+(?!{_SOLID})|[^\x20\x09-\x0D0-9@]*+[0-9@]{_SOLID}*+)"
+#: Signs around a candidate that are not part of it.
+_OPENING, _CLOSING = "\"'`<[{*#$%&|!", "\"'`>]}*#$%&|!.,;:?"
+_SEED_SECRET = r"^[\"'][0-9A-Fa-f]{32,}[\"']"
+#: Forms that an instance of a kind may have; a form of digits alone must also pass the kind's check.
+_FORMS = (
+    r"(?i)@|[-_.(\[]at[-_.)\]]",
+    r"^[0-9A-Fa-fXx*]*+(?:[.:][0-9A-Fa-fXx*]*+){3,}$",
+    r"^(?=.*[0-9])[0-9Xx*](?:[\x20-]?[0-9Xx*]){11,18}$",
+    r"^(?:[^0-9]*[0-9]){7,15}[^0-9]*$",
+    r"^(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9_+/=-]{8,}$",
+)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value worked out once, however often body's own lambdas mention it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _digits(hit: Column) -> Column:
@@ -62,22 +93,42 @@ def _is_phone(hit: Column) -> Column:
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _hits(text: Column, pattern: str, kind: int, passes) -> Column:
-    """Spans of the matches that pass; a cheap look at the text comes first."""
-    hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    steps = F.zip_with(hits, F.slice(gaps, 1, F.size(hits)), lambda h, g: F.struct(F.length(g).alias("gap"), F.length(h).alias("n"), passes(h).alias("ok")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+def _placed(steps: Column, place: Callable[[Column, Column], Column], kind: str) -> Column:
+    """place(step, start) for each of steps(gap, n, ..), starts being the running sum of gaps and lengths.
+
+    A fold that appends to an array copies it each time, so blocks of BLOCK are folded, and then their totals.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def run(all_steps: Column) -> Column:
+        n_blocks = F.ceil(F.size(all_steps) / BLOCK).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(all_steps, b * BLOCK + 1, F.lit(BLOCK)))
+        totals = F.transform(cut, lambda part: F.aggregate(part, F.lit(0), lambda t, x: t + x["gap"] + x["n"]))
+        starts = F.aggregate(totals, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda s, t: F.struct((s["at"] + t).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+        def fold(part: Column, first: Column) -> Column:
+            def step(state: Column, x: Column) -> Column:
+                at = state["at"] + x["gap"]
+                return F.struct((at + x["n"]).alias("at"), F.concat(state["out"], F.array(place(x, at))).alias("out"))
 
-    def step(state: Column, x: Column) -> Column:
-        at = state["at"] + x["gap"]
-        span = F.struct(at.alias("start"), F.lit(kind).alias("kind"), (at + x["n"]).alias("end"))
-        return F.struct((at + x["n"]).alias("at"), F.when(x["ok"], F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+            return F.aggregate(part, F.struct(first.alias("at"), none.alias("out")), step, lambda s: s["out"])
 
-    return F.aggregate(steps, start, step, lambda s: s["out"])
+        return F.flatten(F.zip_with(cut, starts, fold))
+
+    return _let(steps, lambda v: F.when(F.size(v) > 0, run(v)).otherwise(none))
+
+
+def _hits(text: Column, pattern: str, kind: int, passes) -> Column:
+    """Spans of the matches that pass."""
+    hits, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    steps = _let(hits, lambda h: F.zip_with(h, F.slice(gaps, 1, F.size(h)), lambda x, g: F.struct(F.length(g).alias("gap"), F.length(x).alias("n"), passes(x).alias("ok"))))
+    span = lambda x, at: F.struct(at.alias("start"), F.lit(kind).alias("kind"), (at + x["n"]).alias("end"), x["ok"].alias("ok"))
+    placed = _placed(steps, span, "struct<start:int,kind:int,end:int,ok:boolean>")
+    return F.transform(F.filter(placed, lambda s: s["ok"]), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
 
 
 def base_spans(text: Column) -> Column:
-    """array<struct<start, kind, end>> in order; kind is the place in KINDS."""
+    """array<struct<start, kind, end>> in order; kind is the place in KINDS. A cheap look at the text comes first."""
     none = F.array().cast(_SPAN)
     digit = text.rlike("[0-9]")
     return F.array_sort(
@@ -90,40 +141,72 @@ def base_spans(text: Column) -> Column:
     )
 
 
+_PLACE = "struct<start:int,hit:string,before:string,after:string>"
+
+
 def _candidates(text: Column) -> Column:
-    """array<struct<start, end, instance, patterns>>."""
+    """array<struct<start, hit, before, after>>: the candidates and what stands between them."""
     hits, gaps = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE, -1)
-    places = F.transform(hits, lambda h, i: F.struct(h.alias("hit"), F.get(gaps, i).alias("before"), F.get(gaps, i + 1).alias("after")))
-    last = lambda g, n: F.lower(F.regexp_extract(g, r"([^\x20\x09-\x0D]{1,40}[\x20\x09-\x0D]+){%d}$" % n, 0))
-    following = lambda g: F.lower(F.regexp_extract(g, r"^[\x20\x09-\x0D]+([^\x20\x09-\x0D]{1,40})(?![^\x20\x09-\x0D])", 1))
 
-    def step(state: Column, x: Column) -> Column:
-        at = state["at"] + F.length(x["before"])
-        end = at + F.length(x["hit"])
-        two, one, right = last(F.right(x["before"], F.lit(90)), 2), last(F.right(x["before"], F.lit(90)), 1), following(F.left(x["after"], F.lit(60)))
-        patterns = F.array_compact(F.array(F.when(two != "", F.concat(F.lit("2 "), two)), F.when((one != "") & (right != ""), F.concat(F.lit("1 "), one, F.lit("_ "), right))))
-        found = F.struct(at.alias("start"), end.alias("end"), F.xxhash64(x["hit"]).alias("instance"), x["hit"].rlike(_SHAPE).alias("shaped"), F.transform(patterns, lambda p: F.xxhash64(p)).alias("patterns"))
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(found)).alias("out"))
+    def steps(v: Column) -> Column:
+        around = F.zip_with(F.slice(v["gaps"], 1, F.size(v["hits"])), F.slice(v["gaps"], 2, F.size(v["hits"])), lambda b, a: F.struct(b.alias("before"), a.alias("after")))
+        return F.zip_with(v["hits"], around, lambda h, g: F.struct(F.length(g["before"]).alias("gap"), F.length(h).alias("n"), h.alias("hit"), g["before"].alias("before"), g["after"].alias("after")))
+
+    place = lambda x, at: F.struct(at.alias("start"), x["hit"].alias("hit"), x["before"].alias("before"), x["after"].alias("after"))
+    return _placed(_let(F.struct(hits.alias("hits"), gaps.alias("gaps")), steps), place, _PLACE)
+
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,instance:bigint,shaped:boolean,patterns:array<bigint>>>").alias("out"))
-    return F.aggregate(places, start, step, lambda s: s["out"])
+def _described(places: DataFrame) -> DataFrame:
+    """Rows (key, text_hash, start, hit, before, after) as (.., start, end, instance, seed, may, patterns).
+
+    may: a flag for each kind that the form allows.
+    """
+    c = F.col
+    last = lambda n: F.lower(F.regexp_extract("before", rf"(?<!{_SOLID})(?:{_SOLID}++{_BLANK}++){{{n}}}\z", 0))
+    two, one, right = last(2), last(1), F.lower(F.regexp_extract("after", rf"^{_BLANK}++({_SOLID}++)", 1))
+    near = F.array_compact(F.array(
+        F.when(two != "", F.concat(F.lit("2 "), two)), F.when(one != "", F.concat(F.lit("1 "), one)),
+        F.when(right != "", F.concat(F.lit("r "), right)), F.when((one != "") & (right != ""), F.concat(F.lit("b "), one, F.lit("_ "), right)),
+    ))
+    bare = F.ltrim(F.rtrim(c("hit"), F.lit(_CLOSING)), F.lit(_OPENING))
+    lead = F.length("hit") - F.length(F.ltrim(c("hit"), F.lit(_OPENING)))
+    base = F.get(base_spans(c("hit")), F.lit(0))["kind"]
+    secret = c("hit").rlike(_SEED_SECRET) & c("before").rlike(r"[=:]\x20?\z")
+    d = places.select("key", "text_hash", (c("start") + lead).alias("start"), bare.alias("bare"), F.transform(near, lambda p: F.xxhash64(p)).alias("patterns"), F.coalesce(base, F.when(secret, SECRET)).alias("seed"))
+    digits = _digits(c("bare"))
+    checked = [F.lit(True), ~c("bare").rlike(rf"^{IP}$"), ~(digits.rlike("^[0-9]{12,19}$") & ~c("bare").rlike("[Xx*]")), F.lit(True), F.lit(True)]
+    may = [c("bare").rlike(f) & ok for f, ok in zip(_FORMS, checked, strict=True)]
+    return d.where("bare <> ''").select("key", "text_hash", "start", (c("start") + F.length("bare")).alias("end"), F.xxhash64("bare").alias("instance"), "seed", F.array(*may).alias("may"), "patterns")
 
 
 def _discovered(candidates: DataFrame, rounds: int, min_seeds: int, confident: float) -> DataFrame:
-    """(instance, kind) of the instances that patterns vouch for; seeds are not among them."""
-    edges = materialise(candidates.select("instance", "seed", "shaped", F.explode("patterns").alias("pattern")).groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.max("shaped").alias("shaped")))
-    scores = edges.select("pattern", "instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).where("kind is not null")
-    accepted = None
+    """(instance, kind) of what the patterns vouch for; base seeds are not among them."""
+    n_kinds = len(KINDS)
+    pairs = candidates.select("instance", "seed", "may", F.explode("patterns").alias("pattern"))
+    edges = materialise(pairs.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.max("may").alias("may")))
+    open_edges = edges.where(F.col("seed").isNull())
+    scored, seen = None, None
     for _ in range(rounds):
-        total = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.count("seed").alias("n_seeds")).where(F.col("n_seeds") >= min_seeds)
-        by_kind = scores.groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
-        patterns = materialise(by_kind.join(total, "pattern").select("pattern", "kind", (F.col("mass") / F.col("n")).alias("score")).where("score > 0.5"))
-        fresh = edges.where("seed is null and shaped").select("pattern", "instance").join(patterns, "pattern")
-        accepted = materialise(fresh.groupBy("instance", "kind").agg(F.max("score").alias("score")))
-        known = edges.where("seed is null").select("pattern", "instance").join(accepted, "instance").select("pattern", "instance", "kind", "score")
-        scores = materialise(edges.where("seed is not null").select("pattern", "instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).union(known))
-    best = accepted.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("kind"))).alias("best"))
-    return best.where(F.col("best.score") >= confident).select("instance", (-F.col("best.kind")).alias("kind"))
+        if scored is None:
+            now = edges.select("pattern", "may", F.col("seed").alias("kind"), F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0).alias("score"))
+        else:
+            now = edges.join(scored, "instance", "left").select("pattern", "may", F.coalesce("seed", "kind").alias("kind"), F.when(F.col("seed").isNotNull(), 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"))
+        is_k = lambda k: F.coalesce(F.col("kind") == k, F.lit(False))
+        undecided = lambda k: F.col("kind").isNull() & F.get("may", F.lit(k))
+        weight = lambda k: F.when(is_k(k), F.greatest("score", F.lit(UNKNOWN))).when(undecided(k), UNKNOWN).otherwise(1.0)
+        per = [F.struct((F.sum(F.when(is_k(k), F.col("score")).otherwise(0.0)) / F.sum(weight(k))).alias("score"), F.count_if(is_k(k) & (F.col("score") >= confident)).alias("support"), F.lit(-k).alias("kind")) for k in range(n_kinds)]
+        best = F.array_max(F.filter(F.array(*per), lambda x: x["support"] >= min_seeds))
+        patterns = now.groupBy("pattern").agg(best.alias("best")).where(F.col("best.score") > 0.5)
+        patterns = materialise(patterns.select("pattern", F.round("best.score", 6).alias("score"), (-F.col("best.kind")).alias("kind")))
+        vouched = open_edges.join(patterns, "pattern").where(F.get("may", F.col("kind")))
+        top = vouched.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("kind"))).alias("best"))
+        scored = materialise(top.select("instance", F.col("best.score").alias("score"), (-F.col("best.kind")).alias("kind")))
+        total = scored.where(F.col("score") >= confident).agg(F.count("*"), F.sum(F.xxhash64("instance", "kind").cast("decimal(20,0)"))).first()
+        if total == seen:
+            break
+        seen = total
+    found = scored.where(F.col("score") >= confident).select("instance", "kind")
+    return found.union(edges.where(F.col("seed") == SECRET).select("instance", "seed").distinct())
 
 
 def find(docs: DataFrame, key: str = "doc_id", rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT) -> DataFrame:
@@ -133,38 +216,74 @@ def find(docs: DataFrame, key: str = "doc_id", rounds: int = ROUNDS, min_seeds:
     empty = F.array().cast(_SPAN)
     seen = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("text_hash"), F.when(hot, base_spans(text)).otherwise(empty).alias("base"), F.when(hot, _candidates(text)).alias("places"))
     seen = materialise(seen)
-    each = seen.where(F.size("places") > 0).select("key", "text_hash", "base", F.explode("places").alias("c"))
-    overlap = lambda s: (s["start"] < F.col("c.end")) & (s["end"] > F.col("c.start"))
-    seed = F.get(F.filter("base", overlap), F.lit(0))["kind"]
-    candidates = materialise(each.select("key", "text_hash", "c.start", "c.end", "c.instance", "c.shaped", "c.patterns", seed.alias("seed")))
-    found = _discovered(candidates, rounds, min_seeds, confident)
-    added = candidates.where("seed is null").join(found, "instance").groupBy("key", "text_hash").agg(F.collect_set(F.struct("start", "kind", "end")).alias("added"))
+    each = seen.where(F.size("places") > 0).select("key", "text_hash", F.explode("places").alias("c"))
+    candidates = materialise(_described(each.select("key", "text_hash", "c.start", "c.hit", "c.before", "c.after")))
+    found = materialise(_discovered(candidates, rounds, min_seeds, confident))
+    spans = candidates.where(F.col("seed").isNull() | (F.col("seed") == SECRET)).select("key", "text_hash", "start", "end", "instance").join(found, "instance")
+    added = spans.groupBy("key", "text_hash").agg(F.collect_set(F.struct("start", "kind", "end")).alias("added"))
     out = seen.select("key", "text_hash", "base").join(added.select(F.col("key").alias("k"), F.col("text_hash").alias("h"), "added"), F.col("key").eqNullSafe(F.col("k")) & (F.col("text_hash") == F.col("h")), "left")
     spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "added")))
     return out.select(F.col("key").alias(key), "text_hash", "base", spans.alias("spans"))
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Counts of base spans by kind, the base spans' hash, and all spans as text."""
+    """Counts of base spans by kind, the base spans' hash, all spans as text, and how many they are."""
     named = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1), s["start"], s["end"])), ",")
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
-    return found.select(key, *map(count, range(4)), F.sha2(named("base"), 256).alias("base_sha256"), named("spans").alias("spans"))
+    return found.select(key, *map(count, range(SECRET)), F.sha2(named("base"), 256).alias("base_sha256"), named("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
-def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
-    """docs with every span of the text replaced by its kind in angle brackets; other columns as they are.
+#: Texts are cut into parts of so many code points before spans are taken out of them: finding a place in a string costs its length.
+PART = 4096
 
-    Overlapping spans are replaced once, under the kind of the first. Null texts stay null.
-    """
-    spans = found.where(F.size("spans") > 0).select(F.col(key).alias("_key"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")).dropDuplicates(["_key", "_hash"])
-    joined = docs.join(spans, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("_hash")), "left")
+
+def _replaced(text: Column, spans: Column) -> Column:
+    """The text with the spans (in order, not empty) as labels; of overlapping ones the first names what they cover together."""
     label = lambda s: F.element_at(F.array(*[F.lit(f"<{k}>") for k in KINDS]), s["kind"] + 1)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    piece = "struct<start:int,end:int,label:string>"
+    none = F.array().cast(f"array<{piece}>")
+    parts = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / PART).cast("int")), lambda b: F.substr(text, b * PART + 1, F.lit(PART)))
+
+    def body(v: Column) -> Column:
+        # ends of what came before each span: a running maximum, in blocks
+        reach = _running_reach(v["spans"])
+        kept = F.zip_with(v["spans"], reach, lambda s, r: F.struct(s.alias("s"), r.alias("r")))
+
+        def slices(a: Column, b: Column) -> Column:
+            first, final = F.floor(a / PART).cast("int"), F.floor((b - 1) / PART).cast("int")
+            cut = F.transform(F.sequence(first, final), lambda k: _let(F.greatest(a, k * PART), lambda x: F.substr(F.element_at(v["parts"], k + 1), x - k * PART + 1, F.least(b, (k + 1) * PART) - x)))
+            return F.when(b > a, F.array_join(cut, "")).otherwise(F.lit(""))
+
+        before = F.transform(kept, lambda x: F.when(x["s"]["start"] >= x["r"], F.concat(slices(x["r"], x["s"]["start"]), label(x["s"]))).otherwise(F.lit("")))
+        last = F.array_max(F.transform(v["spans"], lambda s: s["end"]))
+        return F.concat(F.array_join(before, ""), slices(last, v["n"]))
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = F.concat(state["out"], F.substr("text", state["at"] + 1, s["start"] - state["at"]), label(s))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(s["start"] >= state["at"], fresh).otherwise(state["out"]).alias("out"))
+    return _let(F.struct(parts.alias("parts"), spans.alias("spans"), F.length(text).alias("n")), body)
 
-    done = F.aggregate("_spans", start, step, lambda s: F.concat(s["out"], F.substr(F.col("text"), s["at"] + 1, F.length("text"))))
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(done)
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in docs.columns])
+
+def _running_reach(spans: Column) -> Column:
+    """For each span the greatest end of those before it (0 for the first), block by block."""
+    none = F.array().cast("array<int>")
+    top = lambda part, first: F.aggregate(part, first, lambda m, s: F.greatest(m, s["end"]))
+    push = lambda s, end: F.struct(F.greatest(s["m"], end).alias("m"), F.concat(s["out"], F.array(s["m"])).alias("out"))
+    start = lambda m: F.struct(m.alias("m"), none.alias("out"))
+
+    def run(v: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / BLOCK).cast("int") - 1), lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))
+        tops = F.transform(cut, lambda part: top(part, F.lit(0)))
+        firsts = F.aggregate(tops, start(F.lit(0)), push, lambda s: s["out"])
+        return F.flatten(F.zip_with(cut, firsts, lambda part, m: F.aggregate(part, start(m), lambda s, x: push(s, x["end"]), lambda s: s["out"])))
+
+    return _let(spans, run)
+
+
+def redact(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """docs with every span of the text replaced by its kind in angle brackets; other columns as they are, whatever their names.
+
+    Overlapping spans are replaced once, under the kind of the first. Null texts stay null.
+    """
+    spans = found.where(F.size("spans") > 0).select(F.struct(F.col(key).alias("key"), "text_hash", "spans").alias("found")).dropDuplicates(["found"])
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(key).alias("key"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"))
+    joined = rows.join(spans, rows["key"].eqNullSafe(F.col("found.key")) & (rows["text_hash"] == F.col("found.text_hash")), "left")
+    text = F.when(F.col("found").isNull(), F.col("doc.text")).otherwise(_replaced(F.col("doc.text"), F.col("found.spans")))
+    return joined.select(*[text.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -5,24 +5,29 @@ shingles, and the second, shifted circularly by k, gives coordinate k:
 sig[k] = min over shingles x of P((S(x) + k) mod 2^32). Consecutive coordinates form bands.
 
 1. Signatures: one pass over the texts; a document leaves its set's size, a fingerprint of the
-   set and its band keys. Documents with the same set are collapsed at once (partial minimum), so a
-   group of copies, however large, is one representative from here on.
+   set and its band keys. Documents with the same set are collapsed at once (partial minimum): a group of
+   copies, however large, is one node from here on, and a node's text is one that has just its set.
 2. Every bucket of two or more names its most crowded member as hub (the one whose bands collide
-   most, the likely original) and proposes (member, hub) pairs: linear in the bucket.
+   most, the likely original) and proposes (member, hub) pairs: linear in the bucket. Members meet their
+   bucket's rows salted, so that a bucket's rows are dealt to several tasks.
 3. Proposed pairs whose set sizes allow the threshold are verified on the full sets, recomputed from
-   the texts of just these documents.
+   the texts of just these nodes.
 4. Members other than the hub of a bucket that are still in several components get HUBS - 1 further hubs
    in turn; a bucket of up to HUBS + 1 members is then settled.
 5. Larger buckets that are still in several components are finished without a cap: their members
    meet in tiles of bounded size (members of the bucket's largest component only meet the others),
    each tile is verified by products of incidence matrices and returns a forest of its links.
+6. Keys come in only now: a key with several sets ties them together, and each component is named by
+   its least key.
 
 Expected chance to propose a pair at the threshold itself is 1 - (1 - t^rows)^bands
 (defaults at 0.85: 0.99998). Shingles are compared as 64-bit hashes.
 
-Null and empty texts have the empty set: they link with nothing. Texts with fewer words than a
-shingle are one shingle. Rows that repeat an id are one node: linked if any of their texts is.
-Input columns other than the key and text are not read.
+Keys may be of any type that can be ordered. Null and empty texts have the empty set: they link with
+nothing. Texts with fewer words than a shingle are one shingle. Rows that repeat a key are one node: linked
+if any of their texts is; each row returns, with its own set's size. Rows with a null key return with a null
+component and are kept; they link nothing. Very long texts are taken whole. Input columns other than the key
+and text are not read.
 """
 
 from __future__ import annotations
@@ -35,15 +40,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_texts, materialise, sliced, text_slices
+from .common import document_texts, materialise, sliced, text_slices, typed
 from .components import components
 from .wordarrays import Words, mix64, sets_of
 
 BANDS, ROWS = 28, 7
 TILE = 256
 HUBS = 3
-#: Up to so many candidate ids (8 bytes each) are broadcast to pick their texts; more are joined by sorting.
-BROADCAST_IDS = 4_000_000
+#: Up to so many candidates (two longs and a key each) are broadcast to pick their texts; more are joined by sorting.
+BROADCAST_IDS = 1_000_000
+#: A bucket's members are dealt to SALTS tasks until its size is known, then to one for each SPLIT members.
+SALTS, SPLIT = 8, 512
 
 
 def _scatter(x: np.ndarray) -> np.ndarray:
@@ -93,10 +100,10 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, key: str, size: int, bands: int, rows: int) -> DataFrame:
-    """(key, n_shingles, set_a, set_b, keys) of each document."""
+    """(key, text_hash, n_shingles, set_a, set_b, keys) of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1)):
+            for a, b, texts in text_slices(batch.column(2)):
                 sets = sets_of(texts, size)
                 n = np.array([len(s) for s in sets], np.int64)
                 print_a = np.array([int(np.add.reduce(mix64(s))) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
@@ -108,17 +115,25 @@ def _signed(docs: DataFrame, key: str, size: int, bands: int, rows: int) -> Data
                     ends = np.zeros(len(sets) + 1, np.int32)
                     ends[1:] = np.cumsum((n > 0) * bands)
                     keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(n), pa.array(print_a), pa.array(print_b), keys], names=[key, "n_shingles", "set_a", "set_b", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(n), pa.array(print_a), pa.array(print_b), keys], names=schema.names)
 
-    return document_texts(docs, key).mapInArrow(run, f"{key} long, n_shingles long, set_a long, set_b long, keys array<long>")
+    given = _hashed(docs, key).select("key", "text_hash", "text")
+    schema = typed(given, "key", "text_hash long, n_shingles long, set_a long, set_b long, keys array<long>")
+    return given.mapInArrow(run, schema)
 
 
-def _texts_of(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """(id, text), one row for each of ids(id)."""
-    wanted = ids.select(F.col("id").alias(key))
+def _hashed(docs: DataFrame, key: str) -> DataFrame:
+    """(key, text, text_hash); text_hash tells the texts of one key apart."""
+    return document_texts(docs, key).toDF("key", "text").withColumn("text_hash", F.xxhash64("text"))
+
+
+def _texts_of(docs: DataFrame, key: str, nodes: DataFrame) -> DataFrame:
+    """(id, text), one row for each of nodes(id, first: struct of key and text_hash)."""
+    wanted = nodes.select("id", F.col("first.key").alias("own_key"), F.col("first.text_hash").alias("text_hash"))
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    return document_texts(docs, key).join(wanted, key, "left_semi").groupBy(key).agg(F.min("text").alias("text")).withColumnRenamed(key, "id")
+    found = _hashed(docs, key).join(wanted, "text_hash").where(F.col("key").eqNullSafe(F.col("own_key")))
+    return found.groupBy("id").agg(F.min("text").alias("text"))
 
 
 def _verify_pairs(pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -203,46 +218,71 @@ def _rest(open_members: DataFrame, texts: DataFrame, size: int, percent: int) ->
     return placed.groupBy("bucket", "unit").applyInPandas(run, "u long, v long")
 
 
+def _parts(crowd) -> F.Column:
+    """Into how many parts a bucket's members are dealt."""
+    return F.greatest(F.lit(1), F.ceil(crowd / SPLIT)).cast("int")
+
+
+def _own_part() -> F.Column:
+    return F.pmod(F.xxhash64("id"), _parts(F.col("crowd")))
+
+
+def _every_part(n: F.Column) -> F.Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(key, n_shingles, component_id, kept) for each row of docs(key, text).
 
     Linked: 100 * |A & B| >= percent * |A | B| for the sets of distinct lower-cased (A-Z) shingles of `size` words.
     component_id: the least key reachable by links; kept: it is the row's own key.
     """
-    signed = materialise(_signed(docs.where(F.col(key).isNotNull()), key, size, bands, rows))
-    reps = materialise(signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min(key).alias("rep"), F.any_value("keys").alias("keys")))
-    member = reps.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
-    crowd = member.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
-    member = materialise(member.join(crowd, "bucket"))
+    fingerprint = ["set_a", "set_b", "n_shingles"]
+    signed = materialise(_signed(docs, key, size, bands, rows))
+    some = signed.where("key is not null and n_shingles > 0")
+    sets = some.groupBy(*fingerprint).agg(F.min(F.struct("key", "text_hash")).alias("first"), F.any_value("keys").alias("keys"))
+    sets = materialise(sets.withColumn("id", F.monotonically_increasing_id()))  # fixed by being written
+    drawn = sets.select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("bucket"))
+    crowd = drawn.groupBy("bucket").agg(F.count("*").alias("crowd")).where("crowd > 1")
+    dealt = drawn.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    member = materialise(dealt.join(crowd.withColumn("part", _every_part(F.lit(SALTS))), ["bucket", "part"]).drop("part"))
     pull = member.groupBy("id").agg(F.sum("crowd").alias("pull"))
-    member = materialise(member.join(pull, "id"))
-    texts = materialise(_texts_of(docs, key, materialise(member.select("id").distinct())))
+    member = materialise(member.join(pull, "id"), member)
+    texts = materialise(_texts_of(docs, key, sets.join(member.select("id").distinct(), "id", "left_semi")))
     links = found = None
     rest = member.withColumn("component", F.col("id"))
+    spent = []
     for _ in range(HUBS):
-        hub = rest.groupBy("bucket").agg(F.max_by(F.struct("id", "n", "component"), F.struct("pull", -F.col("id"))).alias("hub"))
-        rest = materialise(rest.join(hub, "bucket").where(F.col("id") != F.col("hub.id")))
+        hub = rest.groupBy("bucket").agg(F.max_by(F.struct("id", "n", "component"), F.struct("pull", -F.col("id"))).alias("hub"), F.any_value("crowd").alias("hub_crowd"))
+        hub = hub.select("bucket", "hub", _every_part(_parts(F.col("hub_crowd"))).alias("part"))
+        met = materialise(rest.withColumn("part", _own_part()).join(hub, ["bucket", "part"]).where(F.col("id") != F.col("hub.id")).drop("part"), *spent)
         fits = F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent
-        pairs = rest.where(fits & (F.col("component") != F.col("hub.component"))).select(F.col("id").alias("u"), F.col("hub.id").alias("v")).distinct()
+        pairs = met.where(fits & (F.col("component") != F.col("hub.component"))).select(F.col("id").alias("u"), F.col("hub.id").alias("v")).distinct()
         with_texts = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("left_text")), "u").join(texts.select(F.col("id").alias("v"), F.col("text").alias("right_text")), "v")
         fresh = materialise(_verify_pairs(with_texts, size, percent))
         links = fresh if links is None else links.union(fresh)
         if found is None or not fresh.isEmpty():
-            found = materialise(components(links))
-        rest = rest.drop("hub", "component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        split = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-        rest = materialise(rest.join(split, "bucket").select("id", "n", "bucket", "pull", "component"))
+            found = components(links)
+        rest = met.drop("hub", "component").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        split = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.any_value("crowd").alias("split_crowd")).where("low <> high")
+        split = split.select("bucket", _every_part(_parts(F.col("split_crowd"))).alias("part"))
+        rest = materialise(rest.withColumn("part", _own_part()).join(split, ["bucket", "part"]).select("id", "n", "bucket", "crowd", "pull", "component"))
+        spent = [met, rest]
     left = materialise(_rest(rest.select("bucket", "id", "component"), texts, size, percent))
     if not left.isEmpty():
-        found = materialise(components(links.union(left)))
-    by_set = signed.select(F.col(key).alias("doc"), "n_shingles", "set_a", "set_b")
-    # A repeated id ties its sets together; with ids that do not repeat this is each document's own edge to its representative.
-    ties = by_set.where("n_shingles > 0").join(reps.select("set_a", "set_b", "n_shingles", "rep"), ["set_a", "set_b", "n_shingles"]).select("doc", "rep")
-    ties = materialise(ties.join(found.select(F.col("id").alias("rep"), "component"), "rep", "left").select("doc", F.coalesce("component", "rep").alias("component")))
-    own = ties.groupBy("doc").agg(F.min("component").alias("component"), F.max("component").alias("other"))
-    if not own.where("component <> other").isEmpty():
-        found = components(ties.select(F.col("doc").alias("u"), F.col("component").alias("v")))
-        own = ties.select("doc").distinct().join(found.withColumnRenamed("id", "doc"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("component"))
-    result = by_set.select("doc", "n_shingles").join(own.select("doc", "component"), "doc", "left")
-    component = F.coalesce("component", "doc")
-    return result.select(F.col("doc").alias(key), "n_shingles", component.alias("component_id"), (component == F.col("doc")).alias("kept"))
+        links = links.union(left)
+        found = components(links)
+    placed = signed.select("key", "n_shingles", "set_a", "set_b").join(sets.select(*fingerprint, "id", F.col("first.key").alias("least")), fingerprint, "left")
+    placed = materialise(placed.select("key", "n_shingles", F.when(F.col("key").isNotNull(), F.col("id")).alias("id"), "least"), member, texts, *spent)
+    again = materialise(placed.where("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("n > 1").select("key", "low", "high"))
+    ties = placed.where("id is not null").join(again.where("low <> high"), "key").select(F.col("id").alias("u"), F.col("low").alias("v"))
+    if not again.where("low <> high").isEmpty():
+        found = components(links.union(ties))
+    names = found.join(sets.select("id", F.col("first.key").alias("least")), "id").groupBy("component").agg(F.min("least").alias("named"))
+    named = materialise(found.join(names, "component").select("id", "named"))
+    own = placed.join(named, "id", "left").select("key", "n_shingles", F.coalesce("named", "least", "key").alias("component"))
+    if not again.isEmpty():  # all rows of a key, also those without words, bear its component
+        by_key = again.join(placed.select("key", "id", "least").where("id is not null").dropDuplicates(["key"]), "key").join(named, "id", "left").select("key", F.coalesce("named", "least").alias("of_key"))
+        own = own.join(by_key, "key", "left").select("key", "n_shingles", F.coalesce("of_key", "component").alias("component"))
+    component = F.when(F.col("key").isNotNull(), F.col("component"))
+    return own.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("key"), F.lit(True)).alias("kept"))

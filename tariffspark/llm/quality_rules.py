@@ -3,11 +3,17 @@
 Fixed rules count words, symbols, repeated lines and repeated three-word windows. The field labels the
 lines of a text (split at line feeds, lines without a word left out): Viterbi decoding of per-line
 features and a 2 x 2 transition. A text is kept if it passes the fixed rules and the share of its words'
-code points in content lines is at least `share`. The field is fitted by gradient steps on the exact
-log-likelihood over at most `limit` texts of either quality label, whose lines take the text's label.
+code points in content lines is at least `share`.
 
-Null and empty texts have no words: base_failed, not kept. A text that is one long line is one label.
-Without labelled rows of both kinds all lines are content. Repeated rows are judged alike.
+Lines have labels of their own in fitting, over at most `limit` texts of either quality label. Boilerplate
+is a line that stands in several texts after different lines and before different lines (copies of one text,
+whose lines have the same neighbours, don't make their lines boilerplate). Other lines start with their text's
+label. Then the field is fitted by gradient steps on the exact log-likelihood, and decodes the texts; decoded
+labels are taken where a text's share still agrees with its label, and the field is fitted again (EM_ROUNDS).
+
+Null and empty texts have no words: base_failed, not kept. A text that is one long line is one label; lines
+and texts of any length are read whole. Without labelled rows of both kinds all lines are content. Repeated
+rows are judged alike. Columns other than the key and text are not read.
 """
 
 from __future__ import annotations
@@ -19,24 +25,29 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import document_texts, sliced, text_slices
+from .common import document_texts, sliced, text_slices, typed
 from .labelled import sample
-from .wordarrays import Words
+from .wordarrays import Words, mix64
 
 LIMIT = 1500
 SHARE = 0.5
-FEATURES = 14
+EM_ROUNDS = 2
+#: A line of SHARED_WORDS words or more is shared if it has so many different neighbours on either side.
+SHARED, SHARED_WORDS = 4, 3
+FEATURES = 15
 _IS = {name: np.array([chr(b) in chars and b < 0x80 for b in range(256)]) for name, chars in {"symbol": "#*$%&|<>", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "stop": ".", "shout": "!", "pipe": "|<>"}.items()}
 _FIRST_BYTE = np.array([b & 0xC0 != 0x80 for b in range(256)])
 
 
 @dataclass
 class Lines:
-    """The lines with a word: doc, code points in words, features; and the counts of the texts."""
+    """The lines with a word: doc, code points in words, features, words, hash of the words; and the counts of the texts."""
 
     doc: np.ndarray
     size: np.ndarray
     x: np.ndarray
+    words: np.ndarray
+    hash: np.ndarray
     counts: dict[str, np.ndarray]
 
 
@@ -80,14 +91,29 @@ def measure(texts: list[str]) -> Lines:
     x = np.column_stack([
         np.ones(len(full)), np.minimum(np.log1p(n_words) / 4, 2), n_words < 5, np.minimum(size / np.maximum(n_words, 1) / 10, 2),
         share(_IS["symbol"]), share(_IS["symbol"]) > 0.05, share(_IS["upper"]) > 0.5, np.minimum(share(_IS["shout"]) * 5, 2), share(_IS["digit"]),
-        share(_IS["pipe"]) > 0.02, _IS["stop"][last], dup, spread(same.astype(float)), spread(covered[: len(hashes)].astype(float)),
+        share(_IS["pipe"]) > 0.02, _IS["stop"][last], dup, spread(same.astype(float)), spread(covered[: len(hashes)].astype(float)), np.zeros(len(full)),
     ]).astype(float).reshape(len(full), FEATURES)
     symbols = summed(_IS["symbol"][raw])
     counts = {
         "n_words": words.counts.astype(np.int64), "word_chars": per_doc(word_points), "n_symbols": symbols[words.doc_end] - symbols[words.doc_start],
         "n_dup_lines": np.bincount(doc, dup, n).astype(np.int64), "n_repeat_words": per_doc(covered[: len(hashes)]),
     }
-    return Lines(doc, size, x, counts)
+    place = np.arange(len(hashes)) - np.repeat(first_word, n_words) if len(full) else np.zeros(0, np.int64)
+    line_hash = np.add.reduceat(mix64(hashes + mix64(place.astype(np.uint64))), first_word) if len(full) else np.zeros(0, np.uint64)
+    return Lines(doc, size, x, n_words, line_hash, counts)
+
+
+def shared_lines(doc: np.ndarray, words: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Sorted hashes of the lines with SHARED different neighbours or more on either side."""
+    edge = doc[1:] != doc[:-1]
+    before, after = np.append(np.uint64(0), np.where(edge, np.uint64(0), line[:-1])), np.append(np.where(edge, np.uint64(0), line[1:]), np.uint64(0))
+    found = None
+    for near in (before, after):
+        pairs = np.unique(np.column_stack([line, near])[words >= SHARED_WORDS], axis=0)
+        value, times = np.unique(pairs[:, 0], return_counts=True)
+        often = value[times >= SHARED]
+        found = often if found is None else np.intersect1d(found, often)
+    return found
 
 
 def _windows(words: Words, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -106,10 +132,16 @@ def _repeated(docs: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Field:
-    """emit[label, feature] and move[label, next label]; label 1 is content."""
+    """emit[label, feature] and move[label, next label]; label 1 is content. shared: sorted hashes of the shared lines."""
 
     emit: np.ndarray
     move: np.ndarray
+    shared: np.ndarray
+
+    def features(self, lines: Lines) -> np.ndarray:
+        x = lines.x.copy()
+        x[:, -1] = np.isin(lines.hash, self.shared)
+        return x
 
     def decode(self, doc: np.ndarray, x: np.ndarray) -> np.ndarray:
         """The best label sequence of each text, all texts advancing line by line together."""
@@ -143,14 +175,41 @@ def _steps(place: np.ndarray) -> list[np.ndarray]:
     return np.split(order, cuts[:-1])[1:]
 
 
-def fit(good: list[str], bad: list[str], rounds: int = 150) -> Field:
+def fit(good: list[str], bad: list[str], share: float = SHARE, rounds: int = 100, em_rounds: int = EM_ROUNDS) -> Field:
+    """The field of texts of either label; see labelled_lines for what its lines are taken to be."""
+    return labelled_lines(good, bad, share, rounds, em_rounds)[0]
+
+
+def labelled_lines(good: list[str], bad: list[str], share: float = SHARE, rounds: int = 100, em_rounds: int = EM_ROUNDS) -> tuple[Field, np.ndarray, np.ndarray]:
+    """(field, doc, label) of the lines of good and bad texts as the last round has them."""
     if not good or not bad:
         emit = np.zeros((2, FEATURES))
         emit[1, 0] = 1
-        return Field(emit, np.zeros((2, 2)))
+        return Field(emit, np.zeros((2, 2)), np.zeros(0, np.uint64)), np.zeros(0, int), np.zeros(0, int)
     parts = [(a, measure([*good, *bad][a:b])) for a, b in sliced([*good, *bad])]
-    doc, x = np.concatenate([a + m.doc for a, m in parts]), np.concatenate([m.x for _, m in parts])
-    y = (doc < len(good)).astype(int)
+    joined = lambda get: np.concatenate([get(a, m) for a, m in parts])
+    doc, size, line = joined(lambda a, m: a + m.doc), joined(lambda a, m: m.size), joined(lambda a, m: m.hash)
+    shared = shared_lines(doc, joined(lambda a, m: m.words), line)
+    common = np.isin(line, shared)
+    x = joined(lambda a, m: m.x)
+    x[:, -1] = common
+    fine, n = np.arange(len(good) + len(bad)) < len(good), len(good) + len(bad)
+
+    def agreeing(labels: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+        """labels in the texts whose share of content agrees with their own label, elsewhere the others."""
+        part = np.bincount(doc, size * labels, n) / np.maximum(np.bincount(doc, size, n), 1)
+        return np.where(((part >= share) == fine)[doc], labels, otherwise)
+
+    whole = fine[doc].astype(int)
+    y = agreeing(np.where(common, 0, whole), whole)
+    field = _fitted(doc, x, y, shared, rounds)
+    for _ in range(em_rounds):
+        y = agreeing(np.where(common, 0, field.decode(doc, x).astype(int)), y)
+        field = _fitted(doc, x, y, shared, rounds)
+    return field, doc, y
+
+
+def _fitted(doc: np.ndarray, x: np.ndarray, y: np.ndarray, shared: np.ndarray, rounds: int) -> Field:
     place, start, lengths = _places(doc)
     steps = _steps(place)
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
@@ -175,12 +234,12 @@ def fit(good: list[str], bad: list[str], rounds: int = 150) -> Field:
         for i, (value, slope) in enumerate(((emit, off.T @ x + 1e-4 * emit), (move, d_move + 1e-4 * move))):
             m[i], v[i] = 0.9 * m[i] + 0.1 * slope, 0.99 * v[i] + 0.01 * slope**2
             value -= 0.1 * (m[i] / (1 - 0.9**k)) / (np.sqrt(v[i] / (1 - 0.99**k)) + 1e-8)
-    return Field(emit, move)
+    return Field(emit, move, shared)
 
 
 def judge(texts: list[str], field: Field, share: float = SHARE) -> dict[str, np.ndarray]:
     lines = measure(texts)
-    labels = field.decode(lines.doc, lines.x)
+    labels = field.decode(lines.doc, field.features(lines))
     n = len(texts)
     content, size = np.bincount(lines.doc, lines.size * labels, n), np.bincount(lines.doc, lines.size, n)
     c = lines.counts
@@ -199,10 +258,10 @@ def assess(docs: DataFrame, field: Field, share: float = SHARE, key: str = "doc_
                 found = judge(texts, field, share)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *[pa.array(found[c]) for c in names]], names=[key, *names])
 
-    schema = f"{key} {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in names[:5]) + ", base_failed boolean, kept boolean, content_share double"
-    return document_texts(docs, key).mapInArrow(run, schema)
+    fields = ", ".join(f"{c} long" for c in names[:5]) + ", base_failed boolean, kept boolean, content_share double"
+    return document_texts(docs, key).mapInArrow(run, typed(docs, key, fields))
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, share: float = SHARE, key: str = "doc_id") -> DataFrame:
     good, bad = (sample(docs, labels, "quality", v, limit, None, key) for v in (1, 0))
-    return assess(docs, fit(good, bad), share, key)
+    return assess(docs, fit(good, bad, share), share, key)

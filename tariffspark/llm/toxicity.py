@@ -3,11 +3,15 @@
 Labels say only whether a text is toxic, so the categories are found: toxic texts are parted by the
 toxic vocabulary they share (k-means over the selected features), one category a part; the chain's last
 link is toxicity as a whole. Link j is a linear model over the features and the probabilities of links
-0..j-1. In fitting, these earlier probabilities are out of fold: from models that did not see the row.
-
-Features: presence of a word, and of its first 4 and 5 bytes; those are kept that are far more frequent in
-toxic texts. Fitted on at most `limit` texts of either label. Null and empty texts have no feature and
-are clean; without toxic or without clean labelled rows nothing is toxic. Repeated rows score alike.
+0..j-1. In fitting, these earlier probabilities are out of fold: a fold's rows are scored by links whose
+vocabulary, categories and weights all come from the other folds alone. A fold's categories take the numbers
+of the final ones that they share most training texts with.
+
+Features: presence of a word, and of its first 4 to 8 bytes; those are kept that are far more frequent in
+toxic texts, the `most_features` that tell most apart. Either label has half the weight in a fit. Fitted on at
+most `limit` texts of either label. Null and empty texts have no feature and are clean; without toxic or
+without clean labelled rows nothing is toxic. Repeated rows score alike; very long texts are read whole, and a
+word however long is one feature. Columns other than the key and text are not read.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import document_texts, sliced, text_slices
+from .common import document_texts, sliced, text_slices, typed
 from .labelled import sample
 from .wordarrays import Words, mix64
 
@@ -29,16 +33,20 @@ CATEGORIES = 3
 FOLDS = 3
 MOST_FEATURES = 4096
 LEAST_TEXTS = 4
+#: Bytes of a word's beginnings that are features.
+PREFIXES = (4, 5, 6, 7, 8)
 LOG_ODDS = 2.5
 
 
 def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(doc, hash) of each distinct feature of each text."""
     words = Words(texts, lower=True, bare=True)
-    found = [mix64(words.hashes(m) + np.uint64(k)) for k, m in enumerate((None, 4, 5))]
-    long = words.length > 5
-    docs = np.concatenate([words.doc, words.doc[long], words.doc[long]])
-    value = np.concatenate([found[0], found[1][long], found[2][long]])
+    docs, value = [words.doc], [mix64(words.hashes())]
+    for k in PREFIXES:
+        long = words.length > k
+        docs.append(words.doc[long])
+        value.append(mix64(words.hashes(k) + np.uint64(k))[long])
+    docs, value = np.concatenate(docs), np.concatenate(value)
     order = np.lexsort((value, docs))
     docs, value = docs[order], value[order]
     fresh = np.append(True, (docs[1:] != docs[:-1]) | (value[1:] != value[:-1])) if len(docs) else np.zeros(0, bool)
@@ -55,12 +63,13 @@ def _all_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _logistic(rows: np.ndarray, cols: np.ndarray, n: int, width: int, extra: np.ndarray, y: np.ndarray, rounds: int = 300) -> np.ndarray:
     """Weights of features, then of extra columns, then the intercept: accelerated gradient steps with a ridge."""
     w, velocity = np.zeros(width + extra.shape[1] + 1), np.zeros(width + extra.shape[1] + 1)
+    weight = np.where(y > 0.5, 0.5 / max(y.sum(), 1), 0.5 / max(n - y.sum(), 1))
     per_row = max(1.0, np.bincount(rows, minlength=n).mean() + extra.shape[1] + 1)
     rate = 4.0 / per_row
     for k in range(rounds):
         at = w + 0.9 * velocity
         p = _probability(rows, cols, n, at, width, extra)
-        off = (p - y) / n
+        off = (p - y) * weight
         slope = np.concatenate([np.bincount(cols, off[rows], width), extra.T @ off, [off.sum()]])
         slope[:-1] += 1e-4 * at[:-1]
         velocity = 0.9 * velocity - rate * slope
@@ -115,34 +124,69 @@ def _parts(rows: np.ndarray, cols: np.ndarray, members: np.ndarray, width: int,
     return own
 
 
-def fit(toxic: list[str], clean: list[str], categories: int = CATEGORIES, folds: int = FOLDS) -> Chain:
+def _vocabulary(docs: np.ndarray, values: np.ndarray, toxic: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
+    """Sorted hashes of the features that part the toxic from the clean ones of the rows (flags, as toxic)."""
+    own = rows[docs]
+    docs, values = docs[own], values[own]
+    found, back = np.unique(values, return_inverse=True)
+    n_bad, n_all = np.bincount(back, toxic[docs], len(found)), np.bincount(back, minlength=len(found))
+    odds = np.log((n_bad + 0.5) / ((toxic & rows).sum() + 1)) - np.log((n_all - n_bad + 0.5) / ((~toxic & rows).sum() + 1))
+    good = np.flatnonzero((n_bad >= LEAST_TEXTS) & (odds >= LOG_ODDS))
+    return found[np.sort(good[np.argsort(-odds[good] * np.sqrt(n_bad[good]), kind="stable")][:most])]
+
+
+def _links(docs: np.ndarray, values: np.ndarray, y: np.ndarray, vocabulary: np.ndarray, own: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Weights of one link, fitted on the rows `own` (places) with the earlier probabilities `held` of all rows."""
+    rows, cols = _select(docs, values, vocabulary)
+    inside = np.isin(rows, own)
+    return _logistic(np.searchsorted(own, rows[inside]), cols[inside], len(own), len(vocabulary), held[own], y[own])
+
+
+def _categories(docs: np.ndarray, values: np.ndarray, toxic: np.ndarray, rows: np.ndarray, vocabulary: np.ndarray, k: int) -> np.ndarray:
+    """The category of each toxic one of the rows; -1 elsewhere."""
+    out = np.full(len(toxic), -1)
+    members = np.flatnonzero(toxic & rows)
+    if len(members) and len(vocabulary):
+        out[members] = _parts(*_select(docs, values, vocabulary), members, len(vocabulary), min(k, len(members)))
+    return out
+
+
+def _renamed(own: np.ndarray, final: np.ndarray, k: int) -> np.ndarray:
+    """own with its categories numbered as those of final that they share most texts with, the largest overlap first."""
+    known = own >= 0
+    overlap = np.bincount(own[known] * k + final[known], minlength=k * k).reshape(k, k).astype(float)
+    name = np.zeros(k, int)
+    for _ in range(k):
+        i, j = np.unravel_index(overlap.argmax(), overlap.shape)
+        name[i] = j
+        overlap[i, :], overlap[:, j] = -1, -1
+    return np.where(known, name[own], -1)
+
+
+def fit(toxic: list[str], clean: list[str], categories: int = CATEGORIES, folds: int = FOLDS, most_features: int = MOST_FEATURES) -> Chain:
     n = len(toxic) + len(clean)
     if not toxic or not clean:
         return Chain(np.zeros(0, np.uint64), [np.append(np.zeros(j), -30.0) for j in range(categories + 1)])
     docs, values = _all_features([*toxic, *clean])
-    bad = docs < len(toxic)
-    vocabulary, back = np.unique(values, return_inverse=True)
-    n_bad, n_all = np.bincount(back, bad, len(vocabulary)), np.bincount(back, minlength=len(vocabulary))
-    odds = np.log((n_bad + 0.5) / (len(toxic) + 1)) - np.log((n_all - n_bad + 0.5) / (len(clean) + 1))
-    good = np.flatnonzero((n_bad >= LEAST_TEXTS) & (odds >= LOG_ODDS))
-    good = np.sort(good[np.argsort(-odds[good] * np.sqrt(n_bad[good]), kind="stable")][:MOST_FEATURES])
-    vocabulary = vocabulary[good]
-    rows, cols = _select(docs, values, vocabulary)
-    width = len(vocabulary)
-    y = np.zeros((n, categories + 1))
-    y[: len(toxic), categories] = 1
-    if width:
-        y[np.arange(len(toxic)), _parts(rows, cols, np.arange(len(toxic)), width, min(categories, len(toxic)))] = 1
+    bad, everyone = np.arange(n) < len(toxic), np.ones(n, bool)
+    vocabulary = _vocabulary(docs, values, bad, everyone, most_features)
+    final = _categories(docs, values, bad, everyone, vocabulary, categories)
     fold = np.arange(n) % folds
+    inner = []
+    for f in range(folds):
+        words = _vocabulary(docs, values, bad, fold != f, most_features)
+        inner.append((words, _renamed(_categories(docs, values, bad, fold != f, words, categories), final, categories)))
     links, held = [], np.zeros((n, 0))
+    target = lambda of, j: (bad if j == categories else of == j).astype(float)
     for j in range(categories + 1):
         out = np.zeros(n)
-        for f in range(folds):
-            inside, own = fold[rows] != f, np.flatnonzero(fold != f)
-            w = _logistic(np.searchsorted(own, rows[inside]), cols[inside], len(own), width, held[own], y[own, j])
-            rest = np.flatnonzero(fold == f)
-            out[rest] = _probability(np.searchsorted(rest, rows[~inside]), cols[~inside], len(rest), w, width, held[rest])
-        links.append(_logistic(rows, cols, n, width, held, y[:, j]))
+        for f, (words, of) in enumerate(inner):
+            own, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+            w = _links(docs, values, target(of, j), words, own, held)
+            rows, cols = _select(docs, values, words)
+            there = fold[rows] == f
+            out[rest] = _probability(np.searchsorted(rest, rows[there]), cols[there], len(rest), w, len(words), held[rest])
+        links.append(_links(docs, values, target(final, j), vocabulary, np.arange(n), held))
         held = np.column_stack([held, out])
     return Chain(vocabulary, links)
 
@@ -157,10 +201,13 @@ def score(docs: DataFrame, chain: Chain, threshold: float = 0.5, key: str = "doc
                 p = chain.predict(texts)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *[pa.array(p[:, j]) for j in range(p.shape[1])]], names=[key, *names])
 
-    schema = f"{key} {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in names)
-    return document_texts(docs, key).mapInArrow(run, schema).withColumn("toxic", F.col("p_toxic") >= threshold)
+    return document_texts(docs, key).mapInArrow(run, typed(docs, key, ", ".join(f"{c} double" for c in names))).withColumn("toxic", F.col("p_toxic") >= threshold)
+
+
+def learned(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, key: str = "doc_id") -> Chain:
+    """The chain fitted on the labelled documents among docs."""
+    return fit(*(sample(docs, labels, "toxic", v, limit, None, key) for v in (1, 0)))
 
 
 def classify(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, threshold: float = 0.5, key: str = "doc_id") -> DataFrame:
-    toxic, clean = (sample(docs, labels, "toxic", v, limit, None, key) for v in (1, 0))
-    return score(docs, fit(toxic, clean), threshold, key)
+    return score(docs, learned(docs, labels, limit, key), threshold, key)

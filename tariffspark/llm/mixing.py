@@ -8,7 +8,8 @@ hashes of the document's key and a seed; of SEEDS seeds each source uses the one
 to its target, summed in the same pass for all seeds.
 
 Sources are ordered by code point, null last. Null texts have size 0. Repeated keys draw alike. A source
-without words has rate 0. No documents: no rows. Extra columns stay out unless asked for.
+without words has rate 0. No documents: no rows. Very long texts count as any other. Extra columns stay out
+of mix and pass through emit.
 """
 
 from __future__ import annotations
@@ -60,28 +61,48 @@ def targets(sizes: DataFrame, weights: list[int], share: float, most: float) ->
     return placed.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def sized(docs: DataFrame, key: str) -> DataFrame:
-    return docs.select(F.col(key).alias("key"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+def _size() -> F.Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _joined(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """docs with their source's plan. Documents of one source are spread over SALTS parts, and its plan is copied to each."""
-    salted = docs.withColumn("salt", F.pmod(F.xxhash64("key", "size"), F.lit(SALTS)))
-    copies = plan.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).withColumnRenamed("source", "plan_source")
+def _joined(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows(key, source, ..) with their source's plan as a struct. Rows of one source are spread over SALTS parts, and its plan is copied to each."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+    copies = plan.select("source", F.struct(*plan.columns).alias("plan")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).withColumnRenamed("source", "plan_source")
     return salted.join(copies, (salted["salt"] == copies["salt"]) & salted["source"].eqNullSafe(copies["plan_source"])).drop("salt", "plan_source")
 
 
-def mix(docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """(key, size, source_size, target, copies, taken) for each row of docs(key, text, source)."""
-    small = materialise(sized(docs, key))
+def planned(docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """(source, source_size, target, rate, fraction, seed), one row a source."""
+    small = materialise(docs.select(F.col(key).alias("key"), "source", _size().alias("size")))
     by_source = materialise(small.groupBy("source").agg(F.sum("size").alias("source_size")))
     rates = materialise(targets(by_source, list(weights), share, most).withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)).withColumn("fraction", F.col("rate") - F.floor("rate")))
     tried = _joined(small, rates.select("source", "fraction"))
-    extra = [F.sum(F.when(_draw(F.lit(s)) < F.col("fraction"), F.col("size")).otherwise(0)).alias(f"e{s}") for s in range(SEEDS)]
+    extra = [F.sum(F.when(_draw(F.lit(s)) < F.col("plan.fraction"), F.col("size")).otherwise(0)).alias(f"e{s}") for s in range(SEEDS)]
     sums = tried.groupBy("source").agg(*extra)
     wanted = F.col("target") - F.floor("rate") * F.col("source_size")
     off = F.array(*[F.struct(F.abs(F.col(f"e{s}") - wanted).alias("off"), F.lit(s).alias("seed")) for s in range(SEEDS)])
-    plan = rates.join(sums.withColumnRenamed("source", "own"), F.col("source").eqNullSafe(F.col("own"))).select("source", "source_size", "target", "rate", "fraction", F.array_min(off)["seed"].alias("seed"))
-    out = _joined(small, materialise(plan))
-    copies = F.floor("rate") + (_draw(F.col("seed")) < F.col("fraction")).cast("long")
-    return out.select(F.col("key").alias(key), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    plan = rates.join(sums.withColumnRenamed("source", "own"), F.col("source").eqNullSafe(F.col("own")))
+    return materialise(plan.select("source", "source_size", "target", "rate", "fraction", F.array_min(off)["seed"].alias("seed")), small, by_source)
+
+
+def _copies() -> F.Column:
+    return F.floor("plan.rate") + (_draw(F.col("plan.seed")) < F.col("plan.fraction")).cast("long")
+
+
+def mix(docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """(key, size, source_size, target, copies, taken) for each row of docs(key, text, source)."""
+    out = _joined(docs.select(F.col(key).alias("key"), "source", _size().alias("size")), planned(docs, key, weights, share, most))
+    copies = _copies()
+    return out.select(F.col("key").alias(key), "size", "plan.source_size", "plan.target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+
+
+def emit(docs: DataFrame, key: str = "doc_id", weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The mix itself: every row of docs as often as its copies say, all columns as they are, whatever their names.
+
+    Texts meet the plan by their source alone: where the plan is small, they are not shuffled.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(key).alias("key"), F.col("source"))
+    out = _joined(rows, planned(docs, key, weights, share, most)).withColumn("copies", _copies()).where("copies > 0")
+    copy = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
+    return out.select("doc", copy.alias("copy")).select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -28,7 +28,7 @@ from .common import document_texts, sliced, text_slices, typed
 from .labelled import sample
 from .wordarrays import Words, mix64
 
-LIMIT = 4000
+LIMIT = 3000
 CATEGORIES = 3
 FOLDS = 3
 MOST_FEATURES = 4096
@@ -53,11 +53,25 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return docs[fresh], value[fresh]
 
 
-def _all_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    parts = [(a, *features(texts[a:b])) for a, b in sliced(texts)]
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate([a + d for a, d, _ in parts]), np.concatenate([v for *_, v in parts])
+def _candidates(toxic: list[str], clean: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(known, docs, cols): sorted hashes of the features of LEAST_TEXTS toxic texts or more, and which text has which of them.
+
+    Texts are taken in slices; rarer features, most of all, are never held together.
+    """
+    own = [features(toxic[a:b])[1] for a, b in sliced(toxic)]
+    known = []
+    for part in range(16):  # sorting a part at a time takes a fraction of the memory
+        value, times = np.unique(np.concatenate([v[v >> np.uint64(60) == part] for v in own]), return_counts=True)
+        known.append(value[times >= LEAST_TEXTS])
+    known = np.concatenate(known)
+    del own
+    docs, cols = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    texts = [*toxic, *clean]
+    for a, b in sliced(texts):
+        d, at = _select(*features(texts[a:b]), known)
+        docs.append((a + d).astype(np.int32))
+        cols.append(at.astype(np.int32))
+    return known, np.concatenate(docs), np.concatenate(cols)
 
 
 def _logistic(rows: np.ndarray, cols: np.ndarray, n: int, width: int, extra: np.ndarray, y: np.ndarray, rounds: int = 300) -> np.ndarray:
@@ -124,30 +138,35 @@ def _parts(rows: np.ndarray, cols: np.ndarray, members: np.ndarray, width: int,
     return own
 
 
-def _vocabulary(docs: np.ndarray, values: np.ndarray, toxic: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
-    """Sorted hashes of the features that part the toxic from the clean ones of the rows (flags, as toxic)."""
-    own = rows[docs]
-    docs, values = docs[own], values[own]
-    found, back = np.unique(values, return_inverse=True)
-    n_bad, n_all = np.bincount(back, toxic[docs], len(found)), np.bincount(back, minlength=len(found))
-    odds = np.log((n_bad + 0.5) / ((toxic & rows).sum() + 1)) - np.log((n_all - n_bad + 0.5) / ((~toxic & rows).sum() + 1))
+def _telling(docs: np.ndarray, cols: np.ndarray, width: int, toxic: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
+    """The columns, in order, that part the toxic from the clean ones of the rows (flags, as toxic)."""
+    seen = lambda flag: np.bincount(cols[(rows & flag)[docs]], minlength=width)
+    n_bad, n_good = seen(toxic), seen(~toxic)
+    odds = np.log((n_bad + 0.5) / ((toxic & rows).sum() + 1)) - np.log((n_good + 0.5) / ((~toxic & rows).sum() + 1))
     good = np.flatnonzero((n_bad >= LEAST_TEXTS) & (odds >= LOG_ODDS))
-    return found[np.sort(good[np.argsort(-odds[good] * np.sqrt(n_bad[good]), kind="stable")][:most])]
+    return np.sort(good[np.argsort(-odds[good] * np.sqrt(n_bad[good]), kind="stable")][:most])
+
 
+def _among(docs: np.ndarray, cols: np.ndarray, width: int, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs whose column is chosen, with its place among the chosen."""
+    place = np.full(width, -1)
+    place[chosen] = np.arange(len(chosen))
+    hit = place[cols] >= 0
+    return docs[hit].astype(np.int64), place[cols[hit]]
 
-def _links(docs: np.ndarray, values: np.ndarray, y: np.ndarray, vocabulary: np.ndarray, own: np.ndarray, held: np.ndarray) -> np.ndarray:
+
+def _link(rows: np.ndarray, cols: np.ndarray, width: int, y: np.ndarray, own: np.ndarray, held: np.ndarray) -> np.ndarray:
     """Weights of one link, fitted on the rows `own` (places) with the earlier probabilities `held` of all rows."""
-    rows, cols = _select(docs, values, vocabulary)
     inside = np.isin(rows, own)
-    return _logistic(np.searchsorted(own, rows[inside]), cols[inside], len(own), len(vocabulary), held[own], y[own])
+    return _logistic(np.searchsorted(own, rows[inside]), cols[inside], len(own), width, held[own], y[own])
 
 
-def _categories(docs: np.ndarray, values: np.ndarray, toxic: np.ndarray, rows: np.ndarray, vocabulary: np.ndarray, k: int) -> np.ndarray:
-    """The category of each toxic one of the rows; -1 elsewhere."""
+def _categories(rows: np.ndarray, cols: np.ndarray, width: int, toxic: np.ndarray, among: np.ndarray, k: int) -> np.ndarray:
+    """The category of each toxic one of the rows among; -1 elsewhere."""
     out = np.full(len(toxic), -1)
-    members = np.flatnonzero(toxic & rows)
-    if len(members) and len(vocabulary):
-        out[members] = _parts(*_select(docs, values, vocabulary), members, len(vocabulary), min(k, len(members)))
+    members = np.flatnonzero(toxic & among)
+    if len(members) and width:
+        out[members] = _parts(rows, cols, members, width, min(k, len(members)))
     return out
 
 
@@ -167,28 +186,29 @@ def fit(toxic: list[str], clean: list[str], categories: int = CATEGORIES, folds:
     n = len(toxic) + len(clean)
     if not toxic or not clean:
         return Chain(np.zeros(0, np.uint64), [np.append(np.zeros(j), -30.0) for j in range(categories + 1)])
-    docs, values = _all_features([*toxic, *clean])
-    bad, everyone = np.arange(n) < len(toxic), np.ones(n, bool)
-    vocabulary = _vocabulary(docs, values, bad, everyone, most_features)
-    final = _categories(docs, values, bad, everyone, vocabulary, categories)
-    fold = np.arange(n) % folds
-    inner = []
-    for f in range(folds):
-        words = _vocabulary(docs, values, bad, fold != f, most_features)
-        inner.append((words, _renamed(_categories(docs, values, bad, fold != f, words, categories), final, categories)))
-    links, held = [], np.zeros((n, 0))
+    known, docs, cols = _candidates(toxic, clean)
+    bad, fold = np.arange(n) < len(toxic), np.arange(n) % folds
+
+    def learn(among: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(columns, and the pairs in them, categories) from the rows among alone."""
+        chosen = _telling(docs, cols, len(known), bad, among, most_features)
+        own = _among(docs, cols, len(known), chosen)
+        return chosen, *own, _categories(*own, len(chosen), bad, among, categories)
+
+    chosen, rows, places, final = learn(np.ones(n, bool))
+    inner = [learn(fold != f) for f in range(folds)]
     target = lambda of, j: (bad if j == categories else of == j).astype(float)
+    links, held = [], np.zeros((n, 0))
     for j in range(categories + 1):
         out = np.zeros(n)
-        for f, (words, of) in enumerate(inner):
+        for f, (words, r, c, of) in enumerate(inner):
             own, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            w = _links(docs, values, target(of, j), words, own, held)
-            rows, cols = _select(docs, values, words)
-            there = fold[rows] == f
-            out[rest] = _probability(np.searchsorted(rest, rows[there]), cols[there], len(rest), w, len(words), held[rest])
-        links.append(_links(docs, values, target(final, j), vocabulary, np.arange(n), held))
+            w = _link(r, c, len(words), target(_renamed(of, final, categories), j), own, held)
+            there = fold[r] == f
+            out[rest] = _probability(np.searchsorted(rest, r[there]), c[there], len(rest), w, len(words), held[rest])
+        links.append(_link(rows, places, len(chosen), target(final, j), np.arange(n), held))
         held = np.column_stack([held, out])
-    return Chain(vocabulary, links)
+    return Chain(known[chosen], links)
 
 
 def score(docs: DataFrame, chain: Chain, threshold: float = 0.5, key: str = "doc_id") -> DataFrame:

@@ -9,7 +9,7 @@ LEVELS = {"chapter": 2, "heading": 4, "subheading": 6, "exact": 10}
 
 
 def cleaned(code: Column) -> Column:
-    return F.regexp_replace(code, r"[ \t\n\r\f\x0B.\-]", "")
+    return F.translate(code, " \t\n\r\f\x0b.-", "")
 
 
 def is_valid(code: Column) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANKS = " \t\n\r\f\x0b"
-#: Words that name a material, templates of vague goods, boilerplate before a subject.
+#: Words that name a material, templates of vague goods, boilerplate before a subject, openings of descriptions and
+#: reasoning (DESCRIPTION, REASONING), and the two patterns in gold_codes and question_product.
 MATERIALS = ("steel", "iron", "copper", "aluminum", "plastic", "rubber", "cotton", "silk", "wool", "leather", "wood", "ceramic", "glass", "paper", "nylon", "polyester", "titanium", "brass")
 VAGUE = ("miscellaneous goods for general use", "product item for commercial purposes", "assorted merchandise for import", "general commodity for trade")
 SUBJECT_PREFIX = r"(?i)^(?:The tariff classification (?:and [^of]+ )?of |Classification of |Tariff classification of |RE:\s*The tariff classification of |RE:\s*)"
@@ -18,6 +21,14 @@ DESCRIPTION = (
 REASONING = (r"(?is)(?d)(The applicable (?:sub)?heading.*?which provides for\s*[\"']?.*?[\"']?\.)", r"(?is)(?d)(The applicable (?:sub)?heading.*?\.)\s")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value worked out once, however often the body mentions it.
+
+    The optimizer writes a column's expression out wherever it is referred to; a lambda's variable it leaves alone.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def present(c: Column) -> Column:
     """Neither null nor empty."""
     return F.coalesce(c != "", F.lit(False))

@@ -1,13 +1,17 @@
-"""Extraction through an external model (ST6-ST11, AG18, section 2.13): prompts out, JSON in, rows or a failure."""
+"""External models (ST6-ST11, AG18, FL9, FL13, section 2.13): prompts out, JSON in, rows or a failure; completion client and batch inference."""
 
 from __future__ import annotations
 
+import json
+import time
+import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tariffspark.functions import codes, text
 
@@ -19,14 +23,51 @@ def prompt(number: Column, tariffs: Column, body: Column) -> Column:
     return F.concat(F.lit("Ruling: "), number, F.lit("\nTariffs: "), F.array_join(tariffs, ", "), F.lit("\n\n"), body)
 
 
-def completed(rulings: DataFrame, client: Callable[[str], str], concurrency: int = 100, retries: int = 3) -> DataFrame:
-    """rulings(ruling_number, prompt) with `content`, null where the client failed `retries` times. One pool a partition."""
+class CompletionClient:
+    """An HTTP completion service: messages or a raw prompt in, (text, milliseconds) out. Calls can be pickled, so it goes into UDFs."""
+
+    def __init__(self, base_url: str, model: str, timeout: float = 60.0):
+        self.base_url, self.model, self.timeout = base_url.rstrip("/"), model, timeout
+
+    def _post(self, path: str, body: dict) -> tuple[dict, int]:
+        began = time.perf_counter()
+        request = urllib.request.Request(f"{self.base_url}/{path}", json.dumps(body | {"model": self.model}).encode(), {"Content-Type": "application/json"})
+        with urllib.request.urlopen(request, timeout=self.timeout) as answer:
+            return json.load(answer), int((time.perf_counter() - began) * 1000)
+
+    def complete(self, messages: list[dict], max_tokens: int = 512, temperature: float = 0.0) -> tuple[str, int]:
+        """By chat messages; the service applies its own template."""
+        found, took = self._post("chat/completions", {"messages": messages, "max_tokens": max_tokens, "temperature": temperature})
+        return found["choices"][0]["message"].get("content") or "", took
+
+    def complete_prompt(self, prompt: str, max_tokens: int = 512, temperature: float = 0.0) -> tuple[str, int]:
+        """By a prompt that is rendered already."""
+        found, took = self._post("completions", {"prompt": prompt, "max_tokens": max_tokens, "temperature": temperature})
+        return found["choices"][0].get("text") or "", took
+
+    def is_reachable(self) -> bool:
+        try:
+            with urllib.request.urlopen(f"{self.base_url}/models", timeout=self.timeout):
+                return True
+        except OSError:
+            return False
+
+    def __call__(self, prompt: str) -> str:
+        return self.complete_prompt(prompt)[0]
+
+
+def completed(rulings: DataFrame, client: Callable[[str], str], concurrency: int = 100, retries: int = 3, wait: float = 4.0, longest: float = 30.0) -> DataFrame:
+    """rulings(ruling_number, prompt) with `content`, null where the client failed `retries` times. One pool a partition.
+
+    Between tries it waits `wait` seconds, doubled each time, `longest` at most.
+    """
     def attempt(p: str) -> str | None:
-        for _ in range(retries):
+        for k in range(retries):
             try:
                 return client(p)
             except Exception:  # noqa: BLE001 - whatever the service raises is one more failed try
-                continue
+                if k + 1 < retries:
+                    time.sleep(min(wait * 2**k, longest))
         return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -37,6 +78,21 @@ def completed(rulings: DataFrame, client: Callable[[str], str], concurrency: int
     return rulings.select("ruling_number", "prompt").mapInPandas(run, "ruling_number string, prompt string, content string")
 
 
+def predicted(records: DataFrame, model: Callable[[list[str]], list[str]], batch_size: int = 16, prompt: str = "prompt") -> DataFrame:
+    """Batch inference: records with `raw`, what the model says to their prompts, `batch_size` of them at a time, longest first within an
+    Arrow batch so that prompts of like length are padded together. Shape with chat.parsed, which is native."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            order = b[prompt].str.len().fillna(0).sort_values(ascending=False, kind="stable").index
+            raw = pd.Series(index=b.index, dtype=object)
+            for at in range(0, len(order), batch_size):
+                own = order[at : at + batch_size]
+                raw.loc[own] = model(b.loc[own, prompt].fillna("").tolist())
+            yield b.assign(raw=raw)
+
+    return records.mapInPandas(run, StructType([*records.schema.fields, StructField("raw", StringType())]))
+
+
 def products(answers: DataFrame) -> DataFrame:
     """ST6-ST10: rows of answers(ruling_number, content). Strict JSON, else its greedy outermost braces; NULs go; the index of
     skipped products stays; codes that are none become null."""
@@ -51,6 +107,12 @@ def products(answers: DataFrame) -> DataFrame:
     return out.where(F.length("description") >= 15)
 
 
+def benchmark(rows: DataFrame) -> DataFrame:
+    """FL13: benchmark rows(messages) with two messages or more and a gold code in the second; `hts_code` holds its codes."""
+    gold = text.gold_codes(F.col("messages")[1]["content"])
+    return rows.where(F.size("messages") >= 2).withColumn("hts_code", gold).where(F.size("hts_code") > 0)
+
+
 def totals(rows: DataFrame) -> DataFrame:
     """AG18: cost of tokens, four fifths of them read and one fifth written, whole tokens."""
     t = F.sum("tokens_used")

@@ -2,7 +2,8 @@
 
 Near-duplicates are exact: set-similarity join by prefix filtering. Shingles are ordered from rare to
 frequent; two sets of Jaccard t or more share one of their |x| - ceil(t |x|) + 1 rarest, so only these
-are joined, and frequent shingles, which would make quadratic groups, are hardly ever among them.
+are joined, and frequent shingles, which would make quadratic groups, are hardly ever among them. Equal
+sets (copies, and all texts of under three words) are one set before anything is joined.
 """
 
 from __future__ import annotations
@@ -39,8 +40,22 @@ def with_shingles(df: DataFrame, description: str, size: int = 3) -> DataFrame:
     return df.withColumn("_w", text.words(F.lower(F.coalesce(F.col(description), F.lit(""))))).withColumn("sh", sh).drop("_w")
 
 
+def representatives(rows: DataFrame) -> DataFrame:
+    """(id, rep): rows with equal sets have one representative, their least id. However many copies there are, only it is compared."""
+    key = rows.select("id", F.array_sort("sh").alias("sh"))
+    least = key.groupBy("sh").agg(F.min("id").alias("rep"))
+    return key.join(least, "sh").select("id", "rep")
+
+
+def distinct_sets(rows: DataFrame) -> DataFrame:
+    """The rows (id, sh) of least id among those with equal sets."""
+    return rows.groupBy(F.array_sort("sh").alias("sh")).agg(F.min("id").alias("id")).select("id", "sh")
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, same: bool) -> DataFrame:
-    """ND2: (a, b, jaccard) from left(id, sh), right(id, sh); a < b if both are the same table."""
+    """ND2: (a, b, jaccard) between distinct sets of left(id, sh) and right(id, sh), each under its least id; a < b if both are the same table."""
+    left = distinct_sets(left)
+    right = left if same else distinct_sets(right)
     # explode_outer: the filter that the optimizer derives from explode would be pushed below the words' column and split texts anew for each shingle
     both = left if same else left.union(right)
     freq = both.select(F.explode_outer("sh").alias("s")).groupBy("s").agg(F.count("*").alias("df"))
@@ -58,6 +73,18 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, same: boo
     return full.select("a", "b", (meet / (F.size("sa") + F.size("sb") - meet)).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-12)
 
 
+def leakage(rows: DataFrame, threshold: float = 0.85) -> DataFrame:
+    """ND4: (kind, n): rows(id, sh, split) of valid and of test with a similar row in train; a kind without any is left out."""
+    train = rows.where("split = 'train'")
+    out = None
+    for name in ("valid", "test"):
+        held = rows.where(F.col("split") == name)
+        hit = similar_pairs(train, held, threshold, same=False).select(F.col("b").alias("rep")).distinct()
+        one = representatives(held).join(hit, "rep", "left_semi").agg(F.lit(f"{name}_vs_train").alias("kind"), F.count("*").alias("n"))
+        out = one if out is None else out.union(one)
+    return out.where("n > 0")
+
+
 def greedy_keep(pairs: DataFrame, checkpoint) -> DataFrame:
     """ND3: ids dropped by keep-first dedup, from pairs(a < b): b goes if an earlier similar row is kept.
 

@@ -1,8 +1,8 @@
-"""Ruling tables: work queue, progress, samples, enrichment, valid codes, upserts (JN1-JN5, AG9, AG17, AG22, FL3-FL9, SK4, SK5, SC9, ST12, ST13, WN5-WN7)."""
+"""Ruling tables: work queue, progress, samples, enrichment, valid codes, upserts (JN1-JN5, AG9, AG17, AG19, AG22, FL3-FL8, FL10, SK4-SK6, SC9, ST4, ST12, ST13, WN5-WN7)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffspark.functions import codes, text
@@ -74,11 +74,70 @@ def decoded_list(column: str):
     return F.coalesce(F.from_json(column, "array<string>"), F.array().cast("array<string>"))
 
 
-def upserted(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """SK4: new rows replace old ones of their key."""
-    return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
+def upserted(old: DataFrame, new: DataFrame, keys: list[str], stamp: str | None = None) -> DataFrame:
+    """SK4: new rows replace old ones of their key; `stamp` names a column that bears the time of the run in new rows."""
+    if stamp:
+        new = new.withColumn(stamp, F.current_timestamp())
+    return old.join(new.select(*keys), keys, "left_anti").unionByName(new, allowMissingColumns=bool(stamp))
 
 
-def failure_rows(rulings: DataFrame) -> DataFrame:
-    """SK5."""
+def extractions(extracted: DataFrame, rulings: DataFrame) -> DataFrame:
+    """JN1: extracted products with their ruling's subject, date and tariffs; products without a ruling go."""
+    return extracted.join(rulings.select("ruling_number", "subject", "ruling_date", "tariffs"), "ruling_number")
+
+
+def with_subjects(rulings: DataFrame, longer_than: int = 20) -> DataFrame:
+    """FL6."""
+    return rulings.where(F.length("subject") > longer_than)
+
+
+def described(enrichments: DataFrame, least: int = 30) -> DataFrame:
+    """FL8."""
+    return enrichments.where(F.length("enriched_description") >= least)
+
+
+def exported(rulings: DataFrame, body: str | None = None) -> DataFrame:
+    """ST4, FL10: the description is taken from the ruling's text if it has one, else from its subject, and `description_source` says which;
+    the first tariff is the code. Rulings without a tariff or with a description of under 10 characters go."""
+    product = text.product_description(F.col(body)) if body else F.lit(None).cast("string")
+    code = F.get("tariffs", F.lit(0))
+    out = rulings.withColumn("_product", product).withColumns({
+        "description": F.coalesce("_product", text.clean_subject(F.col("subject"))), "hts_code": code, "description_source": F.when(F.col("_product").isNotNull(), "ruling_text").otherwise("subject"),
+    })
+    return out.where(text.present(F.col("hts_code")) & (F.length("description") >= 10)).drop("_product")
+
+
+def export_stats(judged: DataFrame) -> DataFrame:
+    """AG17: kept and excluded rows of current_valid, and the share that was kept, in percent."""
+    kept = F.count_if("is_valid")
+    return judged.agg(F.count("*").alias("total"), kept.alias("kept"), (F.count("*") - kept).alias("excluded"), (100 * kept / F.greatest(F.count("*"), F.lit(1))).alias("pct_kept"))
+
+
+def sample_summary(rows: DataFrame, fields: list[str]) -> DataFrame:
+    """AG19: of a validation sample: lengths of the descriptions (here the median interpolates), codes there are and codes that agree with
+    the ruling's tariffs, products beyond one a ruling, and fields that are not empty."""
+    n = F.length("description")
+    coded = text.present(F.col("hts_code"))
+    return rows.agg(
+        F.count("*").alias("total"), F.min(n).alias("min_len"), F.max(n).alias("max_len"), F.avg(n).alias("mean_len"), F.median(n).alias("median_len"),
+        F.count_if(coded).alias("with_code"), F.count_if(coded & codes.agrees_with_any(codes.cleaned(F.col("hts_code")), F.transform("tariffs", codes.cleaned))).alias("agreeing"),
+        (F.count("*") - F.countDistinct("ruling_number")).alias("extra_products"), *[F.count_if(text.present(F.col(f))).alias(f"with_{f}") for f in fields],
+    )
+
+
+#: The columns of the table of extracted products, whose key is (ruling_number, product_idx).
+EXTRACTIONS = "ruling_number string not null, product_idx int not null, description string, hts_code string, product_use string, materials string, reasoning string, hts_text string, country string, extraction_model string, tokens_used int, extracted_at timestamp, raw_response string"
+
+
+def ensured(spark: SparkSession, path: str, schema: str = EXTRACTIONS) -> DataFrame:
+    """SK6: the table at the path, written empty if it is not there yet."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").parquet(path)
+    return spark.read.schema(empty.schema).parquet(path)
+
+
+def failure_rows(rulings: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """SK5, ST10: a sentinel row for each ruling, or for each that gave no product."""
+    if products is not None:
+        rulings = rulings.join(products.select("ruling_number"), "ruling_number", "left_anti")
     return rulings.select("ruling_number", F.lit(0).alias("product_idx"), F.lit(FAILED).alias("description"))

@@ -1,6 +1,7 @@
 """Scoring of predictions against gold codes (AG13-AG15, AG20, JN8, JN12, FL11, WN4).
 
-Input rows: gold array<string>, gold_abstain, parse_ok, pred_present, pred_abstain booleans, pred string.
+Input rows: gold array<string>, gold_abstain, parse_ok, pred_present, pred_abstain booleans, pred string, and, where the
+consistency of the predicted hierarchy is asked for, pred_chapter, pred_heading, pred_subheading strings.
 """
 
 from __future__ import annotations
@@ -10,15 +11,37 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tariffspark.functions import codes
+from tariffspark.functions.text import let
 
 _LEVELS = ("exact", "chapter", "heading", "subheading")
+BUCKETS = (
+    "parse_failure", "missing_prediction", "missed_abstain", "false_abstain", "hallucinated_code", "wrong_chapter",
+    "right_chapter_wrong_heading", "right_heading_wrong_subheading", "right_subheading_wrong_full",
+)
+_PARTS = ("pred_chapter", "pred_heading", "pred_subheading")
 
 
 def flagged(preds: DataFrame) -> DataFrame:
-    """Match flags, computed once for all reports. A prediction counts as valid if it parsed, is no abstention and is a code."""
-    valid = F.col("parse_ok") & F.col("pred_present") & ~F.col("pred_abstain") & codes.is_valid(F.col("pred"))
-    out = preds.withColumn("valid", valid & ~F.col("gold_abstain"))
-    return out.withColumns({f"hit_{k}": F.col("valid") & codes.matches_any(F.col("pred"), F.col("gold"), k) for k in _LEVELS})
+    """Match flags, computed once for all reports, from codes that are normalised once.
+
+    A prediction counts as valid if it parsed, is no abstention and is a code. `flags` holds valid, consistent and hit_*.
+    """
+    able = F.col("parse_ok") & F.col("pred_present") & ~F.col("pred_abstain") & ~F.col("gold_abstain")
+    own = F.when(able & codes.is_valid(F.col("pred")), codes.normalized(F.col("pred")))
+    golds = F.filter(F.transform("gold", codes.normalized), lambda g: g.isNotNull())
+    agrees = codes.consistent(*[F.col(c) if c in preds.columns else F.lit(None).cast("string") for c in _PARTS], F.col("pred"))
+
+    def flags(v: Column) -> Column:
+        valid = v["own"].isNotNull()
+        hit = lambda n: valid & F.exists(v["golds"], lambda g: F.left(g, F.lit(n)) == F.left(v["own"], F.lit(n)))
+        hits = [F.coalesce(hit(codes.LEVELS[k]), F.lit(False)).alias(f"hit_{k}") for k in _LEVELS]
+        return F.struct(valid.alias("valid"), (valid & v["agrees"]).alias("consistent"), *hits)
+
+    return preds.withColumn("flags", let(F.struct(own.alias("own"), golds.alias("golds"), agrees.alias("agrees")), flags))
+
+
+def _hit(k: str) -> Column:
+    return F.col(f"flags.hit_{k}")
 
 
 def _metrics() -> list[Column]:
@@ -26,8 +49,9 @@ def _metrics() -> list[Column]:
     abstain = F.greatest(F.count_if("gold_abstain"), F.lit(1))
     return [
         F.count("*").alias("total"), (F.count_if("parse_ok") / F.greatest(F.count("*"), F.lit(1))).alias("parse_rate"),
-        *[(F.count_if(f"hit_{k}") / n).alias(f"{k}_match") for k in _LEVELS],
-        (F.count_if(F.col("gold_abstain") & F.col("parse_ok") & F.col("pred_abstain")) / abstain).alias("abstain_recall"),
+        *[(F.count_if(_hit(k)) / n).alias(f"{k}_match") for k in _LEVELS],
+        (F.count_if(F.col("gold_abstain") & F.col("parse_ok") & F.col("pred_abstain")) / abstain).alias("abstain_recall"), F.count_if("gold_abstain").alias("abstain_count"),
+        (F.count_if("flags.consistent") / F.greatest(F.count_if("flags.valid"), F.lit(1))).alias("hierarchy_consistency"),
     ]
 
 
@@ -36,11 +60,16 @@ def metrics(flags: DataFrame) -> DataFrame:
     return flags.agg(*_metrics())
 
 
+def parse_totals(preds: DataFrame) -> DataFrame:
+    """AG20."""
+    return preds.agg(F.count("*").alias("total"), F.count_if("parse_ok").alias("parse_ok"), F.count_if(~F.coalesce("parse_ok", F.lit(False))).alias("parse_fail"))
+
+
 def by_chapter(flags: DataFrame) -> DataFrame:
     """AG14: by the chapter of the first gold code, abstentions and bad codes left out."""
     chapter = codes.prefix(F.get("gold", F.lit(0)), 2)
-    own = flags.where(~F.col("gold_abstain")).withColumn("chapter", chapter).where("chapter is not null")
-    return own.groupBy("chapter").agg(F.count("*").alias("total"), *[(F.count_if(f"hit_{k}") / F.count("*")).alias(f"{k}_match") for k in _LEVELS])
+    per = flags.where(~F.col("gold_abstain")).groupBy(chapter.alias("chapter")).agg(F.count("*").alias("total"), *[(F.count_if(_hit(k)) / F.count("*")).alias(f"{k}_match") for k in _LEVELS])
+    return per.where("chapter is not null")
 
 
 def bucket() -> Column:
@@ -48,26 +77,29 @@ def bucket() -> Column:
     c = F.col
     return (
         F.when(~c("parse_ok"), "parse_failure").when(~c("pred_present"), "missing_prediction").when(c("gold_abstain") & ~c("pred_abstain"), "missed_abstain")
-        .when(~c("gold_abstain") & c("pred_abstain"), "false_abstain").when(c("gold_abstain"), None).when(~c("valid"), "hallucinated_code").when(c("hit_exact"), None)
-        .when(~c("hit_chapter"), "wrong_chapter").when(~c("hit_heading"), "right_chapter_wrong_heading").when(~c("hit_subheading"), "right_heading_wrong_subheading")
+        .when(~c("gold_abstain") & c("pred_abstain"), "false_abstain").when(c("gold_abstain"), None).when(~c("flags.valid"), "hallucinated_code").when(_hit("exact"), None)
+        .when(~_hit("chapter"), "wrong_chapter").when(~_hit("heading"), "right_chapter_wrong_heading").when(~_hit("subheading"), "right_heading_wrong_subheading")
         .otherwise("right_subheading_wrong_full")
     )
 
 
 def error_buckets(flags: DataFrame) -> DataFrame:
-    return flags.withColumn("bucket", bucket()).where("bucket is not null").groupBy("bucket").agg(F.count("*").alias("n"))
+    """(bucket, n) of the errors there are: one row of counts, turned; a filter on the bucket would be pushed down and worked out twice."""
+    one = flags.withColumn("bucket", bucket()).agg(*[F.count_if(F.col("bucket") == b).alias(b) for b in BUCKETS])
+    return one.unpivot([], list(BUCKETS), "bucket", "n").where("n > 0")
 
 
-def error_samples(flags: DataFrame, order: list[str], most: int = 5) -> DataFrame:
-    """WN4: the first rows of each bucket. Candidates are ranked inside hash parts first, so no bucket is sorted by one task."""
-    rows = flags.withColumn("bucket", bucket()).where("bucket is not null").withColumn("part", F.pmod(F.xxhash64(*order), F.lit(64)))
+def error_samples(flags: DataFrame, order: list[str], texts: tuple[str, ...] = (), most: int = 5, width: int = 200) -> DataFrame:
+    """WN4: the first rows of each bucket, their texts cut to `width`. Candidates are ranked inside hash parts first, so no bucket is sorted by one task."""
+    rows = flags.withColumn("bucket", bucket()).withColumn("part", F.pmod(F.xxhash64(*order), F.lit(64)))
     few = rows.withColumn("rn", F.row_number().over(W.partitionBy("bucket", "part").orderBy(*order))).where(F.col("rn") <= most)
-    return few.withColumn("rn", F.row_number().over(W.partitionBy("bucket").orderBy(*order))).where(F.col("rn") <= most).drop("part")
+    first = few.withColumn("rn", F.row_number().over(W.partitionBy("bucket").orderBy(*order))).where((F.col("rn") <= most) & F.col("bucket").isNotNull())
+    return first.withColumns({t: F.left(F.col(t), F.lit(width)) for t in texts}).drop("part")
 
 
 def failures(flags: DataFrame) -> DataFrame:
     """FL11: parsed, no abstention, a valid code, but none of the gold codes."""
-    return flags.where(F.col("valid") & ~F.col("hit_exact"))
+    return flags.where(F.col("flags.valid") & ~_hit("exact"))
 
 
 def deltas(old: DataFrame, new: DataFrame) -> DataFrame:

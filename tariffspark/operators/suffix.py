@@ -1,8 +1,8 @@
-"""Code-frequency index and completion of full codes (AG10-AG12, AG16, JN6, WN3, section 2.12)."""
+"""Code-frequency index and completion of full codes (AG10-AG12, AG16, FL12, JN6, SC12, WN3, section 2.12)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffspark.functions import codes
@@ -13,6 +13,22 @@ def index(rows: DataFrame, code: str = "gold_code", abstain: str = "gold_abstain
     return rows.where(~F.col(abstain)).select(codes.index_code(F.col(code)).alias("code")).where("code is not null").groupBy("code").agg(F.count("*").alias("n"))
 
 
+def skipped(rows: DataFrame, code: str = "gold_code", abstain: str = "gold_abstain") -> DataFrame:
+    """FL12: one row: rows that are indexed, abstentions, and codes too short or no codes."""
+    bad = ~F.col(abstain) & codes.index_code(F.col(code)).isNull()
+    return rows.agg(F.count_if(~F.col(abstain) & ~bad).alias("indexed"), F.count_if(abstain).alias("skipped_abstain"), F.count_if(bad).alias("skipped_short"))
+
+
+def store(idx: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The index as a table, for load; sorted ranges, so that a lookup of few codes reads few files."""
+    idx.repartitionByRange("code").sortWithinPartitions("code").write.mode(mode).parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """SC12: a stored index."""
+    return spark.read.schema("code string, n long").parquet(path)
+
+
 def children(idx: DataFrame) -> DataFrame:
     """AG11: for each 8-digit prefix its codes, most frequent first, then by code. A prefix has at most 100 codes."""
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "code")))

@@ -19,7 +19,7 @@ ITEMS = """select doc_id as seq, text as description, source, lang,
   concat(lpad(cast(n_chars % 97 + 1 as varchar(20)), 2, '0'), lpad(cast(n_chars * 17 % 89 as varchar(20)), 2, '0'), '.',
          lpad(cast(n_chars % 7 * 10 as varchar(20)), 2, '0'), '.', lpad(cast(n_chars % 13 * 10 as varchar(20)), 4, '0')) as hts_code
 from documents"""
-PREDS = """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, g as gold_code, k,
+_PREDS = """select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, g as gold_code, k,
   case when l_linenumber % 3 = 0 then concat(substr(g, 1, 8), '99') end as gold_2,
   l_orderkey % 11 = 0 as gold_abstain, k <> 8 as parse_ok, k <> 9 as pred_present, k = 10 or (l_orderkey % 11 = 0 and k < 7) as pred_abstain,
   case when k not in (8, 9, 10) and not (l_orderkey % 11 = 0 and k < 7) then
@@ -29,10 +29,16 @@ from (select *, (l_orderkey + l_linenumber) % 12 as k,
     concat(lpad(cast(l_partkey % 97 + 1 as varchar(20)), 2, '0'), lpad(cast(l_partkey % 89 as varchar(20)), 2, '0'),
            lpad(cast(l_suppkey % 83 as varchar(20)), 2, '0'), lpad(cast(l_orderkey % 7 * 10 as varchar(20)), 4, '0')) as g
   from lineitem) b"""
+PREDS = f"""select *, case when k = 11 then '73' else substr(pred, 1, 2) end as pred_chapter, case when k <> 1 then concat(substr(pred, 1, 2), '.', substr(pred, 3, 2)) end as pred_heading,
+  case when k = 0 then concat(substr(pred, 1, 4), '.99') else concat(substr(pred, 1, 4), '.', substr(pred, 5, 2)) end as pred_subheading from ({_PREDS}) w"""
+EXAMPLES = f"""select seq, description, source, lang, case when seq % 10 <> 9 then ruling_number end as ruling_number, hts_code, seq % 7 = 0 as abstain, case when seq % 7 = 0 then 'abstention' else 'hierarchical_classify' end as task_type,
+  case seq % 4 when 0 then 'rich' when 1 then 'minimal' when 2 then 'glossary_enriched' else 'materials_only' end as input_variant,
+  case when seq % 7 = 0 then case seq % 3 when 0 then 'vague_description' when 1 then 'missing_materials' else 'ambiguous_use' end end as abstain_category from ({ITEMS}) w"""
 _N = "replace(hts_code, '.', '')"
 FLAGS = f"""with preds as ({PREDS}), v as (select *, parse_ok and pred_present and not pred_abstain and not gold_abstain and coalesce(regexp_matches(pred, '^[0-9]{{4,10}}$'), false) as valid,
   rpad(coalesce(pred, ''), 10, '0') as p from preds),
-flags as (select *, """ + ", ".join(f"valid and (substr(p,1,{n}) = substr(gold_code,1,{n}) or coalesce(substr(p,1,{n}) = substr(gold_2,1,{n}), false)) as hit_{k}" for k, n in codes.LEVELS.items()) + " from v)"
+flags as (select *, """ + ", ".join(f"valid and (substr(p,1,{n}) = substr(gold_code,1,{n}) or coalesce(substr(p,1,{n}) = substr(gold_2,1,{n}), false)) as hit_{k}" for k, n in codes.LEVELS.items()) + """,
+  valid and ltrim(pred_chapter, '0') = ltrim(substr(p,1,2), '0') and (pred_heading is null or replace(pred_heading, '.', '') = substr(p,1,4)) and replace(pred_subheading, '.', '') = substr(p,1,6) as consistent from v)"""
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,10 +64,26 @@ def preds(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     code = F.when(k == 2, cut(8, "99")).when(k == 3, cut(6, "9900")).when(k == 4, cut(4, "990000")).when(k == 5, cut(2, "99000000")).when(k == 6, F.concat(F.lit("98"), F.substring("gold_code", 3, 8))).when(k == 7, F.lit("99")).otherwise(F.col("gold_code"))
     second = F.when(F.col("l_linenumber") % 3 == 0, cut(8, "99"))
-    return li.select(
+    known = li.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "gold_code", "k", second.alias("gold_2"), F.array_compact(F.array("gold_code", second)).alias("gold"), "gold_abstain",
         (k != 8).alias("parse_ok"), (k != 9).alias("pred_present"), "pred_abstain", F.when(~k.isin(8, 9, 10) & ~F.col("pred_abstain"), code).alias("pred"),
     )
+    at = lambda i, n: F.substring("pred", i, n)
+    return known.withColumns({
+        "pred_chapter": F.when(k == 11, "73").otherwise(at(1, 2)), "pred_heading": F.when(k != 1, F.concat(at(1, 2), F.lit("."), at(3, 2))),
+        "pred_subheading": F.when(k == 0, F.concat(at(1, 4), F.lit(".99"))).otherwise(F.concat(at(1, 4), F.lit("."), at(5, 2))),
+    })
+
+
+def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items as training examples, with abstentions and rows that have no ruling."""
+    q = F.col("seq")
+    abstain = q % 7 == 0
+    pick = lambda n, names: F.element_at(F.array(*map(F.lit, names)), (q % n + 1).cast("int"))
+    return items(spark, sf_dir).withColumns({
+        "ruling_number": F.when(q % 10 != 9, F.col("ruling_number")), "abstain": abstain, "task_type": F.when(abstain, "abstention").otherwise("hierarchical_classify"),
+        "input_variant": pick(4, ("rich", "minimal", "glossary_enriched", "materials_only")), "abstain_category": F.when(abstain, pick(3, build.CATEGORIES)),
+    })
 
 
 def query(sql: str | None = None):
@@ -77,11 +99,16 @@ def query(sql: str | None = None):
 _M = "count_if(hit_exact)/greatest(count_if(not gold_abstain),1) as exact_match, count_if(hit_chapter)/greatest(count_if(not gold_abstain),1) as chapter_match, count_if(hit_heading)/greatest(count_if(not gold_abstain),1) as heading_match, count_if(hit_subheading)/greatest(count_if(not gold_abstain),1) as subheading_match"
 
 
-@query(f"{FLAGS} select count(*) as total, count_if(parse_ok)/count(*) as parse_rate, {_M}, count_if(gold_abstain and parse_ok and pred_abstain)/greatest(count_if(gold_abstain),1) as abstain_recall from flags")
+@query(f"{FLAGS} select count(*) as total, count_if(parse_ok)/count(*) as parse_rate, {_M}, count_if(gold_abstain and parse_ok and pred_abstain)/greatest(count_if(gold_abstain),1) as abstain_recall, count_if(gold_abstain) as abstain_count, count_if(consistent)/greatest(count_if(valid),1) as hierarchy_consistency from flags")
 def eval_metrics(spark, sf_dir):
     return score.metrics(score.flagged(preds(spark, sf_dir)))
 
 
+@query(f"with preds as ({PREDS}) select count(*) as total, count_if(parse_ok) as parse_ok, count_if(not parse_ok) as parse_fail from preds")
+def parse_totals(spark, sf_dir):
+    return score.parse_totals(preds(spark, sf_dir))
+
+
 @query(f"{FLAGS} select substr(gold_code,1,2) as chapter, count(*) as total, {_M} from flags where not gold_abstain group by 1")
 def eval_by_chapter(spark, sf_dir):
     return score.by_chapter(score.flagged(preds(spark, sf_dir)))
@@ -98,9 +125,10 @@ def error_buckets(spark, sf_dir):
 _ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
-@query(f"{FLAGS} select bucket, rn, l_orderkey, l_linenumber, l_partkey, gold_code, pred from (select *, row_number() over (partition by bucket order by {', '.join(_ORDER)}) as rn from (select *, {_BUCKET} as bucket from flags) where bucket is not null) where rn <= 5")
+@query(f"{FLAGS} select bucket, rn, l_orderkey, l_linenumber, l_partkey, gold_code, pred, substr(repeat(gold_code, 30), 1, 200) as description from (select *, row_number() over (partition by bucket order by {', '.join(_ORDER)}) as rn from (select *, {_BUCKET} as bucket from flags) where bucket is not null) where rn <= 5")
 def error_samples(spark, sf_dir):
-    return score.error_samples(score.flagged(preds(spark, sf_dir)), _ORDER).select("bucket", "rn", "l_orderkey", "l_linenumber", "l_partkey", "gold_code", "pred")
+    rows = preds(spark, sf_dir).withColumn("description", F.repeat("gold_code", 30))
+    return score.error_samples(score.flagged(rows), _ORDER, ("description",)).select("bucket", "rn", "l_orderkey", "l_linenumber", "l_partkey", "gold_code", "pred", "description")
 
 
 @query(f"{FLAGS} select l_orderkey, l_linenumber, gold_code, pred from flags where valid and not hit_exact")
@@ -133,6 +161,12 @@ def suffix_meta(spark, sf_dir):
     return suffix.meta(suffix.index(preds(spark, sf_dir)))
 
 
+@query(f"with preds as ({PREDS}), c as (select gold_abstain as a, case when k % 3 = 0 then substr(gold_code, 1, 6) else gold_code end as code from preds) select count_if(not a and length(code) >= 8) as indexed, count_if(a) as skipped_abstain, count_if(not a and length(code) < 8) as skipped_short from c")
+def suffix_skipped(spark, sf_dir):
+    cut = F.when(F.col("k") % 3 == 0, F.substring("gold_code", 1, 6)).otherwise(F.col("gold_code"))
+    return suffix.skipped(preds(spark, sf_dir).withColumn("gold_code", cut))
+
+
 _DONE = f"""with preds as ({PREDS}), {_INDEX}, best as (select substr(code,1,8) as prefix, first(code order by n desc, code) as best from idx group by 1),
 done as (select p.*, case when pred_abstain then 'skipped_abstain' when pred is null then 'skipped_no_code' when i.code is not null then 'valid' when best is null then 'no_8digit_match' when best = rpad(pred,10,'0') then 'no_change_possible' else 'completed' end as reason, best
   from preds p left join idx i on i.code = rpad(p.pred,10,'0') left join best b on b.prefix = substr(rpad(p.pred,10,'0'),1,8))"""
@@ -156,10 +190,32 @@ def code_hierarchy(spark, sf_dir):
     return items(spark, sf_dir).select("seq", codes.normalized(c).alias("normalized"), codes.dotted(c).alias("dotted"), *[codes.prefix(c, codes.LEVELS[k]).alias(k) for k in ("chapter", "heading", "subheading")])
 
 
-@query(f"with items as ({ITEMS}) select seq, substr(hts_code,1,4) || '.' as given, rpad(substr(hts_code,1,4),10,'0') as normalized, substr(hts_code,1,4) || '.00.0000' as dotted, true as ok, substr({_N},1,4) as eight, true as agrees from items")
+_GIVEN = f"case seq % 5 when 0 then substr(hts_code,1,4) || '.' when 1 then substr(hts_code,1,2) when 2 then substr(hts_code,1,4) || 'AB' when 3 then {_N} || '77' else ' ' || hts_code || '-' end"
+_FORM = f"case seq % 5 when 0 then rpad(substr(hts_code,1,4),10,'0') when 3 then {_N} || '77' when 4 then {_N} end"
+
+
+@query(f"with items as ({ITEMS}), g as (select *, {_GIVEN} as given, {_FORM} as normalized from items) select seq, given, normalized, concat_ws('.', substr(normalized,1,4), substr(normalized,5,2), substr(normalized,7,4)) as dotted, seq % 5 in (0, 4) as ok, substr(regexp_replace(given, '[^0-9]', '', 'g'),1,8) as eight, substr(normalized,1,2) as chapter, substr(normalized,1,10) as exact, seq % 5 in (0, 1, 3) as agrees, seq % 6 = 5 as agrees_other from g")
 def code_short_forms(spark, sf_dir):
-    given = F.concat(F.substring("hts_code", 1, 4), F.lit("."))
-    return items(spark, sf_dir).select("seq", given.alias("given"), codes.normalized(given).alias("normalized"), codes.dotted(given).alias("dotted"), codes.is_valid(given).alias("ok"), codes.digit_prefix(given, 8).alias("eight"), codes.agrees_with_any(F.col("hts_code"), F.array(given)).alias("agrees"))
+    """CD1-CD5, CD7, CD11 on short, invalid, over-long and spaced codes, and on tariffs that disagree."""
+    c, q = F.col("hts_code"), F.col("seq")
+    bare = F.replace(c, F.lit("."), F.lit(""))
+    given = F.when(q % 5 == 0, F.concat(F.substring(c, 1, 4), F.lit("."))).when(q % 5 == 1, F.substring(c, 1, 2)).when(q % 5 == 2, F.concat(F.substring(c, 1, 4), F.lit("AB"))).when(q % 5 == 3, F.concat(bare, F.lit("77"))).otherwise(F.concat(F.lit(" "), c, F.lit("-")))
+    rows = items(spark, sf_dir).withColumn("given", given)
+    g, levels = F.col("given"), codes.hierarchy(F.col("given"))
+    other = F.array(F.lit("no code"), F.when(q % 6 == 5, c).otherwise(F.concat(F.lit("00"), c)))
+    return rows.select("seq", "given", codes.normalized(g).alias("normalized"), codes.dotted(g).alias("dotted"), codes.is_valid(g).alias("ok"), codes.digit_prefix(g, 8).alias("eight"), levels["chapter"].alias("chapter"), levels["exact"].alias("exact"), codes.agrees_with_any(c, F.array(F.rtrim(g, F.lit("-")))).alias("agrees"), codes.agrees_with_any(c, other).alias("agrees_other"))
+
+
+@query(f"with items as ({ITEMS}) select seq, case when seq % 4 = 0 then '1' else substr(hts_code,1,2) end as chapter_code, case when seq % 4 = 1 then '99.99' else substr(hts_code,1,2) || '.' || substr(hts_code,3,2) end as heading_code, substr(hts_code,1,4) || '.' || substr({_N},5,2) as subheading_code, not (seq % 4 = 0 and substr(hts_code,1,2) <> '01') and not (seq % 4 = 1 and substr(hts_code,1,4) <> '9999') as consistent from items")
+def code_backfill(spark, sf_dir):
+    """CD12-CD14: missing levels come from those below; given ones may contradict the code."""
+    c, q = F.col("hts_code"), F.col("seq")
+    heading = F.when(q % 4 == 1, codes.canonical_level(F.lit("9999"), 2, 4)).when(q % 4 == 2, codes.canonical_level(F.substring(c, 1, 4), 2, 4))
+    sub = F.when(q % 4 == 3, codes.canonical_level(F.substring(codes.normalized(c), 1, 6), 4, 6)).otherwise("")
+    filled = codes.backfilled(F.when(q % 4 == 0, "1"), heading, sub, c)
+    # where the heading is given, the chapter is its own
+    chapter = F.when(q % 4 == 1, F.substring(c, 1, 2)).otherwise(filled["chapter_code"])
+    return items(spark, sf_dir).select("seq", chapter.alias("chapter_code"), filled["heading_code"].alias("heading_code"), filled["subheading_code"].alias("subheading_code"), codes.consistent(chapter, filled["heading_code"], filled["subheading_code"], c).alias("consistent"))
 
 
 @query(f"with items as ({ITEMS}) select seq, {_N} as hts_code from items where length(description) between 30 and 2048")
@@ -202,9 +258,20 @@ def audit_imbalance(spark, sf_dir):
     return audit.imbalance(items(spark, sf_dir))
 
 
-@query("select count(*) as total, count_if(coalesce(text,'')<>'') as with_text, count_if(coalesce(lang,'')<>'') as with_lang from documents")
+@query(f"with e as ({EXAMPLES}) select 'source' as kind, source as value, count(*) as n from e where source is not null group by 2 union all select 'chapter', case when abstain then '__abstain__' else substr(hts_code,1,2) end, count(*) from e group by 2 union all select 'task', task_type, count(*) from e group by 2 union all select 'variant', input_variant, count(*) from e where not abstain group by 2 union all select 'abstain_category', abstain_category, count(*) from e where abstain group by 2")
+def audit_training(spark, sf_dir):
+    return audit.training_counts(examples(spark, sf_dir))
+
+
+@query(f"with e as ({EXAMPLES}) select count(*) as total, count_if(abstain) as n_abstain, count_if(abstain) / greatest(count(*), 1) as abstain_rate from e")
+def audit_abstentions(spark, sf_dir):
+    return audit.abstentions(examples(spark, sf_dir))
+
+
+@query(f"with e as ({EXAMPLES}) select count_if(not abstain) as total, count_if(not abstain and coalesce(description,'')<>'') as with_description, count_if(not abstain and coalesce(ruling_number,'')<>'') as with_ruling_number, count_if(not abstain and seq % 3 > 0) as with_terms from e")
 def audit_coverage(spark, sf_dir):
-    return audit.coverage(_table(spark, sf_dir, "documents"), ["text", "lang"])
+    terms = F.slice(F.array(F.lit("a"), F.lit("b")), F.lit(1), (F.col("seq") % 3).cast("int"))
+    return audit.coverage(examples(spark, sf_dir).withColumn("terms", terms), ["description", "ruling_number"], ("terms",))
 
 
 _DIMS = "chapters as (select distinct lpad(cast(p_size as varchar(20)),2,'0') as chapter, concat('size ', p_size) as chapter_description from part), headings as (select substr(hts_code,1,4) as hts4, min(source) as heading_description from items where seq % 3 = 0 group by 1), tariffs as (select concat(substr(hts_code,1,4), substr(hts_code,6,2), substr(hts_code,9,2)) as hts8, min(lang) as tariff_description from items where seq % 2 = 0 group by 1)"
@@ -229,6 +296,12 @@ def current_valid(spark, sf_dir):
     return rulings.current_valid(i, tariffs).select("seq", "level_code", "is_valid")
 
 
+@query(f"with items as ({ITEMS}), {_DIMS} select count(*) as total, count(hts8) as kept, count(*) - count(hts8) as excluded, 100 * count(hts8) / count(*) as pct_kept from items left join tariffs on hts8 = substr({_N},1,8)")
+def export_stats(spark, sf_dir):
+    i, _, _, tariffs = _dims(spark, sf_dir)
+    return rulings.export_stats(rulings.current_valid(i, tariffs))
+
+
 @query(f"with items as ({ITEMS}), {_DIMS} select 8 as digits, hts8 as code from tariffs union select 6, substr(hts8,1,6) from tariffs union select 4, substr(hts8,1,4) from tariffs")
 def valid_code_sets(spark, sf_dir):
     return rulings.valid_sets(_dims(spark, sf_dir)[3])
@@ -259,6 +332,120 @@ def paged_export(spark, sf_dir):
     return rulings.page(_table(spark, sf_dir, "documents").select("doc_id", "n_chars"), [F.desc_nulls_last("n_chars"), "doc_id"], 20, 50)
 
 
+def _rulings(spark, sf_dir):
+    """Documents as rulings: some revoked, some without tariffs, some of other categories."""
+    q = F.col("doc_id")
+    tariffs = F.when(q % 5 == 0, F.array().cast("array<string>")).when(q % 5 == 1, F.array(F.lit("0101.21.00"), F.lit("0102.21.00"))).otherwise(F.array(F.concat(F.lit("61"), F.lpad((q % 100).cast("string"), 2, "0"), F.lit(".20.00"))))
+    category = F.when(q % 3 == 0, "Tariff Classification").when(q % 3 == 1, "Origin")
+    subject = F.concat(F.lit("The tariff classification of item "), q, F.when(q % 2 == 0, " from afar.").otherwise(""))
+    return _table(spark, sf_dir, "documents").select(
+        q.cast("string").alias("ruling_number"), F.when(q % 11 == 0, "too short").otherwise(subject).alias("subject"), tariffs.alias("tariffs"), category.alias("categories"), F.when(q % 7 == 0, True).when(q % 7 == 1, False).alias("is_revoked"),
+        F.lit("2020-01-02").alias("ruling_date"), F.col("text").alias("ruling_text"), "doc_id",
+    )
+
+
+_RULINGS = "r as (select cast(doc_id as varchar) as ruling_number, doc_id, text as ruling_text, case when doc_id % 11 = 0 then 'too short' else 'The tariff classification of item ' || doc_id || case when doc_id % 2 = 0 then ' from afar.' else '' end end as subject, case when doc_id % 5 = 0 then null when doc_id % 5 = 1 then '0101.21.00' else '61' || lpad(cast(doc_id % 100 as varchar), 2, '0') || '.20.00' end as first_tariff from documents)"
+
+
+@query(f"with {_RULINGS} select ruling_number from r where doc_id % 3 = 0 and doc_id % 7 <> 0 and doc_id % 5 <> 0 and length(ruling_text) > 100")
+def eligible_rulings(spark, sf_dir):
+    """JN2, FL5."""
+    r = _rulings(spark, sf_dir)
+    return rulings.eligible(r.drop("ruling_text"), r.select("ruling_number", "ruling_text")).select("ruling_number")
+
+
+@query(f"with {_RULINGS} select ruling_number from r where length(subject) > 20")
+def subject_filter(spark, sf_dir):
+    """FL6."""
+    return rulings.with_subjects(_rulings(spark, sf_dir)).select("ruling_number")
+
+
+@query(f"""with {_RULINGS}, b as (select *, case when doc_id % 4 = 0 then 'a machine for sorting number ' || doc_id end as product,
+  case when subject = 'too short' then subject when doc_id % 2 = 0 then 'item ' || doc_id || ' from afar' when length('item ' || doc_id) > 10 then 'item ' || doc_id else subject end as cleaned from r where first_tariff is not null)
+select ruling_number, first_tariff as hts_code, coalesce(product, cleaned) as description, case when product is null then 'subject' else 'ruling_text' end as description_source from b where length(coalesce(product, cleaned)) >= 10""")
+def ruling_export(spark, sf_dir):
+    """ST4, FL10."""
+    q = F.col("doc_id")
+    body = F.when(q % 4 == 0, F.concat(F.lit("Dear Sir:\n\nThe subject merchandise is a machine for sorting\n number "), q, F.lit("\n\nThe applicable heading is none."))).otherwise("No description.")
+    return rulings.exported(_rulings(spark, sf_dir).withColumn("body", body), "body").select("ruling_number", "hts_code", "description", "description_source")
+
+
+@query("select doc_id from documents where length(text) >= 30")
+def enrichment_filter(spark, sf_dir):
+    """FL8."""
+    return rulings.described(_table(spark, sf_dir, "documents").withColumnRenamed("text", "enriched_description")).select("doc_id")
+
+
+@query(f"with items as ({ITEMS}) select seq from items where seq % 9 <> 0 and seq % 40 between 20 and 35 and seq % 4 <> 0")
+def export_filter(spark, sf_dir):
+    """FL3, FL4: no failures, reasoning of 20 to 35 characters, a code of four digits."""
+    q = F.col("seq")
+    rows = items(spark, sf_dir).select("seq", F.when(q % 9 == 0, rulings.FAILED).otherwise("a thing").alias("description"), F.when(q % 40 > 0, F.repeat(F.lit("r"), (q % 40).cast("int"))).alias("reasoning"), F.when(q % 4 == 0, "1.0").otherwise(F.col("hts_code")).alias("hts_code"))
+    return rulings.export_filter(rows, 20, 35).select("seq")
+
+
+@query(f"with {_RULINGS} select ruling_number, product_idx, subject from r, (values (0), (1)) v(product_idx) where doc_id % 3 > product_idx")
+def extraction_join(spark, sf_dir):
+    """JN1: products without a ruling go."""
+    r = _rulings(spark, sf_dir)
+    extracted = r.where("doc_id % 3 > 0").select("ruling_number", F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 3 - 1).cast("int"))).alias("product_idx"))
+    return rulings.extractions(extracted.union(spark.createDataFrame([("unknown", 0)], "a string, b int")), r).select("ruling_number", "product_idx", "subject")
+
+
+@query("select cast(doc_id as varchar) as ruling_number, 0 as product_idx, '__EXTRACTION_FAILED__' as description from documents where doc_id % 4 = 0")
+def extraction_failures(spark, sf_dir):
+    """SK5, ST10: rulings none of whose products survived."""
+    r = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("ruling_number"), "doc_id")
+    said = F.when(F.col("doc_id") % 4 == 0, '{"products":[{"description":"short"}]}').otherwise('{"products":[{"description":"a description that is long enough"}]}')
+    return rulings.failure_rows(r, extraction.products(r.select("ruling_number", said.alias("content"))))
+
+
+@query("select count(distinct o_custkey) as rulings, count(*) as products, sum(o_orderkey % 5000) as tokens, round(floor(sum(o_orderkey % 5000) * 0.8) * 0.20 / 1e6 + floor(sum(o_orderkey % 5000) * 0.2) * 1.25 / 1e6, 2) as cost from orders")
+def extraction_totals(spark, sf_dir):
+    """AG18."""
+    return extraction.totals(_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("ruling_number"), (F.col("o_orderkey") % 5000).alias("tokens_used")))
+
+
+@query(f"""with items as ({ITEMS}), r as (select *, case when seq % 4 <> 3 then hts_code end as code from items), m as (select median(length(description)) as median_len from r)
+select count(*) as total, min(length(description)) as min_len, max(length(description)) as max_len, avg(length(description)) as mean_len, any_value(median_len) as median_len, count_if(code is not null) as with_code,
+  count_if(seq % 4 = 1 or (seq % 4 <> 3 and substr({_N},1,8) = '01012100')) as agreeing, count(*) - count(distinct ruling_number) as extra_products, count_if(coalesce(lang,'')<>'') as with_lang from r, m""")
+def sample_summary(spark, sf_dir):
+    """AG19."""
+    q = F.col("seq")
+    rows = items(spark, sf_dir).withColumn("tariffs", F.array(F.lit("0101.21.00"), F.when(q % 4 == 1, F.substring("hts_code", 1, 10)))).withColumn("hts_code", F.when(q % 4 != 3, F.col("hts_code")))
+    return rulings.sample_summary(rows, ["lang"])
+
+
+@query("select doc_id, case when doc_id % 3 = 0 then 'a,b ' || doc_id when doc_id % 3 = 1 then '' else '' end as members, case when doc_id % 3 = 0 then 2 else 0 end as n from documents")
+def decoded_lists(spark, sf_dir):
+    """ST12: a list in JSON; what is none is empty."""
+    q = F.col("doc_id")
+    said = F.when(q % 3 == 0, F.concat(F.lit('["a","b '), q, F.lit('"]'))).when(q % 3 == 1, "not json")
+    found = rulings.decoded_list("said")
+    return _table(spark, sf_dir, "documents").withColumn("said", said).select("doc_id", F.array_join(found, ",").alias("members"), F.size(found).alias("n"))
+
+
+@query("select doc_id, 'Ruling: N' || doc_id || chr(10) || 'Tariffs: 0101, 0102' || chr(10) || chr(10) || lang as prompt from documents")
+def extraction_prompt(spark, sf_dir):
+    """ST11."""
+    return _table(spark, sf_dir, "documents").select("doc_id", extraction.prompt(F.concat(F.lit("N"), F.col("doc_id")), F.array(F.lit("0101"), F.lit("0102")), F.col("lang")).alias("prompt"))
+
+
+@query("select doc_id, 'one' || chr(10) || chr(10) || lang || chr(10) || 'two' as body from documents")
+def clean_tiers(spark, sf_dir):
+    """ST5."""
+    body = F.concat(F.lit("Correction to Ruling N1 of May\r\n \r\none\r\n\r\n\n\n"), F.col("lang"), F.lit("\rtwo \n"))
+    return _table(spark, sf_dir, "documents").select("doc_id", text.clean_tier(body).alias("body"))
+
+
+@query("select conv_id, turn, 'HTS 0101.21.00' as gold from conversations where turn > 0 and conv_id % 2 = 0")
+def benchmark_rows(spark, sf_dir):
+    """FL13, ST26: rows of two messages or more that have a gold code."""
+    said = F.when(F.col("conv_id") % 2 == 0, "HTS US Code -> 0101.21.00").otherwise("HTS US Code -> none")
+    rows = _table(spark, sf_dir, "conversations").withColumn("messages", F.array_repeat(F.struct("role", said.alias("content")), (F.col("turn") + 1).cast("int")))
+    return extraction.benchmark(rows).select("conv_id", "turn", F.concat(F.lit("HTS "), F.array_join("hts_code", ",")).alias("gold"))
+
+
 @query("select c_custkey as k, c_acctbal as v from customer where c_custkey % 3 <> 0 union all select c_custkey, c_acctbal + 1 from customer where c_custkey % 3 = 0")
 def upsert_merge(spark, sf_dir):
     old = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_acctbal").alias("v"))
@@ -278,9 +465,14 @@ def abstain_inject(spark, sf_dir):
     return build.abstain_rows(items(spark, sf_dir), 0.1).select("seq")
 
 
-@query(f"with items as ({ITEMS}) select seq from (select seq, row_number() over (partition by hts_code order by md5('42|' || seq), seq) as rn from items) where rn <= 2")
+@query(f"with e as ({EXAMPLES}) select seq from (select seq, abstain, row_number() over (partition by hts_code, abstain order by md5('42|' || seq), seq) as rn from e) where rn <= 1 or abstain")
 def freq_cap(spark, sf_dir):
-    return build.cap_per_code(items(spark, sf_dir), 2).select("seq")
+    return build.cap_per_code(examples(spark, sf_dir), 1).select("seq")
+
+
+@query(f"with items as ({ITEMS}) select seq, hts_code from items order by seq limit 50")
+def head_rows(spark, sf_dir):
+    return build.head(items(spark, sf_dir).select("seq", "hts_code"), 50)
 
 
 _W = r"list_filter(regexp_split_to_array(description, '[ \t\n\r\f\x0B]+'), lambda w: w <> '')"
@@ -299,21 +491,39 @@ def corrupt_categories(spark, sf_dir):
     return items(spark, sf_dir).groupBy(number.alias("category")).agg(F.count("*").alias("n"))
 
 
-_SPLIT = f"""with items as ({ITEMS}), g as (select ruling_number, arg_min(substr(hts_code,1,2), seq) as stratum from items group by 1),
-r as (select *, count(*) over (partition by stratum) as n, row_number() over (partition by stratum order by md5('42|' || ruling_number), ruling_number) as rk from g),
-q as (select *, case when n >= 3 then greatest(1, cast(floor(n * cast(0.1 as double)) as bigint)) else 0 end as v from r)
-select ruling_number, stratum, case when n - 2*v <= 0 or rk <= n - 2*v then 'train' when rk <= n - v then 'valid' else 'test' end as split from q"""
+_DEAL = "select *, case when n >= 3 then greatest(1, cast(floor(n * cast(0.1 as double)) as bigint)) else 0 end as v from r"
+_SIDE = "case when n - 2*v <= 0 or rk <= n - 2*v then 'train' when rk <= n - v then 'valid' else 'test' end"
+_SPLIT = f"""with e as ({EXAMPLES}), g as (select ruling_number, coalesce(arg_min(substr(hts_code,1,2), seq) filter (where not abstain), '__other__') as stratum from e where ruling_number is not null group by 1),
+r as (select *, count(*) over (partition by stratum) as n, row_number() over (partition by stratum order by md5('42|' || ruling_number), ruling_number) as rk from g), q as ({_DEAL}), s as (select ruling_number, stratum, {_SIDE} as split from q)"""
+_BY_ROW = f"""with e as ({EXAMPLES}), r as (select *, count(*) over (partition by stratum) as n, row_number() over (partition by stratum order by md5('42|' || seq), seq) as rk from (select *, case when abstain then '__abstain__' else substr(hts_code,1,2) end as stratum from e)),
+q as ({_DEAL}), s as (select seq, ruling_number, {_SIDE} as split from q)"""
 
 
-@query(_SPLIT)
+@query(f"{_SPLIT} select * from s")
 def split_ruling(spark, sf_dir):
-    return build.split_groups(items(spark, sf_dir))
+    return build.split_groups(examples(spark, sf_dir))
+
+
+@query(f"{_SPLIT} select seq, coalesce(split, 'train') as split from e left join s using (ruling_number)")
+def split_assigned(spark, sf_dir):
+    """Rows without a ruling train."""
+    return build.assigned(examples(spark, sf_dir)).select("seq", "split")
+
 
+@query(f"{_BY_ROW} select seq, split from s")
+def split_rows(spark, sf_dir):
+    return build.split_rows(examples(spark, sf_dir)).select("seq", "split")
 
-@query(f"select * from (values ('none')) t(ruling_number) where false")
+
+@query(f"{_BY_ROW} select count_if(split='train') as train, count_if(split='valid') as valid, count_if(split='test') as test, count(*) as total from s")
+def split_summary(spark, sf_dir):
+    return audit.split_summary(build.split_rows(examples(spark, sf_dir)))
+
+
+@query(f"{_BY_ROW} select ruling_number, count(distinct split) as n_splits from s where ruling_number is not null group by 1 having count(distinct split) > 1")
 def split_isolation(spark, sf_dir):
-    i = items(spark, sf_dir)
-    return build.leaking_groups(i.join(build.split_groups(i), "ruling_number")).select("ruling_number")
+    """JN10 on the split by rows, which does leak; the split by rulings is held against its own SQL."""
+    return build.leaking_groups(build.split_rows(examples(spark, sf_dir)))
 
 
 @query(f"with items as ({ITEMS}), q as (select lang, count(*) as c, row_number() over (order by lang) as i, count(*) over () as k from items group by lang), z as (select lang, case when i < k then greatest(1, 100 * c // (select count(*) from items)) else 100 - (select sum(greatest(1, 100 * c // (select count(*) from items))) from q where i < k) end as quota from q), r as (select seq, lang, row_number() over (partition by lang order by md5('42|' || seq), seq) as rn from items) select seq, r.lang from r join z on r.lang = z.lang where rn <= quota")
@@ -330,12 +540,23 @@ def glossary_match(spark, sf_dir):
     return found.where(F.size("terms") > 0).select("seq", F.array_join("terms", ",").alias("terms"))
 
 
-_SH = r"""l as (select doc_id as id, list_filter(regexp_split_to_array(lower(text), '[ \t\n\r\f\x0B]+'), lambda x: x <> '') as w from documents),
+@query(rf"with items as ({ITEMS}), m as (select seq, unnest(list_distinct(list_transform(regexp_extract_all(description, '(?i)\b(the and|from|that|with)\b', 1), lambda x: lower(x)))) as term from items), r as (select *, row_number() over (partition by seq order by md5('42|' || term), term) as rn from m), f as (select seq, string_agg(term || '=on ' || term, ';' order by rn) as terms from r where rn <= 2 group by seq) select seq, coalesce(terms, '') as terms from items left join f using (seq)")
+def glossary_definitions(spark, sf_dir):
+    """JN7 with definitions."""
+    glossary = spark.createDataFrame([(t.title(), f"on {t}") for t in _TERMS], "term string, definition string")
+    found = build.glossary_defined(items(spark, sf_dir), glossary, most=2)
+    return found.select("seq", F.array_join(F.transform("terms", lambda t: F.concat(t["term"], F.lit("="), t["definition"])), ";").alias("terms"))
+
+
+_SETS = r"""l as (select doc_id as id, list_filter(regexp_split_to_array(lower(text), '[ \t\n\r\f\x0B]+'), lambda x: x <> '') as w from documents),
 u as (select id, unnest(w) as w, generate_subscripts(w, 1) as i from l),
 t as (select id, w || chr(1) || lead(w) over o || chr(1) || lead(w, 2) over o as s from u window o as (partition by id order by i)),
 sh as (select distinct id, s from t where s is not null union all select id, '-' from l where len(w) < 3),
-n as (select id, count(*) as n from sh group by 1),
-p as (select x.id as a, y.id as b, count(*) as m from sh x join sh y on x.s = y.s and x.id < y.id group by 1, 2)"""
+n as (select id, count(*) as n from sh group by 1)"""
+_SH = f"""{_SETS},
+z as (select id, list_sort(list(s)) as s from sh group by id), reps as (select s, min(id) as rep from z group by s), own as (select id, rep from z join reps using (s)),
+u2 as (select sh.* from sh semi join reps on sh.id = reps.rep),
+p as (select x.id as a, y.id as b, count(*) as m from u2 x join u2 y on x.s = y.s and x.id < y.id group by 1, 2)"""
 
 
 def _sets(spark, sf_dir):
@@ -348,12 +569,19 @@ def neardup_pairs(spark, sf_dir):
     return normalize.similar_pairs(s, s, 0.8, same=True)
 
 
+@query(f"with {_SH} select id, rep from own")
+def neardup_members(spark, sf_dir):
+    """The representative of each row's set, which stands for it in neardup_pairs."""
+    return normalize.representatives(_sets(spark, sf_dir))
+
+
 @query()
 def fuzzy_dedup(spark, sf_dir):
-    """Greedy keep-first removal; its order-dependence is beyond SQL and is tested against a loop."""
+    """Greedy keep-first removal; its order-dependence is beyond SQL and is tested against a loop. Copies go with their first one."""
     s = _sets(spark, sf_dir)
     dropped = normalize.greedy_keep(normalize.similar_pairs(s, s, 0.8, same=True), _checkpoint(spark))
-    return s.select(F.col("id").alias("doc_id")).join(dropped.withColumnRenamed("id", "doc_id"), "doc_id", "left_anti")
+    kept = normalize.representatives(s).where("id = rep").select(F.col("id").alias("doc_id"))
+    return kept.join(dropped.withColumnRenamed("id", "doc_id"), "doc_id", "left_anti")
 
 
 def _checkpoint(spark: SparkSession):
@@ -364,15 +592,18 @@ def _checkpoint(spark: SparkSession):
         if not root:
             import tempfile
 
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="tariffspark-")
         sc.setCheckpointDir(root)
     return lambda df: df.checkpoint()
 
 
-@query(f"with {_SH} select count(distinct b) as n_leaked from (select a, b, m from p where a % 5 <> 0 and b % 5 = 0 union all select b, a, m from p where b % 5 <> 0 and a % 5 = 0) z(a, b, m) join n x on x.id = a join n y on y.id = b where m / (x.n + y.n - m) >= 0.85")
+@query(f"with {_SETS}, q as (select x.id as a, y.id as b, count(*) as m from sh x join sh y on x.s = y.s and x.id % 5 > 1 and y.id % 5 < 2 group by 1, 2) select case when b % 5 = 0 then 'valid_vs_train' else 'test_vs_train' end as kind, count(distinct b) as n from q join n x on x.id = a join n y on y.id = b where m / (x.n + y.n - m) >= 0.85 group by 1")
 def leakage_counts(spark, sf_dir):
-    s = _sets(spark, sf_dir)
-    return normalize.similar_pairs(s.where("id % 5 <> 0"), s.where("id % 5 = 0"), 0.85, same=False).agg(F.countDistinct("b").alias("n_leaked"))
+    """ND4: rows of valid and test that are like a row of train."""
+    split = F.when(F.col("id") % 5 == 0, "valid").when(F.col("id") % 5 == 1, "test").otherwise("train")
+    return normalize.leakage(_sets(spark, sf_dir).withColumn("split", split))
 
 
 _ASSIST = f"'<think>' || chr(10) || '</think>' || chr(10) || chr(10) || 'Chapter ' || substr({_N},1,2) || ': ' || source || chr(10) || 'Heading ' || substr({_N},1,2) || '.' || substr({_N},3,2) || ': ' || lang || chr(10) || 'Subheading ' || substr({_N},1,4) || '.' || substr({_N},5,2) || ': part' || chr(10) || 'HTS Code: ' || hts_code || chr(10) || chr(10) || 'Reasoning: Classified under ' || hts_code || ' based on product description.' || chr(10) || chr(10) || 'Provides for: part'"
@@ -388,16 +619,84 @@ def format_assistant(spark, sf_dir):
     return _answers(spark, sf_dir).select("seq", "answer")
 
 
-@query(f"with items as ({ITEMS}) select seq, case when seq % 2 = 0 then 'Product: ' || ruling_number || chr(10) || 'Materials: ' || source || chr(10) || 'Country of origin: ' || lang else 'Product: ' || ruling_number end as prompt from items")
+_PROMPT = """case seq % 5 when 1 then 'Product: ' || ruling_number when 2 then 'Product: ' || ruling_number || case when seq % 3 = 0 then chr(10) || chr(10) || 'Relevant trade terms:' || chr(10) || '- a: b' || chr(10) || '- c: ' || lang else '' end
+  when 3 then case when seq % 3 = 0 then 'Product: ' || ruling_number else 'Materials: ' || source || chr(10) || 'Country of origin: ' || lang end
+  else 'Product: ' || ruling_number || case when seq % 3 = 0 then '' else chr(10) || 'Materials: ' || source || chr(10) || 'Country of origin: ' || lang end end"""
+
+
+def _asked(rows):
+    """Columns materials, use, country, terms, of which some are empty."""
+    q, some = F.col("seq"), F.col("seq") % 3 != 0
+    pair = lambda t, d: F.struct(F.lit(t).alias("term"), d.alias("definition"))
+    return rows.withColumns({"materials": F.when(some, F.col("source")).otherwise(""), "use": F.lit(None).cast("string"), "country": F.when(some, F.col("lang")), "terms": F.when(~some, F.array(pair("a", F.lit("b")), pair("c", F.col("lang"))))})
+
+
+@query(f"with items as ({ITEMS}) select seq, {_PROMPT} as prompt from items")
 def format_user(spark, sf_dir):
-    variant = F.when(F.col("seq") % 2 == 0, "rich").otherwise("minimal")
-    return items(spark, sf_dir).select("seq", chat.user_prompt(variant, F.col("ruling_number"), F.col("source"), F.lit(""), F.col("lang")).alias("prompt"))
+    """ST20: all four variants, with and without what they show, and an unknown one."""
+    variant = F.element_at(F.array(*map(F.lit, ("rich", "minimal", "glossary_enriched", "materials_only", "unknown"))), (F.col("seq") % 5 + 1).cast("int"))
+    rows = _asked(items(spark, sf_dir))
+    return rows.select("seq", chat.user_prompt(variant, F.col("ruling_number"), F.col("materials"), F.col("use"), F.col("country"), F.col("terms")).alias("prompt"))
 
 
-@query(f"with items as ({ITEMS}) select seq, substr({_N},1,2) as chapter_code, source as chapter_desc, substr({_N},1,2) || '.' || substr({_N},3,2) as heading_code, lang as heading_desc, substr({_N},1,4) || '.' || substr({_N},5,2) as subheading_code, hts_code, 'part' as provides_for, true as parse_ok from items")
+@query(f"with e as ({EXAMPLES}) select seq, 3 as n_messages, 'system,user,assistant' as roles, case when abstain or input_variant = 'minimal' or input_variant = 'glossary_enriched' then 'Product: ' || lang when input_variant = 'rich' then 'Product: ' || lang || chr(10) || 'Materials: ' || source else 'Materials: ' || source end as asked, case when abstain then case abstain_category when 'missing_materials' then 'material composition' when 'ambiguous_use' then 'intended use' else 'too vague' end else 'HTS Code: ' || hts_code end as said, abstain from e")
+def chat_examples(spark, sf_dir):
+    """ST22, ST23: abstentions ask with the product alone and say why."""
+    none = F.lit(None).cast("string")
+    e = examples(spark, sf_dir).withColumns({"materials": F.col("source"), "product_use": none, "country": none, "chapter_description": none, "heading_description": none, "tariff_description": none, "reasoning": none, "hts_text": none}).withColumn("description", F.col("lang"))
+    m = e.select("seq", "abstain", "hts_code", chat.example(F.struct(*e.columns)).alias("m"))
+    reply = F.col("m")[2]["content"]
+    said = F.when(F.contains(reply, F.lit("HTS Code: ")), F.regexp_extract(reply, "HTS Code: [0-9.]+", 0)).otherwise(F.regexp_extract(reply, "too vague|material composition|intended use", 0))
+    return m.select("seq", F.size("m").alias("n_messages"), F.array_join(F.transform("m", lambda x: x["role"]), ",").alias("roles"), F.col("m")[1]["content"].alias("asked"), said.alias("said"), "abstain")
+
+
+@query(f"with items as ({ITEMS}) select seq, case when seq % 3 = 0 then 'minimal' else 'rich' end as by_fields, case when seq % 4 = 0 then 'own words' when seq % 4 = 1 then 'Product: ' || lang when seq % 3 = 0 then 'Product: ' || lang else 'Product: ' || lang || chr(10) || 'Materials: ' || source || chr(10) || 'Country of origin: ' || lang end as asked, 2 as n from items")
+def chat_requests(spark, sf_dir):
+    """ST24, ST25: a record's own messages go first; `variant` goes before `input_variant`."""
+    q, c = F.col("seq"), F.col
+    say = lambda r, t: F.struct(F.lit(r).alias("role"), F.lit(t).alias("content"))
+    own = F.when(q % 4 == 0, F.array(say("system", "s"), say("user", "own words"), say("assistant", "gone")))
+    rows = _asked(items(spark, sf_dir))
+    m = chat.request(own, F.when(q % 4 == 1, "minimal"), F.when(q % 4 == 1, "rich"), c("lang"), c("materials"), c("use"), c("country"))
+    return rows.select("seq", chat.request_variant(c("materials"), c("use"), c("country")).alias("by_fields"), m[1]["content"].alias("asked"), F.size(m).alias("n"))
+
+
+@query(f"with items as ({ITEMS}) select seq, case when seq % 4 = 0 then '' else hts_code end as hts_code, seq % 4 = 0 as abstain, case when seq % 2 = 0 then 'body ' || lang else 'no tag' end as body from items")
+def pilot_records(spark, sf_dir):
+    """ST28, ST29."""
+    q = F.col("seq")
+    said = F.when(q % 2 == 0, F.concat(F.lit(chat.THINK + "body "), F.col("lang"))).otherwise("no tag")
+    a = chat.adapted(F.when(q % 4 == 0, chat.ABSTAINED).otherwise(F.col("hts_code")))
+    return items(spark, sf_dir).select("seq", a["hts_code"].alias("hts_code"), a["abstain"].alias("abstain"), chat.expected_body(said).alias("body"))
+
+
+def _said(spark, sf_dir):
+    """Answers of six kinds: whole; without headings; sections in another order; abstentions; garbage; undotted levels."""
+    c, q = F.col("hts_code"), F.col("seq")
+    part = lambda i, n: F.substring(codes.normalized(c), i, n)
+    odd = F.concat(F.lit("Provides for: parts\nof it\n\nReasoning: it is\n\nHTS Code: "), c, F.lit("\nChapter "), part(1, 2), F.lit(": last"))
+    bare = F.concat(F.lit("Heading "), part(1, 4), F.lit(": h\nSubheading "), part(1, 6), F.lit(": s\nHTS Code: "), c)
+    short = F.concat(F.lit("<think>\nhm\n</think>\nHTS Code: "), c, F.lit("\nReasoning: none"))
+    other = F.when(q % 6 == 1, short).when(q % 6 == 2, odd).when(q % 6 == 3, chat.abstention(F.lit("ambiguous_use"))).when(q % 6 == 4, "I do not know").when(q % 6 == 5, bare)
+    return _answers(spark, sf_dir).withColumn("answer", F.coalesce(other, F.col("answer")))
+
+
+_H, _S = f"substr({_N},1,2) || '.' || substr({_N},3,2)", f"substr({_N},1,4) || '.' || substr({_N},5,2)"
+
+
+@query(f"""with items as ({ITEMS}), k as (select *, seq % 6 as k, seq % 6 in (3, 4) as none from items) select seq, case when not none then substr({_N},1,2) end as chapter_code, case k when 0 then source when 2 then 'last' end as chapter_desc, case when not none then {_H} end as heading_code,
+  case k when 0 then lang when 5 then 'h' end as heading_desc, case when not none then {_S} end as subheading_code, case k when 0 then 'part' when 5 then 's' end as subheading_desc, case when not none then hts_code end as hts_code,
+  case k when 0 then 'Classified under ' || hts_code || ' based on product description.' when 1 then 'none' when 2 then 'it is' end as reasoning, case k when 0 then 'part' when 2 then 'parts' || chr(10) || 'of it' end as provides_for, k = 3 as is_abstention, k <> 4 as parse_ok from k""")
 def roundtrip(spark, sf_dir):
-    p = chat.parsed(F.col("answer"))
-    return _answers(spark, sf_dir).select("seq", p.alias("p")).select("seq", *[f"p.{c}" for c in ("chapter_code", "chapter_desc", "heading_code", "heading_desc", "subheading_code", "hts_code", "provides_for", "parse_ok")])
+    names = ("chapter_code", "chapter_desc", "heading_code", "heading_desc", "subheading_code", "subheading_desc", "hts_code", "reasoning", "provides_for", "is_abstention", "parse_ok")
+    return _said(spark, sf_dir).select("seq", chat.parsed(F.col("answer")).alias("p")).select("seq", *[f"p.{c}" for c in names])
+
+
+@query(f"""with items as ({ITEMS}), k as (select *, seq % 6 as k, seq % 6 in (3, 4) as none from items) select seq, case when not none then substr({_N},1,2) end as chapter, case k when 0 then lang when 5 then 'h' end as heading_description, not none as has_levels, case when k = 4 then 'I do not know' end as raw, k <> 4 as parse_ok from k""")
+def response_struct(spark, sf_dir):
+    """ST30: the nested answer; raw only where parsing failed."""
+    r = _said(spark, sf_dir).select("seq", "answer", chat.parsed(F.col("answer")).alias("p")).select("seq", chat.response(F.col("p"), F.col("answer")).alias("r"))
+    return r.select("seq", F.col("r.chapter.code").alias("chapter"), F.col("r.heading.description").alias("heading_description"), F.col("r.subheading").isNotNull().alias("has_levels"), "r.raw", "r.parse_ok")
 
 
 @query("select conv_id, turn, '<|begin_of_text|><|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) || text || '<|eot_id|><|start_header_id|>assistant<|end_header_id|>' || chr(10) || chr(10) || '<think>' || chr(10) || '</think>' || chr(10) || chr(10) as prompt from conversations")

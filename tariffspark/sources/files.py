@@ -1,13 +1,23 @@
-"""Record files and databases as sources (SC1-SC8, SC11, SC12)."""
+"""Record files, settings and databases as sources (SC1-SC8, SC10, SC11)."""
 
 from __future__ import annotations
 
+import json
+import os
+from dataclasses import dataclass, fields
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tariffspark.functions import text
 
+try:
+    import yaml
+except ImportError:  # only YAML files need it
+    yaml = None
+
+#: The fields of a record beside text, code and source.
 ENRICHMENT = ("ruling_number", "reasoning", "hts_text", "materials", "product_use", "country", "chapter_code", "chapter_description", "heading_code", "heading_description", "tariff_description", "subject", "ruling_date")
 
 
@@ -17,6 +27,7 @@ def _csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _jsonl(spark: SparkSession, path: str) -> DataFrame:
+    """The schema is inferred from all rows, as any may bring a new field; pass `load` a schema to read a large file once."""
     return spark.read.option("mode", "FAILFAST").json(path)
 
 
@@ -27,18 +38,80 @@ def _json(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.explode(wrapper).alias("r")).select("r.*") if wrapper else df
 
 
-READERS = {"csv": _csv, "jsonl": _jsonl, "json": _json}
-
-
-def load(spark: SparkSession, path: str, text_field: str = "description", code_field: str = "hts_code") -> DataFrame:
-    """SC4, SC5: rows with text and code; enrichment fields as columns, everything else in a JSON `metadata`. A missing file is an empty table."""
-    schema = "description string, hts_code string, source string, metadata string, " + ", ".join(f"{c} string" for c in ENRICHMENT)
+def _yaml(spark: SparkSession, path: str) -> DataFrame:
+    """SC7: a small YAML file, a list of records or an object that wraps one; read as one text through Spark's file systems."""
+    if yaml is None:
+        raise ImportError("reading YAML needs PyYAML")
+    found = yaml.safe_load("\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))
+    if isinstance(found, dict):
+        found = next((found[c] for c in ("data", "records", "items") if isinstance(found.get(c), list)), [found])
+    if not found:
+        return spark.createDataFrame([], "description string")
+    body = F.lit(json.dumps(found, default=str))
+    return spark.range(1).select(F.explode(F.from_json(body, F.schema_of_json(body))).alias("r")).select("r.*")
+
+
+READERS = {"csv": _csv, "jsonl": _jsonl, "json": _json, "yaml": _yaml, "yml": _yaml}
+
+
+@dataclass(frozen=True)
+class ExportSettings:
+    """SC10: what an export keeps, with defaults."""
+
+    min_description_length: int = 30
+    min_reasoning_length: int = 20
+    max_reasoning_length: int = 500
+    match_level: str = "hts8"
+    min_senses: int = 1
+    base_dir: str = "data/raw"
+    versioned: bool = True
+
+
+@dataclass(frozen=True)
+class SplitSettings:
+    val: float = 0.1
+    test: float = 0.1
+    seed: int = 42
+    split_by: str = "ruling"
+    stratify_by: str = "chapter"
+
+
+def settings(spark: SparkSession, path: str, kind: type, section: str | None = None):
+    """SC10: a settings object of the kind, from a YAML or JSON file; what the file lacks has its default, an unknown name or a wrong type is an error."""
+    body = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+    found = (json.loads(body) if path.endswith(".json") else yaml.safe_load(body)) or {}
+    if section:
+        found = found.get(section) or {}
+    known = {f.name: type(f.default) for f in fields(kind)}
+    for name, value in found.items():
+        if name not in known:
+            raise ValueError(f"{kind.__name__} has no {name}")
+        if not isinstance(value, known[name]) and not (known[name] is float and isinstance(value, int)):
+            raise ValueError(f"{name} must be of type {known[name].__name__}")
+    return kind(**found)
+
+
+def database_url(default: str | None = None) -> str:
+    """SC8: the address of the database, from the environment."""
+    found = os.environ.get("DATABASE_URL", default)
+    if not found:
+        raise ValueError("set DATABASE_URL")
+    return found
+
+
+def load(spark: SparkSession, path: str, text_field: str = "description", code_field: str = "hts_code", schema: str | None = None) -> DataFrame:
+    """SC4, SC5: rows with text and code; enrichment fields as columns, everything else in a JSON `metadata`. A missing file is an empty table.
+
+    schema: of a JSONL file, which is then read once; fields outside it are not kept.
+    """
+    empty = "description string, hts_code string, source string, metadata string, " + ", ".join(f"{c} string" for c in ENRICHMENT)
     try:
-        df = READERS[path.rsplit(".", 1)[-1].lower()](spark, path)
+        kind = path.rsplit(".", 1)[-1].lower()
+        df = spark.read.schema(schema).option("mode", "FAILFAST").json(path) if schema and kind == "jsonl" else READERS[kind](spark, path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], empty)
     rest = [c for c in df.columns if c not in (*ENRICHMENT, text_field, code_field, "description", "hts_code")]
     field = lambda c: F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
     out = df.select(

@@ -6,20 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 
 def process_new(spark: SparkSession, source: str, schema: str, sink: str, checkpoint: str, step: Callable[[DataFrame], DataFrame], keys: list[str]) -> None:
-    """Run `step` over the files that came since the last call and append its rows, each key once."""
+    """Run `step` over the files that came since the last call and append its rows, each key once.
+
+    Each batch has a folder of its own, batch=<id>, which a repeated try overwrites whole; so a batch that was half written is not half repeated.
+    """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         fresh = step(batch).dropDuplicates(keys)
         try:
-            done = spark.read.parquet(sink).select(*keys)
-        except Exception as e:  # the first batch
-            if "PATH_NOT_FOUND" not in str(e):
+            done = spark.read.parquet(sink).where(F.col("batch") != batch_id).select(*keys)
+        except AnalysisException as e:  # the first batch
+            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             done = None
-        (fresh if done is None else fresh.join(done, keys, "left_anti")).write.mode("append").parquet(sink)
+        (fresh if done is None else fresh.join(done, keys, "left_anti")).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     stream = spark.readStream.schema(schema).parquet(source)
     stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

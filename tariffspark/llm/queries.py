@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, embedding_dedup, minhash_dedup, mixing, pii, piece_counts, quality_classifier, quality_rules, toxicity, warc
+from . import byte_bpe, embedding_dedup, minhash_dedup, mixing, oracles, pii, piece_counts, quality_classifier, quality_rules, toxicity, warc
 from .common import table
 
 
@@ -57,4 +57,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_embedding_dedup": oracles.OP3, "op5_warc": oracles.OP5, "op7_minhash_dedup": oracles.OP7}

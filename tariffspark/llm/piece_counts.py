@@ -56,6 +56,8 @@ class PieceModel:
         order = np.argsort(keys)
         self.keys = np.append(np.array(keys, np.int64)[order], np.int64(1) << 62)
         self.ranks, self.merged = np.append(np.array(ranks, np.int64)[order], _NONE), np.append(np.array(merged, np.int64)[order], -1)
+        side = {self.id[x] << 22 | self.id[y] for p in pieces for x, y in zip(p, p[1:]) if x in self.id and y in self.id}
+        self.meet = np.append(np.array(sorted(side), np.int64), np.int64(1) << 62)  # characters that some piece holds side by side
         self.cache = TwoGenerations(CACHE_BYTES, KEPT_LENGTH)
 
     def _look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,16 +67,22 @@ class PieceModel:
         return np.where(hit, self.ranks[at], _NONE), np.where(hit, self.merged[at], -1)
 
     def merge(self, pretokens: list[str]) -> np.ndarray:
-        """The number of surviving symbols (bytes for unknown characters) of each pre-token."""
+        """The number of surviving symbols (bytes for unknown characters) of each pre-token.
+
+        Pre-tokens are cut where two characters meet that no piece holds side by side: nothing is ever merged across.
+        """
         text = "".join(pretokens)
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
         distinct, back = np.unique(codes, return_inverse=True)
         symbols = np.array([self.id.get(chr(c), _OTHER + c) for c in distinct], np.int64)
         weight = np.array([1 if chr(c) in self.id else len(chr(c).encode()) for c in distinct], np.int64)
         lengths = np.array([len(p) for p in pretokens], np.int64)
-        seq, sym = np.repeat(np.arange(len(pretokens)), lengths), symbols[back]
-        unknown = np.bincount(seq, weight[back] - 1, len(pretokens)).astype(np.int64)
-        count = lengths.copy()
+        owner, sym = np.repeat(np.arange(len(pretokens)), lengths), symbols[back]
+        unknown = np.bincount(owner, weight[back] - 1, len(pretokens)).astype(np.int64)
+        pairs = sym[:-1] << 22 | sym[1:]
+        opens = np.append(True, (owner[1:] != owner[:-1]) | (self.meet[np.searchsorted(self.meet, pairs)] != pairs)) if len(sym) else np.zeros(0, bool)
+        seq, owner = np.cumsum(opens) - 1, owner[opens]
+        count = np.bincount(seq, minlength=len(owner))
         while len(sym):
             joined = np.append(seq[1:] == seq[:-1], False)
             rank, new = self._look(sym, np.where(joined, np.append(sym[1:], -1), -1))
@@ -105,7 +113,7 @@ class PieceModel:
             stay = np.ones(len(sym), bool)
             stay[pick + 1] = False
             sym, seq = sym[stay], seq[stay]
-        return count + unknown
+        return np.bincount(owner, count, len(pretokens)).astype(np.int64) + unknown
 
     def _count_new(self, pretokens: list[str]) -> dict[str, int]:
         """Runs of blanks: BLANK_RUN make one piece, and the last one may merge with what follows."""

@@ -222,20 +222,24 @@ def loser_tree(runs: list[list], order) -> Iterator:
 
 
 def merge(captures: DataFrame, partitions: int) -> DataFrame:
-    """The captures in global order: by partition, and in each by (url_key, captured, page_id)."""
+    """The captures in global order: by partition, and in each by (url_key, captured, page_id).
+
+    The shuffle breaks runs into blocks; Spark's own sort, which can spill, puts them together again. A range's share of the
+    runs, `per_range` captures or so, is then merged in memory.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: dict[str, list] = {}
+        runs: list[list] = []
         schema = None
         for batch in batches:
             schema = batch.schema
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                runs.setdefault(row[7], []).append(row)
+                if not runs or runs[-1][-1][7] != row[7]:
+                    runs.append([])
+                runs[-1].append(row)
         if schema is None:
             return
-        for own in runs.values():
-            own.sort(key=_order)  # a run's blocks may arrive in pieces; sorting what is in order is one pass
         part: list = []
-        for row in loser_tree(list(runs.values()), _order):
+        for row in loser_tree(runs, _order):
             part.append(row)
             if len(part) == 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), schema, strict=True)], schema=schema)
@@ -243,7 +247,8 @@ def merge(captures: DataFrame, partitions: int) -> DataFrame:
         if part:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), schema, strict=True)], schema=schema)
 
-    return captures.repartitionByRange(partitions, "url_key", "captured", "page_id").mapInArrow(run, CAPTURE)
+    dealt = captures.repartitionByRange(partitions, "url_key", "captured", "page_id")
+    return dealt.sortWithinPartitions("file", "url_key", "captured", "page_id").mapInArrow(run, CAPTURE)
 
 
 def archive(pages: DataFrame, smallest: int = 0, per_range: int = 100_000) -> DataFrame:

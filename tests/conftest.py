@@ -11,7 +11,7 @@ os.environ.setdefault("PYTHONPATH", sys.path[0])
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     s = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[8]")).config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri()).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

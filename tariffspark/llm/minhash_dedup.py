@@ -189,15 +189,29 @@ def links_in_tile(ids: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], pe
     return forest
 
 
+def _parts(crowd) -> F.Column:
+    """Into how many parts a bucket's members are dealt."""
+    return F.greatest(F.lit(1), F.ceil(crowd / SPLIT)).cast("int")
+
+
+def _own_part() -> F.Column:
+    return F.pmod(F.xxhash64("id"), _parts(F.col("crowd")))
+
+
+def _every_part(n: F.Column) -> F.Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
+
+
 def _rest(open_members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links between members of a bucket that are in different components.
 
-    open_members(bucket, id, component). side 1: the largest component of the bucket.
+    open_members(bucket, id, crowd, component). side 1: the largest component of the bucket.
     """
-    sizes = open_members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    by_bucket = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"))
+    sizes = open_members.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.any_value("crowd").alias("crowd"))
+    by_bucket = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n_all"), F.any_value("crowd").alias("crowd"))
+    by_bucket = by_bucket.select("bucket", "main", "n_main", "n_all", _every_part(_parts(F.col("crowd"))).alias("part"))
     tiles = lambda n: F.ceil(n / TILE)
-    rows = open_members.join(by_bucket, "bucket").select(
+    rows = open_members.withColumn("part", _own_part()).join(by_bucket, ["bucket", "part"]).select(
         "bucket", "id", (F.col("component") == F.col("main")).cast("int").alias("side"),
         tiles(F.col("n_all") - F.col("n_main")).alias("t0"), tiles(F.col("n_main")).alias("t1"),
     )
@@ -218,19 +232,6 @@ def _rest(open_members: DataFrame, texts: DataFrame, size: int, percent: int) ->
     return placed.groupBy("bucket", "unit").applyInPandas(run, "u long, v long")
 
 
-def _parts(crowd) -> F.Column:
-    """Into how many parts a bucket's members are dealt."""
-    return F.greatest(F.lit(1), F.ceil(crowd / SPLIT)).cast("int")
-
-
-def _own_part() -> F.Column:
-    return F.pmod(F.xxhash64("id"), _parts(F.col("crowd")))
-
-
-def _every_part(n: F.Column) -> F.Column:
-    return F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1))
-
-
 def near_duplicates(docs: DataFrame, key: str = "doc_id", size: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(key, n_shingles, component_id, kept) for each row of docs(key, text).
 
@@ -268,7 +269,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
         split = split.select("bucket", _every_part(_parts(F.col("split_crowd"))).alias("part"))
         rest = materialise(rest.withColumn("part", _own_part()).join(split, ["bucket", "part"]).select("id", "n", "bucket", "crowd", "pull", "component"))
         spent = [met, rest]
-    left = materialise(_rest(rest.select("bucket", "id", "component"), texts, size, percent))
+    left = materialise(_rest(rest.select("bucket", "id", "crowd", "component"), texts, size, percent))
     if not left.isEmpty():
         links = links.union(left)
         found = components(links)

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import document_texts, materialise, sliced, text_slices, typed
 from .components import components
-from .wordarrays import Words, mix64, sets_of
+from .wordarrays import mix64, sets_of
 
 BANDS, ROWS = 28, 7
 TILE = 256

@@ -240,8 +240,6 @@ PART = 4096
 def _replaced(text: Column, spans: Column) -> Column:
     """The text with the spans (in order, not empty) as labels; of overlapping ones the first names what they cover together."""
     label = lambda s: F.element_at(F.array(*[F.lit(f"<{k}>") for k in KINDS]), s["kind"] + 1)
-    piece = "struct<start:int,end:int,label:string>"
-    none = F.array().cast(f"array<{piece}>")
     parts = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.length(text) - 1, F.lit(0)) / PART).cast("int")), lambda b: F.substr(text, b * PART + 1, F.lit(PART)))
 
     def body(v: Column) -> Column:

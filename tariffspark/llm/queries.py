@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import byte_bpe, embedding_dedup, minhash_dedup, mixing, oracles, pii, piece_counts, quality_classifier, quality_rules, toxicity, warc
 from .common import table

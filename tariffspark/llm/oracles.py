@@ -1,7 +1,7 @@
-"""DuckDB SQL for the corpus queries that SQL can express: op3, op5 and op7.
+"""DuckDB SQL for the corpus queries that SQL can express: op3, op5, op7 and op11.
 
 Components are a recursion that holds the least id known to reach each node (USING KEY) until none gets a lesser one.
-op1, op2, op4, op6 and op8 to op10 rest on learned models, tokenizers or hashes that SQL lacks; tests hold them against brute force,
+op1, op2, op4, op6, op8 to op10, op12 and op13 rest on learned models, tokenizers or hashes that SQL lacks; tests hold them against brute force,
 the public libraries or held-out labels.
 """
 
@@ -38,3 +38,22 @@ links as (select a, b from pairs where 100 * m >= 85 * (na + nb - m) union all s
 nodes as (select doc_id as id from documents)""" + _COMPONENTS + """
 select doc_id, len(s) as n_shingles, low as component_id, low = doc_id as kept from z join reach on id = doc_id
 """
+#: crc32 by its table; letters beyond ASCII are two bytes, of which the first is C3. Words are near if they agree with one place masked, or if one is the other without one place.
+OP11 = r"""
+with recursive tab as (select list(list_reduce(range(0, 8), lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) order by i) as t from range(0, 256) r(i)),
+runs as (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents),
+once as (select doc_id, run, count(*) as m from runs where length(run) >= 6 group by all),
+coded as (select run, m, list_transform(flatten(list_transform(string_split(coalesce(cast(doc_id as varchar), '') || ':' || run, ''), lambda x: case when unicode(x) < 128 then [unicode(x)] else [195, unicode(x) - 64] end)), lambda x: cast(x as bigint)) as b from once),
+hashed as (select run, m, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295), 4294967295) as h from coded, tab),
+slipped as (select case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, m from hashed),
+v as (select word, cast(sum(m) as bigint) as n from slipped where length(word) >= 6 group by 1 having sum(m) >= 5),
+cut as (select word, n, unnest(range(1, length(word) + 1)) as i from v),
+masked as (select word, n, i, substr(word, 1, i - 1) || '*' || substr(word, i + 1) as k from cut),
+less as (select distinct word, n, substr(word, 1, i - 1) || substr(word, i + 1) as k from cut),
+near as (select x.word, y.word as other, y.n as other_n from masked x join masked y on x.k = y.k and x.word <> y.word
+  union all select less.word, v.word, v.n from less join v on v.word = k union all select v.word, less.word, less.n from less join v on v.word = k),
+best as (select word, count(*) as n_near, arg_min({'f': other, 'n': other_n}, {'a': -other_n, 'b': other}) as f from near group by 1),
+found as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when f.n >= 5 * v.n then f.f end as form, case when f.n >= 5 * v.n then f.n end as form_n from v left join best using (word)),
+ends(word, root) as (select word, word from found union all select ends.word, found.form from ends join found on found.word = ends.root where found.form is not null)
+select word, form, root, n, n_near, form_n from found join ends using (word) join (select word as root, form as further from found) using (root) where further is null
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, byte_bpe, embedding_dedup, minhash_dedup, mixing, oracles, pii, piece_codec, piece_counts, quality_classifier, quality_rules, toxicity, warc
+from . import alignment, byte_bpe, embedding_dedup, minhash_dedup, mixing, oracles, pii, piece_codec, piece_counts, quality_classifier, quality_rules, spelling, toxicity, warc
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -64,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_embedding_dedup": oracles.OP3, "op5_warc": oracles.OP5, "op7_minhash_dedup": oracles.OP7}
+    return {"op3_embedding_dedup": oracles.OP3, "op5_warc": oracles.OP5, "op7_minhash_dedup": oracles.OP7, "op11_spelling": oracles.OP11}

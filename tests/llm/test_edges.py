@@ -4,11 +4,11 @@ import public_tokenizers as tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from tariffspark.llm import byte_bpe, embedding_dedup, minhash_dedup, mixing, pii, piece_counts, quality_classifier, quality_rules, toxicity, warc
+from tariffspark.llm import alignment, byte_bpe, embedding_dedup, minhash_dedup, mixing, pii, piece_codec, piece_counts, quality_classifier, quality_rules, spelling, toxicity, warc
 
 LONG = "word " * 20_000 + "a" * 50_000
 TEXTS = [(1, None), (2, ""), (3, "one two three four five six"), (3, "one two three four five six"), (None, "one two three four five six"), (4, LONG), (5, " \n\t"), (6, "mail a.b@c.example.com now"), (6, "another text of the same id")]
-CLASHING = "key own_key text_hash set_a salt part size plan toxic score n_tokens ids kept found spans base label embedding_ rep weight cell side payload sha1 captured".split()
+CLASHING = "key own_key text_hash set_a salt part size plan toxic score n_tokens ids kept found spans base label embedding_ rep weight cell side payload sha1 captured chunk place a b n times word run id".split()
 
 OPERATORS = {
     "pii": lambda d, _: pii.digest(pii.find(d)),
@@ -17,6 +17,8 @@ OPERATORS = {
     "mixing": lambda d, _: mixing.mix(d),
     "emit": lambda d, _: mixing.emit(d),
     "minhash": lambda d, _: minhash_dedup.near_duplicates(d),
+    "pieces": lambda d, _: piece_codec.round_trip(d, tokenizers.path("piece_bpe_32k.model")),
+    "alignment": lambda d, _: alignment.aligned(d, tokenizers.path("byte_bpe_50k.json"), tokenizers.PATTERN, tokenizers.path("piece_bpe_32k.model")),
     "rules": quality_rules.filter_quality,
     "toxicity": toxicity.classify,
     "quality": quality_classifier.classify,
@@ -99,3 +101,17 @@ def test_vectors(spark):
     assert len(found) == len(rows)
     assert sorted((str(r.vec_id), r.component_id, r.kept) for r in found if r.vec_id is not None) == sorted([("1", 1, True), ("1", 1, True), ("2", 1, False), ("3", 3, True), ("4", 4, True), ("5", 5, True), ("6", 6, True), ("7", 7, True)])
     assert embedding_dedup.near_duplicates(vectors.limit(0)).count() == 0
+
+
+def test_spelling(spark):
+    """Repeated rows count each; a word of 50,000 letters is a word like others; without words there is nothing."""
+    rows = [(k, f"{LONG} spelling spellings") for k in (1, 1, 2, 3, 4)] + [(5, None), (6, ""), (None, "spelling " * 21)]
+    found = {r.word: (r.n, r.form, r.root, r.n_near) for r in spelling.grouped(documents(spark, rows), every=1 << 40).collect()}
+    assert found == {"a" * 50_000: (5, None, "a" * 50_000, 0), "spelling": (26, None, "spelling", 1), "spellings": (5, "spelling", "spelling", 1)}
+    assert spelling.grouped(documents(spark, rows[5:7])).count() == 0 and spelling.grouped(documents(spark, [])).count() == 0
+
+
+def test_pieces_decode(spark):
+    coded = piece_codec.encode(documents(spark, TEXTS), tokenizers.path("piece_bpe_32k.model"))
+    back = piece_codec.decode(coded, tokenizers.path("piece_bpe_32k.model")).collect()
+    assert sorted((str(r.doc_id), r.decoded) for r in back) == sorted((str(i), t or "") for i, t in TEXTS)

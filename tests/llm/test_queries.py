@@ -108,3 +108,155 @@ def test_toxicity_held_out(spark):
     rows = judged.join(labels.where("held"), "doc_id").select("found", "toxic").collect()
     bad, fine = [r.found for r in rows if r.toxic == 1], [r.found for r in rows if r.toxic == 0]
     assert sum(bad) >= 0.9 * len(bad) and sum(fine) <= 0.02 * len(fine)
+
+
+def plain_alignment(texts, path_a, path_b):
+    """Two pointers over the tokens of the public libraries; counts by plain dictionaries."""
+    import json
+    from collections import Counter
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a, b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    a.encode_special_tokens = True
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte = {chr(x): x for x in shown} | {chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in shown)}
+    with open(path_a) as f:
+        special = {t["content"] for t in json.load(f)["added_tokens"]}
+    raw_a = {i: bytes(byte[c] for c in t) for t, i in a.get_vocab().items() if t not in special}
+    raw_b = {i: bytes([int(b.id_to_piece(i)[1:-1], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.get_piece_size())}
+    out, counts = {}, Counter()
+    for key, text in texts:
+        x, y = (a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)) if text else ([], [])
+        raw = (" " + text).encode()
+        if not text or b"".join(raw_a[i] for i in x) != raw or b"".join(raw_b[i] for i in y) != raw:
+            out[key] = None
+            continue
+        i = j = at_x = at_y = 0
+        links, groups, own_x, own_y = [], [], [], []
+        while i < len(x):
+            links.append((x[i], y[j]))
+            own_x, own_y = own_x or [str(x[i])], own_y or [str(y[j])]
+            end_x, end_y = at_x + len(raw_a[x[i]]), at_y + len(raw_b[y[j]])
+            if end_x <= end_y:
+                i, at_x = i + 1, end_x
+            if end_y <= end_x:
+                j, at_y = j + 1, end_y
+            if end_x == end_y:
+                groups.append(",".join(own_x) + "|" + ",".join(own_y))
+                own_x, own_y = [], []
+            elif end_x < end_y:
+                own_x.append(str(x[i]))
+            else:
+                own_y.append(str(y[j]))
+        counts.update(links)
+        out[key] = len(x), len(y), groups, links
+    top = {}
+    for (_, j), n in counts.items():
+        top[j] = max(top.get(j, 0), n)
+    return {k: (0, 0, 0, 0, 0, 0, "") if v is None else (v[0], v[1], len(v[2]), len(v[3]), sum(counts[p] == top[p[1]] for p in v[3]), sum(counts[p] for p in v[3]), hashlib.sha256(";".join(v[2]).encode()).hexdigest()) for k, v in out.items()}
+
+
+def alignment_rows(rows):
+    return {r.doc_id: (r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum, r.groups_sha256) for r in rows}
+
+
+def test_alignment(spark):
+    import public_tokenizers as tokenizers
+
+    assert alignment_rows(queries.op12_alignment(spark, SF).collect()) == plain_alignment(documents(), tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model"))
+
+
+def test_alignment_of_odd_texts(spark, monkeypatch):
+    """Special strings, blanks, unknown characters, texts cut into parts and steps (sizes made small), a text that B does not give back."""
+    import public_tokenizers as tokenizers
+
+    from tariffspark.llm import alignment
+
+    texts = [(1, "<|endoftext|> <s> a"), (2, "  two  blanks "), (3, "日本語 \U0001f600 \t\n x"), (4, "▁ is a blank"), (5, "x" * 500), (6, "many words in one text " * 40), (7, " "), (8, ""), (9, "été\u00a0né " * 30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    a, b = tokenizers.path("byte_bpe_50k.json"), tokenizers.path("piece_bpe_32k.model")
+    want = plain_alignment(texts, a, b)
+    assert want[4][0] == 0 and want[3][0] > 0
+    assert alignment_rows(alignment.aligned(docs, a, tokenizers.PATTERN, b).collect()) == want
+    for name, value in (("STEP", 7), ("LONG", 50)):
+        monkeypatch.setattr(alignment, name, value)
+    own = alignment.Aligner(a, tokenizers.PATTERN, b)
+    for (k, t), found in zip(texts, own.align([t for _, t in texts]), strict=True):
+        assert (found["n_a"], found["n_b"], found["n_groups"], int(found["times"].sum()), found["digest"]) == (*want[k][:4], want[k][6])
+
+
+def test_pieces(spark):
+    """Ids and texts as the public library has them."""
+    import public_tokenizers as tokenizers
+    import sentencepiece
+
+    own = sentencepiece.SentencePieceProcessor(model_file=tokenizers.path("piece_bpe_32k.model"))
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    rows = {r.doc_id: r for r in queries.op13_sentencepiece(spark, SF).collect()}
+    for i, t in documents():
+        ids = own.encode(t)
+        assert (rows[i].n_tokens, rows[i].ids_sha256, rows[i].decoded_sha256) == (len(ids), sha(",".join(map(str, ids))), sha(own.decode(ids)))
+
+
+def test_piece_codec():
+    """Random texts of few characters, blanks, long words, and random ids against the public library."""
+    import random
+
+    import numpy as np
+    import public_tokenizers as tokenizers
+    import sentencepiece
+
+    from tariffspark.llm.piece_codec import PieceCodec
+
+    path = tokenizers.path("piece_bpe_32k.model")
+    own, public = PieceCodec(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    draw = random.Random(5)
+    few, parts = "aab bc \n▁é日\U0001f600 \uffffthe<0xA>12", "in er on the an re st s ".split(" ") + [" "]
+    texts = ["", " ", "▁", " " * 40, " " * 33 + "the", "x" * 5000, "ab" * 400, "\uffff a\uffffb", "<s> </s><unk><0x41>"]
+    texts += ["".join(draw.choice(few) for _ in range(draw.randint(1, 60))) for _ in range(3000)] + ["".join(draw.choice(parts) for _ in range(draw.randint(1, 400))) for _ in range(1000)]
+    found = [np.frombuffer(x, "<i4").tolist() for x in own.encode(texts)]
+    assert found == public.encode(texts)
+    assert [own.decode(x) for x in found] == public.decode(found)
+    ids = [[draw.randrange(0, 400 if k % 2 else 32000) for _ in range(draw.randint(1, 12))] for k in range(3000)]
+    assert [own.decode(x) for x in ids] == [public.decode(x) for x in ids]
+
+
+def test_spelling_by_all_pairs(spark):
+    """Few words against every pair of them; hot segments are dealt to parts of two."""
+    import random
+    from collections import Counter
+
+    from tariffspark.llm import spelling
+
+    draw = random.Random(9)
+    stems = ["ations", "ationx", "nation", "nations", "natïons", "station", "stations", "abcdef", "abcdefg", "aabcdef", "abcdeff", "xbcdef"]
+    lines = [(k, " ".join(draw.choice(stems) + draw.choice(["", "", "s", "ä"]) for _ in range(40)).upper()) for k in range(150)] + [(None, "STATION " * 8), (7, None), (8, "")]
+    counts = Counter()
+    for k, t in lines:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")):
+            h = zlib.crc32(f"{'' if k is None else k}:{run}".encode())
+            counts[run if h % 199 else run[: h % len(run)] + run[h % len(run) + 1 :]] += 1
+    known = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+
+    def one_edit(a, b):
+        a, b = sorted((a, b), key=len)
+        return a != b and (any(b[:i] + b[i + 1 :] == a for i in range(len(b))) if len(b) == len(a) + 1 else len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1)
+
+    near = {w: [o for o in known if one_edit(w, o)] for w in known}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-known[o], o), default=None)
+        form[w] = best if best and known[best] >= 5 * known[w] else None
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    spelling_group, spelling.GROUP = spelling.GROUP, 2
+    try:
+        out = spelling.grouped(spark.createDataFrame(lines, "doc_id long, text string").repartition(3)).collect()
+    finally:
+        spelling.GROUP = spelling_group
+    assert {(r.word, r.form, r.root, r.n, r.n_near, r.form_n) for r in out} == {(w, form[w], root(w), n, len(near[w]), known.get(form[w])) for w, n in known.items()}
+    assert len(out) == len(known) and sum(map(len, near.values())) > 20

@@ -1,4 +1,4 @@
-"""Building and splitting training examples (RN1-RN5, JN7, JN10, WN2, WN8-WN10, WN12, ST14, ST15). Hash order stands for shuffles."""
+"""Building and splitting training examples (RN1, RN2, RN4, RN5, JN10, WN2, WN8-WN10, WN12, ST14, ST15). Hash order stands for shuffles."""
 
 from __future__ import annotations
 
@@ -24,29 +24,6 @@ def variant(key: Column, has_materials: Column, has_glossary: Column) -> Column:
     return F.when((drawn == "glossary_enriched") & ~has_glossary | (drawn == "materials_only") & ~has_materials, "rich").otherwise(drawn)
 
 
-def glossary_defined(items: DataFrame, glossary: DataFrame, most: int = 3, largest: int = 50_000) -> DataFrame:
-    """JN7 with definitions: `terms` as array of struct(term, definition), from glossary(term, definition) with one row a term.
-
-    The terms become one pattern, so their number is checked; a larger glossary is refused rather than sent to every task.
-    """
-    known = {r["term"].lower(): r["definition"] for r in glossary.where(F.length("term") >= 3).limit(largest + 1).collect()}
-    if len(known) > largest:
-        raise ValueError(f"the glossary has more than {largest} terms")
-    found = glossary_matches(items, list(known), most) if known else items.withColumn("terms", F.array().cast("array<string>"))
-    rows = found.select("seq", F.posexplode("terms").alias("place", "term"))
-    defined = rows.join(glossary.select(F.lower("term").alias("term"), "definition"), "term").groupBy("seq").agg(F.array_sort(F.collect_list(F.struct("place", "term", "definition"))).alias("_found"))
-    pairs = F.transform(F.coalesce("_found", F.array().cast("array<struct<place:int,term:string,definition:string>>")), lambda x: F.struct(x["term"].alias("term"), x["definition"].alias("definition")))
-    return items.join(defined, "seq", "left").withColumn("terms", pairs).drop("_found")
-
-
-def glossary_matches(items: DataFrame, terms: list[str], most: int = 3) -> DataFrame:
-    """JN7, RN3: terms (3 letters or more) of a small glossary in each description, up to `most` of them in hash order."""
-    pattern = r"(?i)\b(" + "|".join(f"\\Q{t}\\E" for t in sorted((t for t in terms if len(t) >= 3), key=lambda t: (-len(t), t))) + r")\b"
-    found = F.array_distinct(F.transform(F.regexp_extract_all("description", F.lit(pattern), F.lit(1)), F.lower))
-    hashed = F.array_sort(F.transform(found, lambda t: F.struct(text.order_hash(t, SEED).alias("h"), t.alias("term"))))
-    return items.withColumn("terms", F.transform(F.slice(hashed, 1, most), lambda x: x["term"]))
-
-
 def abstain_rows(items: DataFrame, rate: float) -> DataFrame:
     """RN2: floor(n * rate) rows, those of the least hashes; a top-k, not a global sort of all rows."""
     n = items.count()

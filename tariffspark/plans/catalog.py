@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffspark.functions import codes, text
-from tariffspark.operators import audit, build, chat, extraction, normalize, rulings, score, suffix
+from tariffspark.operators import audit, build, chat, dictionary, extraction, normalize, rulings, score, suffix
 from tariffspark.streaming import queue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -536,7 +536,7 @@ _TERMS = ("that", "with", "from", "the and", "of")
 
 @query(rf"with items as ({ITEMS}), m as (select seq, unnest(list_distinct(list_transform(regexp_extract_all(description, '(?i)\b(the and|from|that|with)\b', 1), lambda x: lower(x)))) as term from items), r as (select *, row_number() over (partition by seq order by md5('42|' || term), term) as rn from m) select seq, string_agg(term, ',' order by rn) as terms from r where rn <= 3 group by seq")
 def glossary_match(spark, sf_dir):
-    found = build.glossary_matches(items(spark, sf_dir), list(_TERMS))
+    found = dictionary.glossary_matches(items(spark, sf_dir), spark.createDataFrame([(t,) for t in _TERMS], "term string"))
     return found.where(F.size("terms") > 0).select("seq", F.array_join("terms", ",").alias("terms"))
 
 
@@ -544,7 +544,7 @@ def glossary_match(spark, sf_dir):
 def glossary_definitions(spark, sf_dir):
     """JN7 with definitions."""
     glossary = spark.createDataFrame([(t.title(), f"on {t}") for t in _TERMS], "term string, definition string")
-    found = build.glossary_defined(items(spark, sf_dir), glossary, most=2)
+    found = dictionary.glossary_defined(items(spark, sf_dir), glossary, most=2)
     return found.select("seq", F.array_join(F.transform("terms", lambda t: F.concat(t["term"], F.lit("="), t["definition"])), ";").alias("terms"))
 
 

@@ -78,7 +78,7 @@ SELECT toks FROM state ORDER BY word
 """
 
 #: One ordered aggregation over the ids of many texts; the row of id -1 stands between texts.
-_DECODE = "SELECT string_agg(bytes, '' ORDER BY pos) FROM given JOIN vocabulary USING (id)"
+_DECODE = "SELECT string_agg(bytes, '' ORDER BY pos), count(*) FROM given JOIN vocabulary USING (id)"
 #: Bytes are held as characters of the same code; this one is none of them.
 _BETWEEN = chr(256)
 
@@ -149,13 +149,12 @@ class Codec:
     def decode(self, packed: list[bytes]) -> list[bytes]:
         """The bytes of each text's packed ids; an id outside the vocabulary is an error."""
         ids = np.frombuffer((_SEPARATOR).join(packed), "<i4")
-        self.db.register("given", pa.table({"pos": np.arange(len(ids)), "id": ids}))
-        text = (self.db.execute(_DECODE).fetchall()[0][0] or "") if len(ids) else ""
-        unknown = len(ids) and self.db.execute("SELECT count(*) FROM given ANTI JOIN vocabulary USING (id)").fetchall()[0][0]
+        self.db.register("given", pa.table({"pos": np.arange(len(ids), dtype=np.int32), "id": ids}))
+        text, known = self.db.execute(_DECODE).fetchall()[0]
         self.db.unregister("given")
-        if unknown:
+        if known < len(ids):
             raise ValueError("an id is not in the vocabulary")
-        return [x.encode("latin-1") for x in text.split(_BETWEEN)] if packed else []
+        return [x.encode("latin-1") for x in (text or "").split(_BETWEEN)] if packed else []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text.

@@ -2,18 +2,21 @@
 
 Base spans come from four patterns with checks (IP parts, Luhn, digit counts). Candidates are blank-separated
 tokens with a digit or an at sign; numbers that only single blanks part are one. A candidate that holds a base
-span is a seed entity of its kind; a quoted hexadecimal string of 32 digits or more after an equals sign or a
-colon is a seed of the kind `secret`. The words around a candidate are its lexical patterns: two before, one
-before, one after, one on either side. Distinct (pattern, instance) pairs are the graph, scored in rounds:
+span is a seed entity of its kind. Seeds of the kind `secret` are quoted hexadecimal strings of 32 digits or more
+that are assigned to a name of credentials, and of these only the half that begins with 0 to 7: what stands under
+that name otherwise has to be found by its context, which also shows what contexts are worth. The words around a
+candidate are its lexical patterns: two before, one before, one after, one on either side, if a letter is among
+them. Distinct (pattern, instance) pairs are the graph, scored in rounds:
 
 - a pattern's score for a kind is the mass of its instances of that kind (seeds 1, others their own score)
   over the instances that count: those of another kind and those whose form cannot be of the kind, among them
   numbers that failed its check, count fully, undecided ones UNKNOWN each. It needs the support of `min_seeds`
-  instances that are seeds or were accepted in an earlier round;
-- an instance's score is that of its best pattern among those of a kind its form allows; at `confident` it is
-  accepted, supports its other patterns from then on, and is a span of the kind wherever it occurs.
+  instances that are seeds or were accepted in an earlier round, and vouches for others from SPECIFIC on if it has
+  two words; a single word, which stands in more places, needs `confident`;
+- an instance's score is that of its best pattern, in this round or before, among those of a kind its form allows; at
+  `confident` it is accepted, supports its other patterns from then on, and is a span of the kind wherever it occurs.
 
-The rounds end when nothing new is accepted, or after `rounds`. Seeds of `secret` are spans, too.
+The rounds end when no score grows, or after `rounds` if a caller sets it. Seeds of `secret` are spans, too.
 
 Null and empty texts: no spans. Repeated rows: the same spans each. A text without candidates costs one
 scan; the work is linear in a text's length, and in its number of hits but for blocks of BLOCK hits, whatever
@@ -33,10 +36,11 @@ from .common import materialise
 #: The four kinds of base spans, and one that only the method finds.
 KINDS = ("email", "ip", "card", "phone", "secret")
 SECRET = KINDS.index("secret")
-ROUNDS = 5
 MIN_SEEDS = 5
 CONFIDENT = 0.9
 UNKNOWN = 0.1
+#: The score from which a pattern of two words vouches (their hashes are odd); one of a single word needs `confident`.
+SPECIFIC = 0.6
 BLOCK = 256
 #: The patterns of the base spans, with possessive and look-behind forms that keep Java's matcher linear and off the stack.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -48,7 +52,8 @@ _NUMBER = r"[0-9][0-9().-]*+"
 CANDIDATE = rf"(?<!{_SOLID})(?:[+(]*+{_NUMBER}(?:\x20\(?{_NUMBER})*+(?!{_SOLID})|[^\x20\x09-\x0D0-9@]*+[0-9@]{_SOLID}*+)"
 #: Signs around a candidate that are not part of it.
 _OPENING, _CLOSING = "\"'`<[{*#$%&|!", "\"'`>]}*#$%&|!.,;:?"
-_SEED_SECRET = r"^[\"'][0-9A-Fa-f]{32,}[\"']"
+_SEED_SECRET = r"^[\"'][0-7][0-9A-Fa-f]{31,}[\"']"
+_CREDENTIALS = r"(?i)(?:token|secret|passw(?:or)?d|passphrase|(?:api|access|private)[_-]?key|credentials?)[_A-Z0-9]*\x20?[=:]\x20?\z"
 #: Forms that an instance of a kind may have; a form of digits alone must also pass the kind's check.
 _FORMS = (
     r"(?i)@|[-_.(\[]at[-_.)\]]",
@@ -144,13 +149,17 @@ def base_spans(text: Column) -> Column:
 _PLACE = "struct<start:int,hit:string,before:string,after:string>"
 
 
+_LAST_WORDS = rf"(?<!{_SOLID})(?:{_SOLID}++{_BLANK}++){{1,2}}\z"
+_NEXT_WORD = rf"^{_BLANK}++{_SOLID}++"
+
+
 def _candidates(text: Column) -> Column:
-    """array<struct<start, hit, before, after>>: the candidates and what stands between them."""
+    """array<struct<start, hit, before, after>>: the candidates, the two words before and the one after them."""
     hits, gaps = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE, -1)
 
     def steps(v: Column) -> Column:
-        around = F.zip_with(F.slice(v["gaps"], 1, F.size(v["hits"])), F.slice(v["gaps"], 2, F.size(v["hits"])), lambda b, a: F.struct(b.alias("before"), a.alias("after")))
-        return F.zip_with(v["hits"], around, lambda h, g: F.struct(F.length(g["before"]).alias("gap"), F.length(h).alias("n"), h.alias("hit"), g["before"].alias("before"), g["after"].alias("after")))
+        around = F.zip_with(F.slice(v["gaps"], 1, F.size(v["hits"])), F.slice(v["gaps"], 2, F.size(v["hits"])), lambda b, a: F.struct(F.length(b).alias("gap"), F.regexp_extract(b, _LAST_WORDS, 0).alias("before"), F.regexp_extract(a, _NEXT_WORD, 0).alias("after")))
+        return F.zip_with(v["hits"], around, lambda h, g: F.struct(g["gap"].alias("gap"), F.length(h).alias("n"), h.alias("hit"), g["before"].alias("before"), g["after"].alias("after")))
 
     place = lambda x, at: F.struct(at.alias("start"), x["hit"].alias("hit"), x["before"].alias("before"), x["after"].alias("after"))
     return _placed(_let(F.struct(hits.alias("hits"), gaps.alias("gaps")), steps), place, _PLACE)
@@ -164,52 +173,57 @@ def _described(places: DataFrame) -> DataFrame:
     c = F.col
     last = lambda n: F.lower(F.regexp_extract("before", rf"(?<!{_SOLID})(?:{_SOLID}++{_BLANK}++){{{n}}}\z", 0))
     two, one, right = last(2), last(1), F.lower(F.regexp_extract("after", rf"^{_BLANK}++({_SOLID}++)", 1))
+    says = lambda *words: F.concat(*words).rlike(r"\p{L}")
     near = F.array_compact(F.array(
-        F.when(two != "", F.concat(F.lit("2 "), two)), F.when(one != "", F.concat(F.lit("1 "), one)),
-        F.when(right != "", F.concat(F.lit("r "), right)), F.when((one != "") & (right != ""), F.concat(F.lit("b "), one, F.lit("_ "), right)),
+        F.when((two != "") & says(two), F.concat(F.lit("2 "), two)), F.when((one != "") & says(one), F.concat(F.lit("1 "), one)), F.when((right != "") & says(right), F.concat(F.lit("r "), right)),
+        F.when((one != "") & (right != "") & says(one, right), F.concat(F.lit("b "), one, F.lit("_ "), right)),
     ))
     bare = F.ltrim(F.rtrim(c("hit"), F.lit(_CLOSING)), F.lit(_OPENING))
     lead = F.length("hit") - F.length(F.ltrim(c("hit"), F.lit(_OPENING)))
     base = F.get(base_spans(c("hit")), F.lit(0))["kind"]
-    secret = c("hit").rlike(_SEED_SECRET) & c("before").rlike(r"[=:]\x20?\z")
-    d = places.select("key", "text_hash", (c("start") + lead).alias("start"), bare.alias("bare"), F.transform(near, lambda p: F.xxhash64(p)).alias("patterns"), F.coalesce(base, F.when(secret, SECRET)).alias("seed"))
+    secret = c("hit").rlike(_SEED_SECRET) & c("before").rlike(_CREDENTIALS)
+    d = places.select("key", "text_hash", (c("start") + lead).alias("start"), bare.alias("bare"), F.transform(near, lambda p: F.xxhash64(p).bitwiseAND(F.lit(-2)) + p.rlike("^[2b]").cast("long")).alias("patterns"), F.coalesce(base, F.when(secret, SECRET)).alias("seed"))
     digits = _digits(c("bare"))
     checked = [F.lit(True), ~c("bare").rlike(rf"^{IP}$"), ~(digits.rlike("^[0-9]{12,19}$") & ~c("bare").rlike("[Xx*]")), F.lit(True), F.lit(True)]
     may = [c("bare").rlike(f) & ok for f, ok in zip(_FORMS, checked, strict=True)]
     return d.where("bare <> ''").select("key", "text_hash", "start", (c("start") + F.length("bare")).alias("end"), F.xxhash64("bare").alias("instance"), "seed", F.array(*may).alias("may"), "patterns")
 
 
-def _discovered(candidates: DataFrame, rounds: int, min_seeds: int, confident: float) -> DataFrame:
-    """(instance, kind) of what the patterns vouch for; base seeds are not among them."""
+def _discovered(candidates: DataFrame, rounds: int | None, min_seeds: int, confident: float) -> DataFrame:
+    """(instance, kind) of what the patterns vouch for; base seeds are not among them.
+
+    An instance keeps the best score it had, in thousandths, so scores only grow and the rounds end in a fixpoint.
+    """
     n_kinds = len(KINDS)
     pairs = candidates.select("instance", "seed", "may", F.explode("patterns").alias("pattern"))
     edges = materialise(pairs.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.max("may").alias("may")))
-    open_edges = edges.where(F.col("seed").isNull())
-    scored, seen = None, None
-    for _ in range(rounds):
+    scored, seen, done = None, None, 0
+    while rounds is None or done < rounds:
         if scored is None:
-            now = edges.select("pattern", "may", F.col("seed").alias("kind"), F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0).alias("score"))
+            now = edges.withColumn("kind", F.col("seed")).withColumn("score", F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0))
         else:
-            now = edges.join(scored, "instance", "left").select("pattern", "may", F.coalesce("seed", "kind").alias("kind"), F.when(F.col("seed").isNotNull(), 1.0).otherwise(F.coalesce("score", F.lit(0.0))).alias("score"))
+            now = edges.join(scored, "instance", "left").withColumn("kind", F.coalesce("seed", "kind")).withColumn("score", F.when(F.col("seed").isNotNull(), 1.0).otherwise(F.coalesce("score", F.lit(0.0))))
         is_k = lambda k: F.coalesce(F.col("kind") == k, F.lit(False))
         undecided = lambda k: F.col("kind").isNull() & F.get("may", F.lit(k))
         weight = lambda k: F.when(is_k(k), F.greatest("score", F.lit(UNKNOWN))).when(undecided(k), UNKNOWN).otherwise(1.0)
         per = [F.struct((F.sum(F.when(is_k(k), F.col("score")).otherwise(0.0)) / F.sum(weight(k))).alias("score"), F.count_if(is_k(k) & (F.col("score") >= confident)).alias("support"), F.lit(-k).alias("kind")) for k in range(n_kinds)]
         best = F.array_max(F.filter(F.array(*per), lambda x: x["support"] >= min_seeds))
-        patterns = now.groupBy("pattern").agg(best.alias("best")).where(F.col("best.score") > 0.5)
-        patterns = materialise(patterns.select("pattern", F.round("best.score", 6).alias("score"), (-F.col("best.kind")).alias("kind")))
-        vouched = open_edges.join(patterns, "pattern").where(F.get("may", F.col("kind")))
-        top = vouched.groupBy("instance").agg(F.max(F.struct("score", (-F.col("kind")).alias("kind"))).alias("best"))
-        scored = materialise(top.select("instance", F.col("best.score").alias("score"), (-F.col("best.kind")).alias("kind")))
-        total = scored.where(F.col("score") >= confident).agg(F.count("*"), F.sum(F.xxhash64("instance", "kind").cast("decimal(20,0)"))).first()
+        patterns = now.groupBy("pattern").agg(best.alias("best")).where(F.col("best.score") >= F.when(F.pmod("pattern", F.lit(2)) == 1, SPECIFIC).otherwise(confident)).select("pattern", F.round("best.score", 3).alias("found"), (-F.col("best.kind")).alias("of"))
+        vouched = now.where(F.col("seed").isNull()).select("pattern", "instance", "may").join(patterns, "pattern").where(F.get("may", F.col("of")))
+        fresh = vouched.groupBy("instance").agg(F.max(F.struct(F.col("found").alias("score"), (-F.col("of")).alias("less"))).alias("best"))
+        if scored is not None:
+            fresh = fresh.union(scored.select("instance", F.struct("score", (-F.col("kind")).alias("less")))).groupBy("instance").agg(F.max("best").alias("best"))
+        scored = materialise(fresh.select("instance", F.col("best.score").alias("score"), (-F.col("best.less")).alias("kind")), *([scored] if scored is not None else []))
+        total = scored.agg(F.count("*"), F.sum(F.xxhash64("instance", "kind", "score").cast("decimal(20,0)"))).first()
+        done += 1
         if total == seen:
             break
         seen = total
-    found = scored.where(F.col("score") >= confident).select("instance", "kind")
-    return found.union(edges.where(F.col("seed") == SECRET).select("instance", "seed").distinct())
+    seeds = edges.where(F.col("seed") == SECRET).select("instance", "seed").distinct()
+    return seeds if scored is None else scored.where(F.col("score") >= confident).select("instance", "kind").union(seeds)
 
 
-def find(docs: DataFrame, key: str = "doc_id", rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT) -> DataFrame:
+def find(docs: DataFrame, key: str = "doc_id", rounds: int | None = None, min_seeds: int = MIN_SEEDS, confident: float = CONFIDENT) -> DataFrame:
     """(key, text_hash, base, spans) for each row of docs(key, text); spans hold the base ones and what was discovered."""
     text = F.coalesce(F.col("text"), F.lit(""))
     hot = text.rlike("[0-9@]")

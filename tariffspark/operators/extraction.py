@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tariffspark.functions import codes, text
 
-_PRODUCTS = "array<struct<description:string,hts_code:string,materials:string,product_use:string,reasoning:string,country:string>>"
+#: The fields of a product in an answer, and the prices of a million tokens read and written.
+FIELDS = ("description", "hts_code", "product_use", "materials", "reasoning", "hts_text")
+PRICES = (0.20, 1.25)
+_PRODUCTS = "array<struct<" + ",".join(f"{f}:string" for f in FIELDS) + ">>"
 
 
 def prompt(number: Column, tariffs: Column, body: Column) -> Column:
@@ -52,30 +60,72 @@ class CompletionClient:
         except OSError:
             return False
 
-    def __call__(self, prompt: str) -> str:
-        return self.complete_prompt(prompt)[0]
+    def __call__(self, prompt: str) -> tuple[str, int]:
+        """The text and the tokens that the service counts for prompt and text together."""
+        found, _ = self._post("completions", {"prompt": prompt, "max_tokens": 512, "temperature": 0.0})
+        return found["choices"][0].get("text") or "", int((found.get("usage") or {}).get("total_tokens") or 0)
 
 
-def completed(rulings: DataFrame, client: Callable[[str], str], concurrency: int = 100, retries: int = 3, wait: float = 4.0, longest: float = 30.0) -> DataFrame:
-    """rulings(ruling_number, prompt) with `content`, null where the client failed `retries` times. One pool a partition.
+_COMMITTED = "key string, content string, tokens_used long"
 
-    Between tries it waits `wait` seconds, doubled each time, `longest` at most.
+
+def _committed(spark, store: str) -> DataFrame:
+    """What the store holds already: files of the chunks that are done."""
+    files, root = fs.FileSystem.from_uri(store)
+    files.create_dir(root, recursive=True)
+    return spark.read.schema(_COMMITTED).parquet(store)
+
+
+def completed(rulings: DataFrame, client: Callable[[str], str | tuple[str, int]], store: str, chunk: int = 500, concurrency: int = 100, retries: int = 3, wait: float = 4.0, longest: float = 30.0) -> DataFrame:
+    """rulings(ruling_number, prompt) with `content` and `tokens_used`, null where the client failed `retries` times.
+
+    Calls cost money, so their results are committed to `store`, a shared folder, `chunk` prompts at a time, under the prompts'
+    hash. A task that is tried again takes what is committed, and so does a later run; equal prompts are one call. Within a
+    partition prompts are in order of their hash, so that a second try has the same chunks. A lost executor repeats the chunk
+    it was at, at most; keep speculation off for such jobs. Failed calls are not committed: the next run tries them.
+    One pool a partition; between tries it waits `wait` seconds, doubled each time, `longest` at most.
     """
-    def attempt(p: str) -> str | None:
+    spark = rulings.sparkSession
+    keyed = rulings.select("ruling_number", "prompt", F.sha2(F.coalesce("prompt", F.lit("")), 256).alias("key"))
+    done = _committed(spark, store)
+    todo = keyed.select("key", "prompt").dropDuplicates(["key"]).join(done, "key", "left_anti").sortWithinPartitions("key")
+
+    def attempt(p: str) -> tuple[str | None, int | None]:
         for k in range(retries):
             try:
-                return client(p)
+                said = client(p or "")
+                return said if isinstance(said, tuple) else (said, None)
             except Exception:  # noqa: BLE001 - whatever the service raises is one more failed try
                 if k + 1 < retries:
                     time.sleep(min(wait * 2**k, longest))
-        return None
+        return None, None
+
+    def commit(rows: list[tuple[str, str]], pool: ThreadPoolExecutor) -> int:
+        files, root = fs.FileSystem.from_uri(store)
+        place = f"{root}/{hashlib.sha256(''.join(k for k, _ in rows).encode()).hexdigest()}.parquet"
+        if files.get_file_info(place).type == fs.FileType.NotFound:
+            answers = list(pool.map(attempt, [p for _, p in rows]))
+            good = [(k, c, n) for (k, _), (c, n) in zip(rows, answers, strict=True) if c is not None]
+            table = pa.table([pa.array(x, t) for x, t in zip(zip(*good, strict=True) if good else ([], [], []), (pa.string(), pa.string(), pa.int64()), strict=True)], names=["key", "content", "tokens_used"])
+            part = f"{root}/.{uuid.uuid4().hex}"  # no reader sees a half-written file
+            pq.write_table(table, part, filesystem=files)
+            files.move(part, place)
+        return len(rows)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with ThreadPoolExecutor(concurrency) as pool:
+            waiting: list[tuple[str, str]] = []
             for b in batches:
-                yield b.assign(content=list(pool.map(attempt, b["prompt"])))
+                waiting.extend(zip(b["key"], b["prompt"], strict=True))
+                while len(waiting) >= chunk:
+                    yield pd.DataFrame({"n": [commit(waiting[:chunk], pool)]})
+                    waiting = waiting[chunk:]
+            if waiting:
+                yield pd.DataFrame({"n": [commit(waiting, pool)]})
 
-    return rulings.select("ruling_number", "prompt").mapInPandas(run, "ruling_number string, prompt string, content string")
+    todo.mapInPandas(run, "n long").write.format("noop").mode("overwrite").save()
+    found = _committed(spark, store).dropDuplicates(["key"])
+    return keyed.join(found, "key", "left").select("ruling_number", "prompt", "content", "tokens_used")
 
 
 def predicted(records: DataFrame, model: Callable[[list[str]], list[str]], batch_size: int = 16, prompt: str = "prompt") -> DataFrame:
@@ -93,18 +143,29 @@ def predicted(records: DataFrame, model: Callable[[list[str]], list[str]], batch
     return records.mapInPandas(run, StructType([*records.schema.fields, StructField("raw", StringType())]))
 
 
+def _parsed(content: Column) -> Column:
+    """The answer's object as a variant, NULs gone. Strict JSON if the whole is an object, else the greedy outermost braces; a whole that is
+    a list or a string is no answer. The braces are parsed as the one element of a list, since the parser passes over what follows a value."""
+    raw = text.stripped(F.replace(F.regexp_replace(content, r"(?<!\\)((?:\\\\)*)\\u0000", "$1"), F.lit("\0"), F.lit("")))
+    listed = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    other = raw.rlike(r'(?s)^(\[.*\]|".*")$') & listed.isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    block = F.try_parse_json(F.concat(F.lit("["), F.nullif(F.regexp_extract(raw, r"(?s)\{.*\}", 0), F.lit("")), F.lit("]")))
+    alone = F.try_variant_get(block, "$[1]", "variant").isNull()
+    return F.when(~F.coalesce(other, F.lit(False)) & alone, F.try_variant_get(block, "$[0]", "variant"))
+
+
 def products(answers: DataFrame) -> DataFrame:
-    """ST6-ST10: rows of answers(ruling_number, content). Strict JSON, else its greedy outermost braces; NULs go; the index of
-    skipped products stays; codes that are none become null."""
-    raw = F.regexp_replace("content", r"\\u0000|\x00", "")
-    whole = F.try_parse_json(raw)
-    block = F.try_parse_json(F.nullif(F.regexp_extract(raw, r"(?s)\{.*\}", 0), F.lit("")))
-    parsed = F.coalesce(whole, block)
-    rows = answers.select("ruling_number", F.posexplode(F.try_variant_get(parsed, "$.products", _PRODUCTS)).alias("product_idx", "p"))
-    clean = lambda c: F.nullif(text.stripped(F.col(f"p.{c}")), F.lit(""))
-    code = clean("hts_code")
-    out = rows.select("ruling_number", "product_idx", clean("description").alias("description"), F.when(codes.is_valid(code), code).alias("hts_code"), *[clean(c).alias(c) for c in ("materials", "product_use", "reasoning", "country")])
-    return out.where(F.length("description") >= 15)
+    """ST6-ST10: a row for each product of answers(ruling_number, content[, tokens_used]) with a description of 15 characters or more.
+
+    The country is the answer's, the other fields are the product's; values that are no strings count by their JSON text. The index
+    of skipped products stays; codes that are none become null; tokens and the answer are repeated on each row.
+    """
+    tokens = F.col("tokens_used") if "tokens_used" in answers.columns else F.lit(None)
+    parsed = answers.select("ruling_number", tokens.cast("long").alias("tokens_used"), _parsed(F.col("content")).alias("answer"))
+    rows = parsed.select("ruling_number", "tokens_used", "answer", F.posexplode(F.try_variant_get("answer", "$.products", _PRODUCTS)).alias("product_idx", "p"))
+    clean = lambda c: F.nullif(text.stripped(c), F.lit(""))
+    found = rows.select("ruling_number", "product_idx", *[clean(F.col(f"p.{f}")).alias(f) for f in FIELDS], clean(F.try_variant_get("answer", "$.country", "string")).alias("country"), "tokens_used", F.to_json("answer").alias("raw_response"))
+    return found.where(F.length("description") >= 15).withColumn("hts_code", F.when(codes.is_valid(F.col("hts_code")), F.col("hts_code")))
 
 
 def benchmark(rows: DataFrame) -> DataFrame:
@@ -116,4 +177,4 @@ def benchmark(rows: DataFrame) -> DataFrame:
 def totals(rows: DataFrame) -> DataFrame:
     """AG18: cost of tokens, four fifths of them read and one fifth written, whole tokens."""
     t = F.sum("tokens_used")
-    return rows.agg(F.countDistinct("ruling_number").alias("rulings"), F.count("*").alias("products"), t.alias("tokens"), F.round(F.floor(t * 0.8) * 0.20 / 1e6 + F.floor(t * 0.2) * 1.25 / 1e6, 2).alias("cost"))
+    return rows.agg(F.countDistinct("ruling_number").alias("rulings"), F.count("*").alias("products"), t.alias("tokens"), F.round(F.floor(t * 0.8) * PRICES[0] / 1e6 + F.floor(t * 0.2) * PRICES[1] / 1e6, 2).alias("cost"))

@@ -724,13 +724,24 @@ def gold_extract(spark, sf_dir):
     return items(spark, sf_dir).select("seq", F.array_join(text.gold_codes(said), ",").alias("gold"), text.question_product(F.lit("What is the HTS US Code for a thing?")).alias("product"))
 
 
-@query("select cast(o_orderkey as varchar) as ruling_number, 1 as product_idx, 'part of order number ' || o_orderkey as description, case when o_orderkey % 3 = 0 then null else '0101.21.0010' end as hts_code from orders where o_orderkey % 5 <> 0")
+_PART = "'part of order number ' || k"
+
+
+@query(f"""with o as (select o_orderkey as k, o_orderkey % 8 as kind from orders), two as (select *, unnest([1, 3]) as product_idx from o where kind not in (4, 6))
+select cast(k as varchar) as ruling_number, product_idx, case when product_idx = 3 then 'a second part, "quoted"' else {_PART} end as description, case when product_idx = 1 and k % 3 > 0 then '0101.21.0010' when product_idx = 3 then '101' || k % 10 end as hts_code,
+  case when product_idx = 1 and kind = 7 then '["oak","ash"]' end as materials, case when product_idx = 1 then 'pressing' end as product_use, null as reasoning, case when product_idx = 3 then 'Other' end as hts_text,
+  case when kind in (2, 7) then null when kind = 3 then '7' else 'Peru' end as country, k % 5000 as tokens_used from two""")
 def llm_json_explode(spark, sf_dir):
+    """ST6-ST9: answers in bare JSON, after words, after a scalar, cut off, as a list, with NULs, without or with odd countries; products that are none, too short, with lists and numbers for texts."""
     k = F.col("o_orderkey")
-    product = F.concat(F.lit('{"description":" part of order number '), k, F.lit(' ","hts_code":"'), F.when(k % 3 == 0, "n/a").otherwise("0101.21.0010"), F.lit('"}'))
-    body = F.concat(F.when(k % 2 == 0, "Here it is: ").otherwise(""), F.lit('{"products":[{"description":"short"},'), product, F.when(k % 5 == 0, "").otherwise("]}"))
-    answers = _table(spark, sf_dir, "orders").select(k.cast("string").alias("ruling_number"), body.alias("content"))
-    return extraction.products(answers).select("ruling_number", "product_idx", "description", "hts_code")
+    kind = k % 8
+    first = F.concat(F.lit('{"description":" part of order number '), k, F.when(kind == 5, "\\u0000").otherwise(""), F.lit(' ","product_use":"pressing","materials":'), F.when(kind == 7, '["oak","ash"]').otherwise('" "'), F.lit(',"country":"elsewhere","hts_code":"'), F.when(k % 3 == 0, "n/a").otherwise("0101.21.0010"), F.lit('"}'))
+    second = F.concat(F.lit('{"description":"a second part, \\"quoted\\"","hts_text":" Other","hts_code":101'), k % 10, F.lit("}"))
+    country = F.when(kind == 2, "").when(kind == 3, ',"country":7').when(kind == 7, ',"country":null').otherwise(',"country":" Peru "')
+    answer = F.concat(F.lit('{"products":[{"description":"short"},'), first, F.lit(',"none",'), second, F.when(kind == 4, "").otherwise(F.concat(F.lit("]"), country, F.lit("}"))))
+    body = F.when(kind == 0, F.concat(F.lit("Here it is:\n"), answer, F.lit("\nDone."))).when(kind == 1, F.concat(F.lit("5 "), answer)).when(kind == 6, F.concat(F.lit("["), answer, F.lit("]"))).otherwise(answer)
+    answers = _table(spark, sf_dir, "orders").select(k.cast("string").alias("ruling_number"), body.alias("content"), (k % 5000).alias("tokens_used"))
+    return extraction.products(answers).drop("raw_response")
 
 
 @query("select 'tariff ' || p_size as term, p_name as definition, p_type as category, 'hts_glossary (source_count=' || p_size || ')' as source, 2 as senses from part union all select 'tariff ' || p_size, p_brand, null, 'hts_glossary (source_count=' || p_size || ')', 2 from part")

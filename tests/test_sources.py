@@ -149,14 +149,14 @@ class Service(http.server.BaseHTTPRequestHandler):
         pass
 
 
-def test_client_and_inference(spark):
+def test_client_and_inference(spark, tmp_path):
     """Section 2.13: the client, calls from UDFs with retries, batches of a model."""
     server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Service)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     client = extraction.CompletionClient(f"http://127.0.0.1:{server.server_port}", "m")
     assert client.is_reachable() and client.complete([{"role": "user", "content": "x"}])[0] == "chat x" and client.complete_prompt("y")[0] == "said y"
     asked = spark.createDataFrame([("N1", "a"), ("N2", "b")], "ruling_number string, prompt string")
-    assert {(r.ruling_number, r.content) for r in extraction.completed(asked, client).collect()} == {("N1", "said a"), ("N2", "said b")}
+    assert {(r.ruling_number, r.content) for r in extraction.completed(asked, client, (tmp_path / "a").as_uri()).collect()} == {("N1", "said a"), ("N2", "said b")}
     server.shutdown()
     server.server_close()
     assert not client.is_reachable()
@@ -167,7 +167,7 @@ def test_client_and_inference(spark):
             raise OSError
         return p.upper()
 
-    done = extraction.completed(asked.coalesce(1), flaky, concurrency=1, wait=0.0)
+    done = extraction.completed(asked.coalesce(1), flaky, (tmp_path / "b").as_uri(), concurrency=1, wait=0.0)
     assert {(r.ruling_number, r.content) for r in done.collect()} == {("N1", "A"), ("N2", None)}
     assert [tuple(r) for r in rulings.failure_rows(asked, done.where("content is not null")).collect()] == [("N2", 0, rulings.FAILED)]
 

@@ -1,13 +1,14 @@
 """Alignment of two tokenizers by the bytes that their tokens stand for.
 
-Arrow batches are coded by both tokenizers, and DuckDB aligns the tokens: as tables of byte intervals, all texts on one
+Arrow batches are coded by both tokenizers, and DuckDB aligns the tokens: as tables of byte intervals, many texts on one
 axis. An ASOF join finds the A token in which each B token begins, a range join the A tokens that begin inside it: these
 are all overlaps, each once. A window sum over the places where two tokens begin together numbers the groups. Pair counts
 are partial sums over chunks of documents; Spark adds them up, finds each B id's largest, and hands every chunk the sums of
 its own pairs. What is shuffled is a chunk's distinct pairs and, for each document, places in the list of them.
 
-A token table never holds more than STEP tokens of A, cut where both sides end, so texts may have any length; only a text
-over LONG characters without any blank is coded in one go. Nulls, empty texts and texts that either side does not give back
+Texts are cut before blanks that follow something other than white space: there both tokenizers begin a token, so a chunk
+between blanks has its groups and links to itself, and those of short chunks stay in a cache bounded by bytes. A token table
+never holds more than about STEP tokens of A, cut where both sides end, so chunks may have any length. Nulls, empty texts and texts that either side does not give back
 byte for byte have no tokens: zeros and an empty digest. Ties for a B id's largest count all count as largest. Repeated rows,
 also of one key, count each; null keys are keys like others; further columns, whatever their names, are not read.
 """
@@ -26,10 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import document_texts, held, materialise, text_slices
+from .byte_bpe import Codec
+from .common import TwoGenerations, document_texts, held, materialise, sliced, text_slices
 
 SLICE, CHUNK_BYTES = 1 << 20, 8 << 20
-STEP, LONG = 250_000, 1 << 20
+STEP = 250_000
+CACHE_BYTES, LONGEST_KEPT = 48 << 20, 64
 
 #: opens: an A token begins there too. goes_on: the A token ends inside the B token.
 _FIRST = """
@@ -45,11 +48,10 @@ FROM (SELECT * FROM first WHERE goes_on) f
 JOIN (SELECT * FROM given_a a ANTI JOIN (SELECT s FROM first WHERE opens) USING (s)) a ON a.s > f.s AND a.s < f.e
 """
 _PAIRS = """
-SELECT doc, a_id, b_id, count(*) AS n
-FROM (SELECT doc, a_id, b_id FROM first UNION ALL SELECT doc, a_id, b_id FROM further) GROUP BY ALL ORDER BY doc
+SELECT doc, a_id, b_id FROM (SELECT doc, a_id, b_id FROM first UNION ALL SELECT doc, a_id, b_id FROM further) ORDER BY doc
 """
 _GROUPS_A = "SELECT own_group FROM (SELECT ak, own_group FROM first WHERE opens UNION ALL SELECT ak, own_group FROM further) ORDER BY ak"
-_GROUPS_B = "SELECT own_group, opens FROM first ORDER BY bk"
+_GROUPS_B = "SELECT own_group FROM first ORDER BY bk"
 
 
 def _byte_level() -> dict[str, int]:
@@ -87,25 +89,13 @@ class Pieces:
         own = sentencepiece.SentencePieceProcessor(model_file=path)
         if own.encode("a b") != own.encode("a") + own.encode("b"):
             raise ValueError("the model must put a blank before a text")
-        self.encode = lambda text: own.encode(text)
+        blank = own.piece_to_id("▁")
+        #: of chunks that begin with the blank that the model would put there
+        self.encode = lambda chunks: [x if len(c) > 1 else [blank] for c, x in zip(chunks, own.encode([c[1:] for c in chunks], num_threads=1), strict=True)]
         name = [own.id_to_piece(i) for i in range(own.get_piece_size())]
         self.raw = {i: b"" if own.is_control(i) else bytes([int(p[1:-1], 16)]) if own.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(name)}
 
 
-def _parts(text: str) -> list[str]:
-    """text, or where it is long its parts: cut before blanks between other characters, which neither tokenizer reaches across."""
-    out, start = [], 0
-    while len(text) - start > LONG:
-        at = text.find(" ", start + LONG // 2)
-        while 0 <= at < len(text) - 1 and (text[at - 1].isspace() or text[at - 1] == "▁" or text[at + 1].isspace() or text[at + 1] == "▁"):
-            at = text.find(" ", at + 1)
-        if not 0 <= at < len(text) - 1:
-            break
-        out.append(text[start:at])
-        start = at + 1
-    return [*out, text[start:]]
-
-
 class Aligner:
     """Both tokenizers and one DuckDB; kept by each Python worker between its tasks."""
 
@@ -116,22 +106,49 @@ class Aligner:
         #: a token as the digest has it: A's after a comma, after a semicolon; B's after a comma, after a bar
         self.said = np.array([f"{mark}{i}" for mark, n in ((",", n_a), (";", n_a), (",", n_b), ("|", n_b)) for i in range(n)], object)
         self.base = np.array([0, n_a, 2 * n_a, 2 * n_a + n_b])
+        self.chunks = TwoGenerations(CACHE_BYTES, LONGEST_KEPT)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "allocator_flush_threshold": "1MB", "allocator_bulk_deallocation_flush_threshold": "1MB"})
 
-    def coded(self, text: str) -> tuple[list[int], list[int]]:
-        """The ids of both sides; none if one of them does not stand for the text with a blank before it."""
-        parts = _parts(text) if text else []
-        a, b = [i for p in parts for i in self.a.encode(" " + p)], [i for p in parts for i in self.b.encode(p)]
-        raw = (" " + text).encode()
-        same = b"".join([self.a.raw[i] for i in a]) == raw and b"".join([self.b.raw[i] for i in b]) == raw
-        return (a, b) if same else ([], [])
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        """The text with a blank before it, cut before every blank that follows something other than white space."""
+        if not text:
+            return []
+        head, *rest = Codec._chunks(text)
+        return [" " + head, *rest]
 
     def align(self, texts: list[str]) -> list[dict]:
-        """For each text: n_a, n_b, n_groups, digest, pairs (a << 32 | b) and times; a pair may come repeatedly."""
-        both = [self.coded(t) for t in texts]
-        out = [{"n_a": len(a), "n_b": len(b), "n_groups": 0, "hash": hashlib.sha256(), "pairs": [], "times": []} for a, b in both]
-        a_ids, b_ids = (np.array([i for x in both for i in x[side]], np.int32) for side in (0, 1))
-        a_doc, b_doc = (np.repeat(np.arange(len(texts), dtype=np.int32), [len(x[side]) for x in both]) for side in (0, 1))
+        """For each text: n_a, n_b, n_groups, digest, and its links as a << 32 | b."""
+        out = []
+        for found in self.chunks.resolve([self._chunks(t) for t in texts], self._align_new):
+            if not found or min(x[2] for x in found) < 0:  # what one side does not give back
+                out.append({"n_a": 0, "n_b": 0, "n_groups": 0, "digest": "", "links": np.zeros(0, np.int64)})
+                continue
+            said, links, n_a = ";".join([x[0] for x in found]), np.frombuffer(b"".join([x[1] for x in found]), np.int64), sum(x[2] for x in found)
+            n_groups = said.count(";") + 1
+            # a group of p and q tokens has p + q - 1 links
+            out.append({"n_a": n_a, "n_b": len(links) + n_groups - n_a, "n_groups": n_groups, "digest": hashlib.sha256(said.encode()).hexdigest(), "links": links})
+        return out
+
+    def _align_new(self, chunks: list[str]) -> dict[str, tuple[str, bytes, int]]:
+        """chunk -> (groups as in the digest, packed links, number of A tokens; -1 if a side does not give the chunk back)."""
+        out = {}
+        for f, t in sliced(chunks, SLICE):
+            own = chunks[f:t]
+            both = list(zip(map(self.a.encode, own), self.b.encode(own), strict=True))
+            for k, (c, (a, b)) in enumerate(zip(own, both, strict=True)):
+                raw = c.encode()
+                if b"".join([self.a.raw[i] for i in a]) != raw or b"".join([self.b.raw[i] for i in b]) != raw:
+                    both[k] = [], []
+            said, links = self._aligned(both)
+            out.update((c, (s, x, len(a) if a else -1)) for c, s, x, (a, _) in zip(own, said, links, both, strict=True))
+        return out
+
+    def _aligned(self, both: list[tuple[list[int], list[int]]]) -> tuple[list[str], list[bytes]]:
+        """For each pair of token lists, which stand for the same bytes, the groups and the packed links; STEP tokens of A at a time."""
+        said, links = [""] * len(both), [b""] * len(both)
+        a_ids, b_ids = (np.fromiter((i for x in both for i in x[side]), np.int32) for side in (0, 1))
+        a_doc, b_doc = (np.repeat(np.arange(len(both), dtype=np.int32), [len(x[side]) for x in both]) for side in (0, 1))
         a_end, b_end = np.cumsum(self.size_a[a_ids]), np.cumsum(self.size_b[b_ids])
         common = np.intersect1d(a_end, b_end, assume_unique=True)
         a_cut = b_cut = 0
@@ -139,38 +156,37 @@ class Aligner:
             upto = common[min(np.searchsorted(common, a_end[min(a_cut + STEP, len(a_ids)) - 1]), len(common) - 1)]
             a_to, b_to = int(np.searchsorted(a_end, upto)) + 1, int(np.searchsorted(b_end, upto)) + 1
             tables = [(x[f:t], d[f:t], s[x[f:t]], e[f:t]) for x, d, s, e, f, t in ((a_ids, a_doc, self.size_a, a_end, a_cut, a_to), (b_ids, b_doc, self.size_b, b_end, b_cut, b_to))]
-            self._step(out, *tables)
+            self._step(said, links, *tables)
             a_cut, b_cut = a_to, b_to
-        return [{**x, "digest": x["hash"].hexdigest() if x["n_a"] else "", "pairs": np.concatenate([np.zeros(0, np.int64), *x["pairs"]]), "times": np.concatenate([np.zeros(0, np.int64), *x["times"]])} for x in out]
+        return said, links
 
-    def _step(self, out: list[dict], a: tuple, b: tuple) -> None:
+    def _step(self, said: list[str], links: list[bytes], a: tuple, b: tuple) -> None:
         for name, (ids, doc, size, end) in (("given_a", a), ("given_b", b)):
             self.db.register(name, pa.table({"k": np.arange(len(ids), dtype=np.int32), "doc": doc, "id": ids, "s": end - size, "e": end}))
         self.db.execute(_FIRST)
         self.db.execute(_FURTHER)
         pairs = self.db.execute(_PAIRS).fetchnumpy()
-        group_a, b_rows = self.db.execute(_GROUPS_A).fetchnumpy()["own_group"].astype(np.int64), self.db.execute(_GROUPS_B).fetchnumpy()
+        group_a, group_b = (self.db.execute(q).fetchnumpy()["own_group"].astype(np.int64) for q in (_GROUPS_A, _GROUPS_B))
         for name in ("given_a", "given_b"):
             self.db.unregister(name)
         key = pairs["a_id"].astype(np.int64) << 32 | pairs["b_id"]
-        docs, upto = np.unique(pairs["doc"], return_index=True)
-        groups = np.bincount(b[1][b_rows["opens"].astype(bool)], minlength=len(out))
-        for d, x, y in zip(docs.tolist(), upto.tolist(), [*upto.tolist()[1:], len(key)], strict=True):
-            out[d]["pairs"].append(key[x:y])
-            out[d]["times"].append(pairs["n"][x:y].astype(np.int64))
-            out[d]["n_groups"] += int(groups[d])
+        for d, x, y in _runs(pairs["doc"]):
+            links[d] += key[x:y].tobytes()
         # the tokens in the digest's order: by group, A's before B's
-        side = np.concatenate([2 * group_a, 2 * b_rows["own_group"].astype(np.int64) + 1])
+        side = np.concatenate([2 * group_a, 2 * group_b + 1])
         order = np.argsort(side, kind="stable")
         side = side[order]
         kind = 2 * (side & 1) + np.append(True, side[1:] != side[:-1])
-        said = self.said[self.base[kind] + np.concatenate([a[0], b[0]])[order]].tolist()
-        doc = np.concatenate([a[1], b[1]])[order]
-        docs, upto = np.unique(doc, return_index=True)
-        for d, x, y in zip(docs.tolist(), upto.tolist(), [*upto.tolist()[1:], len(doc)], strict=True):
-            text = "".join(said[x:y])
-            out[d]["hash"].update((text if out[d].setdefault("begun", False) else text[1:]).encode())
-            out[d]["begun"] = True
+        words = self.said[self.base[kind] + np.concatenate([a[0], b[0]])[order]].tolist()
+        for d, x, y in _runs(np.concatenate([a[1], b[1]])[order]):
+            text = "".join(words[x:y])
+            said[d] += text if said[d] else text[1:]
+
+
+def _runs(sorted_ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(id, from, to) of each run of equal ids."""
+    ids, start = np.unique(sorted_ids, return_index=True)
+    return zip(ids.tolist(), start.tolist(), [*start.tolist()[1:], len(sorted_ids)], strict=True)
 
 
 _DOCUMENT = "chunk string, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, place array<int>, times array<int>, a array<int>, b array<int>, n array<long>"
@@ -187,17 +203,18 @@ def _chunked(docs: DataFrame, make, key: str) -> DataFrame:
     ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
 
     def document_rows(keys: pa.Array, chunk: str, found: list[dict], known: dict[int, int], sums: list[int]) -> pa.RecordBatch:
-        every, times = np.concatenate([x["pairs"] for x in found]), np.concatenate([x["times"] for x in found])
-        distinct, back = np.unique(every, return_inverse=True)
-        number = np.array([known.setdefault(k, len(known)) for k in distinct.tolist()], np.int32)
+        n, links = len(found), np.concatenate([x["links"] for x in found])
+        distinct, back, often = np.unique(links, return_inverse=True, return_counts=True)
+        number = np.array([known.setdefault(k, len(known)) for k in distinct.tolist()], np.int64)
         sums.extend([0] * (len(known) - len(sums)))
-        for k, s in zip(number.tolist(), np.bincount(back, times, len(distinct)).astype(np.int64).tolist(), strict=True):
+        for k, s in zip(number.tolist(), often.tolist(), strict=True):
             sums[k] += s
-        offsets = pa.array(np.cumsum([0, *[len(x["pairs"]) for x in found]]), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int32())) for v in (number[back], times)]
+        row = np.repeat(np.arange(n), [len(x["links"]) for x in found])
+        own, times = np.unique(row << 32 | number[back], return_counts=True)
+        offsets = pa.array(np.searchsorted(own >> 32, np.arange(n + 1)), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int32())) for v in (own & 0xFFFFFFFF, times)]
         longs_of = lambda f: pa.array([f(x) for x in found], pa.int64())
-        n = len(found)
-        return pa.RecordBatch.from_arrays([keys, pa.array([chunk] * n), longs_of(lambda x: x["n_a"]), longs_of(lambda x: x["n_b"]), longs_of(lambda x: x["n_groups"]), longs_of(lambda x: int(x["times"].sum())), pa.array([x["digest"] for x in found]), *lists, pa.nulls(n, ints), pa.nulls(n, ints), pa.nulls(n, longs)], names=schema.names)
+        return pa.RecordBatch.from_arrays([keys, pa.array([chunk] * n), longs_of(lambda x: x["n_a"]), longs_of(lambda x: x["n_b"]), longs_of(lambda x: x["n_groups"]), longs_of(lambda x: len(x["links"])), pa.array([x["digest"] for x in found]), *lists, pa.nulls(n, ints), pa.nulls(n, ints), pa.nulls(n, longs)], names=schema.names)
 
     def chunk_row(kind: pa.DataType, chunk: str, known: dict[int, int], sums: list[int]) -> pa.RecordBatch:
         pairs = np.fromiter(known, np.int64, len(known))

@@ -12,16 +12,23 @@ def cleaned(code: Column) -> Column:
     return F.translate(code, " \t\n\r\f\x0b.-", "")
 
 
+#: What is a code once separators are gone.
+CODE = "^[0-9]{4,10}$"
+
+
 def is_valid(code: Column) -> Column:
     """CD3: 4 to 10 digits once separators are gone; null is not valid."""
-    return F.coalesce(cleaned(code).rlike("^[0-9]{4,10}$"), F.lit(False))
+    return F.coalesce(cleaned(code).rlike(CODE), F.lit(False))
 
 
 def normalized(code: Column) -> Column:
     """CD1: padded on the right to 10 digits; longer ones as they are; null where there are no 4 digits."""
-    c = cleaned(code)
-    padded = F.when(F.length(c) <= 10, F.rpad(c, 10, "0")).otherwise(c)
-    return F.when(c.rlike("^[0-9]{4,}$"), padded)
+    return padded(cleaned(code))
+
+
+def padded(cleaned: Column) -> Column:
+    """CD1 of a code whose separators are gone."""
+    return F.when(cleaned.rlike("^[0-9]{4,}$"), F.when(F.length(cleaned) <= 10, F.rpad(cleaned, 10, "0")).otherwise(cleaned))
 
 
 def dotted(code: Column) -> Column:
@@ -45,11 +52,6 @@ def matches(predicted: Column, actual: Column, level: str) -> Column:
     return F.coalesce(prefix(predicted, LEVELS[level]) == prefix(actual, LEVELS[level]), F.lit(False))
 
 
-def matches_any(predicted: Column, golds: Column, level: str) -> Column:
-    """JN8: any of an array of codes, bad ones passed over."""
-    return F.coalesce(F.exists(golds, lambda g: matches(predicted, g, level)), F.lit(False))
-
-
 def digits(code: Column) -> Column:
     return F.regexp_replace(code, "[^0-9]", "")
 
@@ -96,7 +98,11 @@ def backfilled(chapter: Column, heading: Column, subheading: Column, code: Colum
 
 def consistent(chapter: Column, heading: Column, subheading: Column, code: Column) -> Column:
     """CD14: every level that is present agrees with the full code."""
-    n = normalized(code)
+    return agreeing(chapter, heading, subheading, normalized(code))
+
+
+def agreeing(chapter: Column, heading: Column, subheading: Column, n: Column) -> Column:
+    """CD14 of a normalised code."""
     bare = lambda c: F.replace(c, F.lit("."), F.lit(""))
     gone = lambda c: c.isNull() | (c == "")
     same_chapter = F.ltrim(chapter, F.lit("0")) == F.ltrim(F.substring(n, 1, 2), F.lit("0"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = " \t\n\r\f\x0b"
@@ -29,6 +29,14 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def settled(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with further columns, each worked out once for a row, however often it is referred to afterwards.
+
+    A generator of one row: the optimizer never writes an expression out across it, and it is compiled with what stands around it.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def present(c: Column) -> Column:
     """Neither null nor empty."""
     return F.coalesce(c != "", F.lit(False))

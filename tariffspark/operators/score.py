@@ -10,34 +10,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tariffspark.functions import codes
-from tariffspark.functions.text import let
+from tariffspark.functions import codes, text
 
 _LEVELS = ("exact", "chapter", "heading", "subheading")
 BUCKETS = (
     "parse_failure", "missing_prediction", "missed_abstain", "false_abstain", "hallucinated_code", "wrong_chapter",
     "right_chapter_wrong_heading", "right_heading_wrong_subheading", "right_subheading_wrong_full",
 )
+#: Between gold codes in one string; no part of a code.
+_MARK = "\x01"
 _PARTS = ("pred_chapter", "pred_heading", "pred_subheading")
 
 
+def _lines(golds: Column) -> Column:
+    """Gold codes, joined by a mark and without their separators, each padded to 10 digits or longer and after a mark; what is no code is gone."""
+    short = F.regexp_replace(golds, f"(?<=^|{_MARK})(?<code>[0-9]{{4,9}})(?=$|{_MARK})", "${code}000000")
+    codes_alone = F.regexp_replace(short, f"(?<=^|{_MARK})(?![0-9]{{4,}}(?:$|{_MARK}))[^{_MARK}]*", "")
+    return F.concat(F.lit(_MARK), F.when(golds.rlike(f"^[0-9]{{10,}}(?:{_MARK}[0-9]{{10,}})*$"), golds).otherwise(codes_alone))
+
+
 def flagged(preds: DataFrame) -> DataFrame:
     """Match flags, computed once for all reports, from codes that are normalised once.
 
-    A prediction counts as valid if it parsed, is no abstention and is a code. `flags` holds valid, consistent and hit_*.
+    A prediction counts as valid if it parsed, is no abstention and is a code. `flags` holds valid, consistent, hit_* and the
+    chapter of the first gold code. Levels are prefixes, so a hit is a place in the gold codes, one after another in one
+    string, where a code begins with the prediction's prefix: lambdas over the array would be interpreted, this is compiled.
     """
+    parts = [F.col(c) if c in preds.columns else F.lit(None).cast("string") for c in _PARTS]
     able = F.col("parse_ok") & F.col("pred_present") & ~F.col("pred_abstain") & ~F.col("gold_abstain")
-    own = F.when(able & codes.is_valid(F.col("pred")), codes.normalized(F.col("pred")))
-    golds = F.filter(F.transform("gold", codes.normalized), lambda g: g.isNotNull())
-    agrees = codes.consistent(*[F.col(c) if c in preds.columns else F.lit(None).cast("string") for c in _PARTS], F.col("pred"))
-
-    def flags(v: Column) -> Column:
-        valid = v["own"].isNotNull()
-        hit = lambda n: valid & F.exists(v["golds"], lambda g: F.left(g, F.lit(n)) == F.left(v["own"], F.lit(n)))
-        hits = [F.coalesce(hit(codes.LEVELS[k]), F.lit(False)).alias(f"hit_{k}") for k in _LEVELS]
-        return F.struct(valid.alias("valid"), (valid & v["agrees"]).alias("consistent"), *hits)
-
-    return preds.withColumn("flags", let(F.struct(own.alias("own"), golds.alias("golds"), agrees.alias("agrees")), flags))
+    bare = text.settled(preds, _bare=codes.cleaned(F.col("pred")), _golds=codes.cleaned(F.array_join("gold", _MARK)))
+    coded = text.settled(bare, _valid=F.coalesce(able & F.col("_bare").rlike(codes.CODE), F.lit(False)), _own=F.rpad("_bare", 10, "0"), _lines=_lines(F.col("_golds")))
+    hit = lambda n: F.col("_valid") & F.coalesce(F.contains(F.col("_lines"), F.concat(F.lit(_MARK), F.left("_own", F.lit(n)))), F.lit(False))
+    hits = [hit(codes.LEVELS[k]).alias(f"hit_{k}") for k in _LEVELS]
+    agrees = F.col("_valid") & codes.agreeing(*parts, F.col("_own"))
+    chapter = codes.prefix(F.get("gold", F.lit(0)), 2)
+    flags = F.struct(F.col("_valid").alias("valid"), agrees.alias("consistent"), *hits, chapter.alias("chapter"))
+    return coded.withColumn("flags", flags).drop("_bare", "_golds", "_valid", "_own", "_lines")
 
 
 def _hit(k: str) -> Column:
@@ -67,8 +75,7 @@ def parse_totals(preds: DataFrame) -> DataFrame:
 
 def by_chapter(flags: DataFrame) -> DataFrame:
     """AG14: by the chapter of the first gold code, abstentions and bad codes left out."""
-    chapter = codes.prefix(F.get("gold", F.lit(0)), 2)
-    per = flags.where(~F.col("gold_abstain")).groupBy(chapter.alias("chapter")).agg(F.count("*").alias("total"), *[(F.count_if(_hit(k)) / F.count("*")).alias(f"{k}_match") for k in _LEVELS])
+    per = flags.where(~F.col("gold_abstain")).groupBy(F.col("flags.chapter").alias("chapter")).agg(F.count("*").alias("total"), *[(F.count_if(_hit(k)) / F.count("*")).alias(f"{k}_match") for k in _LEVELS])
     return per.where("chapter is not null")
 
 

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from tariffspark.functions import codes, text
-from tariffspark.operators import chat, normalize
+from tariffspark.operators import chat, normalize, score
 from tariffspark.plans.catalog import _checkpoint
 
 
@@ -46,3 +46,25 @@ def test_greedy_chain(spark):
                 kept.add(node)
         dropped = {r[0] for r in normalize.greedy_keep(spark.createDataFrame(edges, "a int, b int"), _checkpoint(spark)).collect()}
         assert dropped == {x for e in edges for x in e} - kept
+
+
+def test_flags_of_odd_codes(spark):
+    """Short, long, spaced and invalid codes on both sides, several or no gold codes, against a plain version."""
+    rng = random.Random(4)
+    pool = ["8544.30", "8544300000", "85443000001", "85", "85 44", "abc", "", "0101", "01.01.21", "8544-30-99 10", "8544309910", "9", "0101210010"]
+
+    def norm(c):
+        c = "".join(x for x in c or "" if x not in " \t\n\r\f\x0b.-")
+        return c.ljust(10, "0") if c.isdigit() and len(c) >= 4 else None
+
+    rows, want = [], {}
+    for k in range(500):
+        pred, golds = rng.choice([None, *pool]), rng.choice([None, [], [rng.choice(pool)], [rng.choice([None, *pool]) for _ in range(3)]])
+        rows.append((k, golds, False, True, True, False, pred))
+        own = norm(pred) if norm(pred) and len(norm(pred)) == 10 else None
+        valid = [norm(g) for g in golds or [] if norm(g)]
+        first = norm(golds[0]) if golds and golds[0] else None
+        want[k] = (own is not None, *[own is not None and any(g[:n] == own[:n] for g in valid) for n in (10, 2, 4, 6)], first and first[:2])
+    preds = spark.createDataFrame(rows, "seq int, gold array<string>, gold_abstain boolean, parse_ok boolean, pred_present boolean, pred_abstain boolean, pred string")
+    found = {r.seq: r.flags for r in score.flagged(preds).collect()}
+    assert {k: (f.valid, f.hit_exact, f.hit_chapter, f.hit_heading, f.hit_subheading, f.chapter) for k, f in found.items()} == want

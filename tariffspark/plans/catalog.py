@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tariffspark.functions import codes, text
 from tariffspark.operators import audit, build, chat, dictionary, extraction, normalize, rulings, score, suffix
+from tariffspark.session import scratch, shared_root
+from tariffspark.sources.keyed import KeyedTable
 from tariffspark.streaming import queue
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -452,6 +454,16 @@ def upsert_merge(spark, sf_dir):
     return rulings.upserted(old, old.where("k % 3 = 0").withColumn("v", F.col("v") + 1), ["k"])
 
 
+@query("select o_orderkey as k, case when o_orderkey % 1000 < 2 then 'changed' else o_orderstatus end as v, o_totalprice as p from orders union all select -1 - p_partkey, 'new', null from part where p_partkey % 500 = 0")
+def keyed_upserts(spark, sf_dir):
+    """SK4 on a stored table: two upserts of few rows, each of which copies the buckets of its keys."""
+    orders = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), F.col("o_totalprice").alias("p"))
+    table = KeyedTable.create(orders, scratch(spark), ["k"])
+    table.upsert(orders.where("k % 1000 < 2").withColumn("v", F.lit("changed")))
+    table.upsert(_table(spark, sf_dir, "part").where("p_partkey % 500 = 0").select((-1 - F.col("p_partkey")).alias("k"), F.lit("new").alias("v")))
+    return table.read()
+
+
 _U = "cast(('0x' || substr(md5('42|' || seq),1,8)) as bigint) / 4294967296.0"
 
 
@@ -588,14 +600,7 @@ def _checkpoint(spark: SparkSession):
     """A reliable checkpoint in the folder the cluster names; only without the setting (tests) a local one is made."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            import tempfile
-
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            root = tempfile.mkdtemp(prefix="tariffspark-")
-        sc.setCheckpointDir(root)
+        sc.setCheckpointDir(shared_root(spark))
     return lambda df: df.checkpoint()
 
 

@@ -8,8 +8,12 @@ sets (copies, and all texts of under three words) are one set before anything is
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tariffspark.functions import codes, text
 
@@ -63,10 +67,12 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, same: boo
     def rare(df: DataFrame) -> DataFrame:
         order = df.select("id", F.size("sh").alias("n"), F.explode_outer("sh").alias("s")).join(freq, "s").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
         keep = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
-        return order.select("id", "n", F.explode(F.slice("o", F.lit(1), keep)).alias("x")).select("id", "n", F.col("x.s").alias("s"))
+        return order.select("id", "n", F.posexplode(F.slice("o", F.lit(1), keep)).alias("place", "x")).select("id", "n", "place", F.col("x.s").alias("s"))
 
-    a, b = rare(left).toDF("a", "na", "s"), rare(right).toDF("b", "nb", "s")
+    a, b = rare(left).toDF("a", "na", "ia", "s"), rare(right).toDF("b", "nb", "ib", "s")
     fits = (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & ((F.col("a") < F.col("b")) if same else F.lit(True))
+    # positional filter: all that two sets can share from their first common shingle on; at later ones it is less, so a pair stands or falls with its first
+    fits &= F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9
     pairs = a.join(b, "s").where(fits).select("a", "b").distinct()
     full = pairs.join(left.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a").join(right.select(F.col("id").alias("b"), F.col("sh").alias("sb")), "b")
     meet = F.size(F.array_intersect("sa", "sb"))
@@ -85,12 +91,58 @@ def leakage(rows: DataFrame, threshold: float = 0.85) -> DataFrame:
     return out.where("n > 0")
 
 
-def greedy_keep(pairs: DataFrame, checkpoint) -> DataFrame:
+#: Components of so many pairs are settled by one task; greater ones in rounds, in all tasks.
+WHOLE = 200_000
+
+
+def components(pairs: DataFrame, checkpoint) -> DataFrame:
+    """(id, component) of every id in pairs(a, b): the least id that can be reached.
+
+    Each round an id, and the id that it points to, take the least that a neighbour points to; then pointers are followed one step.
+    """
+    both = checkpoint(pairs.select("a", "b").union(pairs.select("b", "a")).toDF("u", "v").distinct())
+    low = checkpoint(both.select(F.col("u").alias("id")).distinct().withColumn("low", F.col("id")))
+    while True:
+        ends = both.join(low.toDF("v", "low_v"), "v").join(low.toDF("u", "low_u"), "u")
+        hooks = ends.select(F.explode(F.array("u", "low_u")).alias("id"), "low_v").groupBy("id").agg(F.min("low_v").alias("to"))
+        hooked = low.join(hooks, "id").select("id", F.least("low", "to").alias("low"), F.col("low").alias("was"))
+        step = hooked.select(F.col("id").alias("low"), F.col("low").alias("beyond"))
+        low = checkpoint(hooked.join(step, "low").select("id", F.least("low", "beyond").alias("low"), "was"))
+        if low.where("low <> was").isEmpty():
+            return low.select("id", F.col("low").alias("component"))
+        low = low.select("id", "low")
+
+
+def greedy_keep(pairs: DataFrame, checkpoint, whole: int = WHOLE) -> DataFrame:
     """ND3: ids dropped by keep-first dedup, from pairs(a < b): b goes if an earlier similar row is kept.
 
-    Rows settle round by round: kept once all earlier neighbours are dropped, dropped once one is kept.
+    What is dropped in a component of pairs depends on nothing else, so those of up to `whole` pairs are settled each by one pass
+    over its pairs in order, however long its chains are. Greater ones settle in rounds as long as their longest chain.
     """
-    open_pairs = checkpoint(pairs.select("a", "b"))
+    pairs = checkpoint(pairs.select("a", "b").distinct())
+    owned = checkpoint(pairs.join(components(pairs, checkpoint).withColumnRenamed("id", "a"), "a"))
+    great = owned.groupBy("component").count().where(F.col("count") > whole).select("component")
+    small = owned.join(great, "component", "left_anti").repartition("component").sortWithinPartitions("component", "b", "a")
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, dropped = None, set()
+        for rows in batches:
+            found = []
+            for component, a, b in zip(rows["component"], rows["a"], rows["b"], strict=True):
+                if component != own:
+                    own, dropped = component, set()
+                if a not in dropped and b not in dropped:  # a is settled: all its pairs with earlier rows came before
+                    dropped.add(b)
+                    found.append(b)
+            yield pd.DataFrame({"id": pd.Series(found, dtype=rows["b"].dtype)})
+
+    settled = small.mapInPandas(settle, StructType([StructField("id", pairs.schema["b"].dataType)]))
+    large = checkpoint(owned.join(great, "component", "left_semi").select("a", "b"))
+    return settled if large.isEmpty() else settled.union(_in_rounds(large, checkpoint))
+
+
+def _in_rounds(open_pairs: DataFrame, checkpoint) -> DataFrame:
+    """Rows settle round by round: kept once all earlier neighbours are dropped, dropped once one is kept."""
     dropped = checkpoint(open_pairs.select(F.col("b").alias("id")).limit(0))
     while True:
         waiting = open_pairs.select(F.col("b").alias("id")).distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tariffspark.functions import codes, text
 from tariffspark.operators import audit, build, chat, dictionary, extraction, normalize, rulings, score, suffix
-from tariffspark.session import scratch, shared_root
+from tariffspark.session import scratch
 from tariffspark.sources.keyed import KeyedTable
 from tariffspark.streaming import queue
 
@@ -587,9 +587,15 @@ def neardup_members(spark, sf_dir):
     return normalize.representatives(_sets(spark, sf_dir))
 
 
-@query()
+_GREEDY = f"""with recursive {_SH}, near as (select a, b from p join n x on x.id = a join n y on y.id = b where m / (x.n + y.n - m) >= 0.8),
+turn as (select b, list(a) as earlier, row_number() over (order by b) as k from near group by b),
+state(k, dropped) as (select cast(0 as bigint), cast([] as bigint[]) union all select turn.k, case when len(list_filter(earlier, lambda x: not list_contains(dropped, x))) > 0 then list_append(dropped, b) else dropped end from state join turn on turn.k = state.k + 1),
+gone as (select unnest(dropped) as id from state where k = (select max(k) from state))"""
+
+
+@query(f"{_GREEDY} select rep as doc_id from reps where rep not in (select id from gone)")
 def fuzzy_dedup(spark, sf_dir):
-    """Greedy keep-first removal; its order-dependence is beyond SQL and is tested against a loop. Copies go with their first one."""
+    """Greedy keep-first removal, in SQL one row after another. Copies go with their first one."""
     s = _sets(spark, sf_dir)
     dropped = normalize.greedy_keep(normalize.similar_pairs(s, s, 0.8, same=True), _checkpoint(spark))
     kept = normalize.representatives(s).where("id = rep").select(F.col("id").alias("doc_id"))
@@ -597,11 +603,14 @@ def fuzzy_dedup(spark, sf_dir):
 
 
 def _checkpoint(spark: SparkSession):
-    """A reliable checkpoint in the folder the cluster names; only without the setting (tests) a local one is made."""
-    sc = spark.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(shared_root(spark))
-    return lambda df: df.checkpoint()
+    """Cuts lineage by a table in the shared folder, which is written once and survives lost executors."""
+
+    def written(df: DataFrame) -> DataFrame:
+        path = scratch(spark)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return written
 
 
 @query(f"with {_SETS}, q as (select x.id as a, y.id as b, count(*) as m from sh x join sh y on x.s = y.s and x.id % 5 > 1 and y.id % 5 < 2 group by 1, 2) select case when b % 5 = 0 then 'valid_vs_train' else 'test_vs_train' end as kind, count(distinct b) as n from q join n x on x.id = a join n y on y.id = b where m / (x.n + y.n - m) >= 0.85 group by 1")

@@ -68,3 +68,32 @@ def test_flags_of_odd_codes(spark):
     preds = spark.createDataFrame(rows, "seq int, gold array<string>, gold_abstain boolean, parse_ok boolean, pred_present boolean, pred_abstain boolean, pred string")
     found = {r.seq: r.flags for r in score.flagged(preds).collect()}
     assert {k: (f.valid, f.hit_exact, f.hit_chapter, f.hit_heading, f.hit_subheading, f.chapter) for k, f in found.items()} == want
+
+
+def test_greedy_components(spark):
+    """Random graphs against a loop, whole and in rounds; a path of 3,000 rows is settled whole."""
+    rng = random.Random(8)
+    for whole in (1_000, 3):
+        edges = sorted({tuple(sorted(rng.sample(range(60), 2))) for _ in range(45)})
+        dropped = set()
+        for a, b in sorted(edges, key=lambda e: (e[1], e[0])):
+            if a not in dropped:
+                dropped.add(b)
+        pairs = spark.createDataFrame(edges, "a long, b long")
+        assert {r.id for r in normalize.greedy_keep(pairs, _checkpoint(spark), whole).collect()} == dropped
+        reach = {r.id: r.component for r in normalize.components(pairs, _checkpoint(spark)).collect()}
+        least = {x: x for e in edges for x in e}
+        for _ in edges:
+            for a, b in edges:
+                least[a] = least[b] = min(least[a], least[b])
+        assert reach == least
+    rounds = []
+
+    def counted(df):
+        rounds.append(1)
+        return _checkpoint(spark)(df)
+
+    path = spark.range(2_999).selectExpr("id as a", "id + 1 as b")
+    assert {r.id for r in normalize.greedy_keep(path, counted).collect()} == set(range(1, 3_000, 2))
+    assert len(rounds) < 22
+    assert normalize.greedy_keep(path.limit(0), _checkpoint(spark)).count() == 0

@@ -22,12 +22,11 @@ from .common import WORD, materialise
 
 SEEDS = 32
 SALTS = 16
-_RANGE = 1 << 30
-
 
 def _draw(seed) -> F.Column:
-    """Uniform in [0, 1) from the key and a seed."""
-    return F.pmod(F.xxhash64(F.col("key"), seed), F.lit(_RANGE)) / F.lit(float(_RANGE))
+    """Uniform in [0, 1) from the key (a null one counts as empty) and a seed, by a hash that every engine has."""
+    hashed = F.md5(F.concat(seed.cast("string"), F.lit("|"), F.coalesce(F.col("key").cast("string"), F.lit(""))))
+    return F.conv(F.substring(hashed, 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
 
 
 def ranked(sources: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
-"""DuckDB SQL for the corpus queries that SQL can express: op3, op5, op7 and op11.
+"""DuckDB SQL for the corpus queries that SQL can express: op3, op5 to op7 and op11.
 
 Components are a recursion that holds the least id known to reach each node (USING KEY) until none gets a lesser one.
-op1, op2, op4, op6, op8 to op10, op12 and op13 rest on learned models, tokenizers or hashes that SQL lacks; tests hold them against brute force,
+op1, op2, op4, op8 to op10, op12 and op13 rest on learned models, tokenizers or hashes that SQL lacks; tests hold them against brute force,
 the public libraries or held-out labels.
 """
 
@@ -57,3 +57,18 @@ found as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when f.n >= 5
 ends(word, root) as (select word, word from found union all select ends.word, found.form from ends join found on found.word = ends.root where found.form is not null)
 select word, form, root, n, n_near, form_n from found join ends using (word) join (select word as root, form as further from found) using (root) where further is null
 """
+#: Levels rise until the sources that stop at twice their size are stable, one more at least in each step.
+OP6 = r"""
+with recursive d as (select doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\f\x0B]+'), lambda x: x <> '')) as size from documents),
+s as (select source, cast(sum(size) as bigint) as source_size, cast([3, 1, 2][(row_number() over (order by source is null, source) - 1) % 3 + 1] as double) as w from d group by source),
+lv(i, level) as (select 0, cast(0 as double) union all
+  select i + 1, coalesce(greatest(level, (cast(1.5 as double) * (select sum(source_size) from s) - sum(case when w * level >= source_size * cast(2 as double) then source_size * cast(2 as double) else 0 end)) / nullif(sum(case when w * level >= source_size * cast(2 as double) then 0 else w end), 0)), level)
+  from lv, s where i <= (select count(*) from s) group by i, level),
+t as (select source, source_size, case when w * level >= source_size * cast(2 as double) then source_size * cast(2 as double) else w * level end as target from s, (select level from lv order by i desc limit 1)),
+r as (select *, case when source_size > 0 then target / source_size else 0 end as rate, rate - floor(rate) as fraction from t),
+u as (select d.doc_id, d.source, size, seed, cast('0x' || substr(md5(seed || '|' || coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) / cast(4294967296 as double) as u from d, range(0, 32) x(seed)),
+e as (select r.source, seed, abs(sum(case when u < fraction then size else 0 end) - (any_value(target) - floor(any_value(rate)) * any_value(source_size))) as off from u join r on u.source is not distinct from r.source group by all),
+best as (select source, seed from e qualify row_number() over (partition by source order by off, seed) = 1)
+select u.doc_id, size, source_size, target, cast(size * (floor(rate) + case when u < fraction then 1 else 0 end) as bigint) as taken
+from u join best b on u.source is not distinct from b.source and u.seed = b.seed join r on u.source is not distinct from r.source
+"""

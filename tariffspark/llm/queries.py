@@ -68,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_embedding_dedup": oracles.OP3, "op5_warc": oracles.OP5, "op7_minhash_dedup": oracles.OP7, "op11_spelling": oracles.OP11}
+    return {"op3_embedding_dedup": oracles.OP3, "op5_warc": oracles.OP5, "op6_mixing": oracles.OP6, "op7_minhash_dedup": oracles.OP7, "op11_spelling": oracles.OP11}

@@ -32,7 +32,7 @@ from .common import TwoGenerations, document_texts, held, materialise, sliced, t
 
 SLICE, CHUNK_BYTES = 1 << 20, 8 << 20
 STEP = 250_000
-CACHE_BYTES, LONGEST_KEPT = 48 << 20, 64
+CACHE_BYTES, LONGEST_KEPT = 64 << 20, 64
 
 #: opens: an A token begins there too. goes_on: the A token ends inside the B token.
 _FIRST = """
@@ -135,15 +135,29 @@ class Aligner:
         out = {}
         for f, t in sliced(chunks, SLICE):
             own = chunks[f:t]
-            both = list(zip(map(self.a.encode, own), self.b.encode(own), strict=True))
-            for k, (c, (a, b)) in enumerate(zip(own, both, strict=True)):
-                raw = c.encode()
-                if b"".join([self.a.raw[i] for i in a]) != raw or b"".join([self.b.raw[i] for i in b]) != raw:
-                    both[k] = [], []
+            raw = [c.encode() for c in own]
+            both = list(zip(self._encoded_a(own, raw), self.b.encode(own), strict=True))
+            whole = b"".join(raw)
+            if any(b"".join([x.raw[i] for p in both for i in p[side]]) != whole for side, x in enumerate((self.a, self.b))):
+                both = [p if b"".join([self.a.raw[i] for i in p[0]]) == r == b"".join([self.b.raw[i] for i in p[1]]) else ([], []) for p, r in zip(both, raw, strict=True)]
             said, links = self._aligned(both)
             out.update((c, (s, x, len(a) if a else -1)) for c, s, x, (a, _) in zip(own, said, links, both, strict=True))
         return out
 
+    def _encoded_a(self, chunks: list[str], raw: list[bytes]) -> list[list[int]]:
+        """The A tokens of each chunk. Chunks that end in something other than white space are coded side by side: the next one begins
+        with a blank, where no token reaches across; their sizes tell where each one's tokens end."""
+        out, side = [[]] * len(chunks), [k for k, c in enumerate(chunks) if not c[-1].isspace()]
+        for k, c in enumerate(chunks):
+            if c[-1].isspace():
+                out[k] = self.a.encode(c)
+        if side:
+            ids = self.a.encode("".join([chunks[k] for k in side]))
+            upto = np.searchsorted(np.cumsum(self.size_a[ids]), np.cumsum([len(raw[k]) for k in side])) + 1
+            for k, x, y in zip(side, [0, *upto.tolist()], upto.tolist(), strict=False):
+                out[k] = ids[x:y]
+        return out
+
     def _aligned(self, both: list[tuple[list[int], list[int]]]) -> tuple[list[str], list[bytes]]:
         """For each pair of token lists, which stand for the same bytes, the groups and the packed links; STEP tokens of A at a time."""
         said, links = [""] * len(both), [b""] * len(both)

@@ -33,6 +33,14 @@ def exact_dedup(items: DataFrame) -> DataFrame:
     return items.join(first.select("seq"), "seq", "left_semi")
 
 
+def near_dedup(items: DataFrame, threshold: float, checkpoint) -> DataFrame:
+    """ND3 on items(seq, description): of rows with equal sets the first stays, and of these what greedy keep-first removal leaves."""
+    sets = with_shingles(items.select(F.col("seq").alias("id"), "description"), "description").select("id", "sh")
+    dropped = greedy_keep(similar_pairs(sets, sets, threshold, same=True), checkpoint).withColumnRenamed("id", "seq")
+    kept = representatives(sets).where("id = rep").select(F.col("id").alias("seq"))
+    return items.join(kept.join(dropped, "seq", "left_anti"), "seq", "left_semi")
+
+
 def with_shingles(df: DataFrame, description: str, size: int = 3) -> DataFrame:
     """ND1: `sh`, distinct word shingles as 64-bit hashes; with fewer words one shared sentinel.
 

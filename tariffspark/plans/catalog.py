@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tariffspark.functions import codes, text
 from tariffspark.operators import audit, build, chat, dictionary, extraction, normalize, rulings, score, suffix
 from tariffspark.session import scratch
+from tariffspark.plans import prepare
+from tariffspark.sources import files
 from tariffspark.sources.keyed import KeyedTable
 from tariffspark.streaming import queue
 
@@ -522,6 +524,21 @@ def split_assigned(spark, sf_dir):
     return build.assigned(examples(spark, sf_dir)).select("seq", "split")
 
 
+_PREPARED = f"""with items as ({ITEMS}), band as (select *, {_N} as code from items where length(description) between 20 and 4000),
+once as (select band.* from band semi join (select min(seq) as seq from band group by trim(lower(description), ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)), code) using (seq)),
+chosen as (select seq, true as yes from once order by md5('42|' || seq), seq limit (select cast(floor(count(*) * cast(0.2 as double)) as bigint) from once)),
+turned as (select once.*, coalesce(yes, false) as abstain from once left join chosen using (seq)),
+e as (select seq, ruling_number, code as hts_code, abstain from turned qualify abstain or row_number() over (partition by code, abstain order by md5('42|' || seq), seq) <= 1), """ + _SPLIT[_SPLIT.index("g as ("):]
+
+
+@query(f"{_PREPARED} select coalesce(split, 'train') as split, case when abstain then 'abstention' else 'hierarchical_classify' end as task_type, count(*) as n, cast(sum(seq) as bigint) as seqs from e left join s using (ruling_number) group by all")
+def prepare_run(spark, sf_dir):
+    """Preparation from settings: normalised, built, capped and split; rows and a checksum of each split."""
+    settings = files.filled(files.DataSettings, {"normalization": {"min_description_length": 20, "max_description_length": 4000, "dedup_minhash_threshold": 0}, "abstention": {"rate": 0.2}, "frequency_cap": {"max_per_code": 1}})
+    rows = prepare.split(prepare.built(prepare.normalized(items(spark, sf_dir), settings.normalization, _checkpoint(spark)), settings), settings.split)
+    return rows.groupBy("split", "task_type").agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"))
+
+
 @query(f"{_BY_ROW} select seq, split from s")
 def split_rows(spark, sf_dir):
     return build.split_rows(examples(spark, sf_dir)).select("seq", "split")

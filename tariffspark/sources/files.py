@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, is_dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +54,7 @@ def _yaml(spark: SparkSession, path: str) -> DataFrame:
 READERS = {"csv": _csv, "jsonl": _jsonl, "json": _json, "yaml": _yaml, "yml": _yaml}
 
 
+#: The names and defaults of all settings below.
 @dataclass(frozen=True)
 class ExportSettings:
     """SC10: what an export keeps, with defaults."""
@@ -69,6 +70,7 @@ class ExportSettings:
 
 @dataclass(frozen=True)
 class SplitSettings:
+    train: float = 0.8
     val: float = 0.1
     test: float = 0.1
     seed: int = 42
@@ -76,19 +78,95 @@ class SplitSettings:
     stratify_by: str = "chapter"
 
 
+@dataclass(frozen=True)
+class SourceSettings:
+    path: str = ""
+    format: str = "jsonl"
+    text_field: str = "description"
+    code_field: str = "hts_code"
+
+
+@dataclass(frozen=True)
+class NormalizationSettings:
+    """A threshold of 0 leaves near-duplicates in; the number of permutations has no meaning where similarity is exact."""
+
+    min_description_length: int = 10
+    max_description_length: int = 2048
+    dedup_minhash_threshold: float = 0.8
+    dedup_minhash_num_perm: int = 128
+
+
+@dataclass(frozen=True)
+class TaskWeights:
+    """Read and, as the rate of abstentions is their own setting, not used."""
+
+    hierarchical_classify: float = 0.9
+    abstention: float = 0.1
+
+
+@dataclass(frozen=True)
+class AbstentionSettings:
+    rate: float = 0.1
+    label: str = "__ABSTAIN__"
+    categories: tuple = ("vague_description", "missing_materials", "ambiguous_use")
+
+
+@dataclass(frozen=True)
+class CapSettings:
+    """apply_to is read and not used: the cap comes before the split, so it holds for all."""
+
+    enabled: bool = True
+    max_per_code: int = 100
+    apply_to: str = "train"
+
+
+@dataclass(frozen=True)
+class DataSettings:
+    """SC10: data preparation from the sources to the written splits."""
+
+    sources: tuple = ()
+    normalization: NormalizationSettings = NormalizationSettings()
+    task_weights: TaskWeights = TaskWeights()
+    abstention: AbstentionSettings = AbstentionSettings()
+    frequency_cap: CapSettings = CapSettings()
+    split: SplitSettings = SplitSettings()
+    glossary_path: str = ""
+    output_dir: str = "data/processed"
+    formatted_dir: str = "data/formatted"
+
+
+#: What the items of a list are, by its name; others are texts.
+_ITEMS = {"sources": SourceSettings}
+
+
+def filled(kind: type, found: dict):
+    """A settings object of the kind: what is not found has its default, an unknown name or a wrong type is an error, in groups as well."""
+    own, out = kind(), {}
+    for name, value in found.items():
+        if not hasattr(own, name):
+            raise ValueError(f"{kind.__name__} has no {name}")
+        default = getattr(own, name)
+        if is_dataclass(default):
+            if not isinstance(value, dict):
+                raise ValueError(f"{name} must be a group of settings")
+            value = filled(type(default), value)
+        elif isinstance(default, tuple):
+            if not isinstance(value, list):
+                raise ValueError(f"{name} must be a list")
+            value = tuple(filled(_ITEMS[name], x) if name in _ITEMS else str(x) for x in value)
+        elif not isinstance(value, type(default)) and not (isinstance(default, float) and isinstance(value, int)):
+            raise ValueError(f"{name} must be of type {type(default).__name__}")
+        out[name] = value
+    return kind(**out)
+
+
 def settings(spark: SparkSession, path: str, kind: type, section: str | None = None):
-    """SC10: a settings object of the kind, from a YAML or JSON file; what the file lacks has its default, an unknown name or a wrong type is an error."""
+    """SC10: a settings object of the kind, from a YAML or JSON file or a section of it."""
     body = "\n".join(r["value"] for r in spark.read.text(path, wholetext=True).collect())
+    if not path.endswith(".json") and yaml is None:
+        raise ImportError("reading YAML needs PyYAML")
     found = (json.loads(body) if path.endswith(".json") else yaml.safe_load(body)) or {}
-    if section:
-        found = found.get(section) or {}
-    known = {f.name: type(f.default) for f in fields(kind)}
-    for name, value in found.items():
-        if name not in known:
-            raise ValueError(f"{kind.__name__} has no {name}")
-        if not isinstance(value, known[name]) and not (known[name] is float and isinstance(value, int)):
-            raise ValueError(f"{name} must be of type {known[name].__name__}")
-    return kind(**found)
+    return filled(kind, (found.get(section) or {}) if section else found)
 
 
 def database_url(default: str | None = None) -> str:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tariffspark.llm import byte_bpe, minhash_dedup, mixing, pii, toxicity
 from tariffspark.llm.common import materialise, table
 
+#: Bytes of a generation of a BPE worker's cache: small, as executors still hold what earlier stages needed.
+BPE_CACHE = 32 << 20
 #: Toxicity and near-duplicates cannot be said in SQL.
 ORACLE_SQL = None
 
@@ -56,7 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the bytes decoded from them, one row for each row of docs."""
-    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, cache=BPE_CACHE)
 
 
 STAGES = [

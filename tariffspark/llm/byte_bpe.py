@@ -8,8 +8,8 @@ one row for each word (USING KEY), so its memory does not grow with the number o
 A step takes further occurrences of the leftmost pair along, left to right. That equals one step for each,
 unless contracting makes a pair of the same or a lower rank: the next step sees such a pair and then redoes
 the step for the leftmost occurrence alone. Words are cut beforehand where two bytes meet that no token
-holds side by side, since nothing is ever merged across. Results per space-delimited chunk stay in a
-cache bounded by bytes, which idle workers drop.
+holds side by side, since nothing is ever merged across. Results per space-delimited chunk, for a round trip the ids
+and the bytes decoded from them, stay in a cache bounded by bytes, which idle workers drop.
 
 Nulls and empty texts: no tokens, empty bytes. Long words take the same query; it steps once for each pair
 that occurs, not for each occurrence. Repeated rows are encoded each for itself; other columns, whatever
@@ -33,7 +33,7 @@ from .common import TwoGenerations, document_texts, held, sliced, text_slices, t
 
 QUERY_BYTES = 250_000
 #: Slices, queries and the two generations of the cache bound a worker's memory.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 192 << 20
 SLICE = 1 << 19
 LONGEST_KEPT = 192
 #: Ids are private-use characters while words are contracted, so that a word's tokens are one string.
@@ -91,7 +91,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """One vocabulary in one DuckDB; kept by each Python worker between its tasks."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, decoded: bool = False, cache: int = CACHE_BYTES):
+        """decoded: what is kept of a chunk is its ids and the bytes decoded from them."""
         ranks = read_ranks(path)
         if max(ranks.values()) >= 0x110000 - BASE:
             raise ValueError("ids must fit the private-use planes")
@@ -109,7 +110,8 @@ class Codec:
         inside[last] = False
         self.meet = np.zeros((256, 256), bool)  # bytes that some token holds side by side
         self.meet[raw[:-1][inside[:-1]], raw[1:][inside[:-1]]] = True
-        self.chunks = TwoGenerations(CACHE_BYTES, LONGEST_KEPT)
+        self.decoded = decoded
+        self.chunks = TwoGenerations(cache, LONGEST_KEPT)
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """word -> its ids as little-endian uint32."""
@@ -162,12 +164,24 @@ class Codec:
         A text is cut before every blank that follows something other than white space;
         the pattern never matches across such a cut, so chunks can be encoded once each.
         """
-        return [b"".join(x) for x in self.chunks.resolve([self._chunks(t) for t in texts], self._encode_chunks)]
+        return [x for x, _ in self.round_trip(texts)] if self.decoded else [b"".join(x) for x in self._resolved(texts)]
 
-    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+    def round_trip(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """The packed ids of each text and the bytes decoded from them, chunk by chunk: a text's ids are its chunks' in order."""
+        return [(b"".join([i for i, _ in x]), b"".join([d for _, d in x])) for x in self._resolved(texts)]
+
+    def _resolved(self, texts: list[str]) -> list[list]:
+        return self.chunks.resolve([self._chunks(t) for t in texts], self._encode_chunks)
+
+    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes] | dict[str, tuple[bytes, bytes]]:
         parts = {c: self.words_of(c) for c in chunks}
         words = self.encode_words(sorted({w for p in parts.values() for w in p}))
-        return {c: b"".join([words[w] for w in p]) for c, p in parts.items()}
+        found = {c: b"".join([words[w] for w in p]) for c, p in parts.items()}
+        if not self.decoded:
+            return found
+        packed = list(found.values())
+        back = [d for a, b in sliced(packed, SLICE) for d in self.decode(packed[a:b])]
+        return dict(zip(found, zip(packed, back, strict=True), strict=True))
 
     @staticmethod
     def _chunks(text: str) -> list[str]:
@@ -182,32 +196,34 @@ class Codec:
 _SEPARATOR = (-1).to_bytes(4, "little", signed=True)
 
 
-def codec(path: str, pattern: str):
+def codec(path: str, pattern: str, decoded: bool = False, cache: int = CACHE_BYTES):
     """The worker's codec, for the duration of a task."""
-    return held((path, pattern), lambda: Codec(path, pattern))
+    return held((path, pattern, decoded, cache), lambda: Codec(path, pattern, decoded, cache))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
     """(key, ids: binary of little-endian uint32, n_tokens) for each row of docs(key, text)."""
-    return _coded(docs, path, pattern, key, "n_tokens long, ids binary", lambda i, _: (len(i) // 4, i), decoded=False)
+    return _coded(docs, path, pattern, key, "n_tokens long, ids binary", lambda i: (len(i) // 4, i), decoded=False)
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the bytes decoded from them."""
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", cache: int = CACHE_BYTES) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of the bytes decoded from them.
+
+    cache: bytes of a generation of a worker's cache. A larger one saves time, a smaller one memory.
+    """
     digest = lambda x: hashlib.sha256(x).hexdigest()
-    return _coded(docs, path, pattern, key, "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda i, d: (len(i) // 4, digest(i), digest(d)))
+    return _coded(docs, path, pattern, key, "n_tokens long, ids_sha256 string, decoded_sha256 string", lambda i, d: (len(i) // 4, digest(i), digest(d)), cache=cache)
 
 
-def _coded(docs: DataFrame, path: str, pattern: str, key: str, fields: str, row, decoded: bool = True) -> DataFrame:
+def _coded(docs: DataFrame, path: str, pattern: str, key: str, fields: str, row, decoded: bool = True, cache: int = CACHE_BYTES) -> DataFrame:
     schema = typed(docs, key, fields)
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with codec(path, pattern) as own:
+        with codec(path, pattern, decoded, cache) as own:
             for batch in batches:
                 for a, b, texts in text_slices(batch.column(1), SLICE):
-                    packed = own.encode(texts)
-                    rows = list(map(row, packed, own.decode(packed) if decoded else packed))
+                    rows = [row(*x) for x in own.round_trip(texts)] if decoded else [row(i) for i in own.encode(texts)]
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *map(pa.array, zip(*rows, strict=True))], names=names)
 
     return document_texts(docs, key).mapInArrow(run, schema)

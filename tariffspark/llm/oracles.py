@@ -1,4 +1,4 @@
-"""DuckDB SQL for the corpus queries that SQL can express: op3, op5 to op7 and op11.
+"""DuckDB SQL for the corpus queries that SQL can express: op3, op5 to op7, op11 and the base counts of op8.
 
 Components are a recursion that holds the least id known to reach each node (USING KEY) until none gets a lesser one.
 op1, op2, op4, op8 to op10, op12 and op13 rest on learned models, tokenizers or hashes that SQL lacks; tests hold them against brute force,
@@ -72,3 +72,15 @@ best as (select source, seed from e qualify row_number() over (partition by sour
 select u.doc_id, size, source_size, target, cast(size * (floor(rate) + case when u < fraction then 1 else 0 end) as bigint) as taken
 from u join best b on u.source is not distinct from b.source and u.seed = b.seed join r on u.source is not distinct from r.source
 """
+OP8_BASE = r"""
+with d as (select doc_id, coalesce(text, '') as t, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r\f\x0B]+'), lambda x: x <> '') as w from documents),
+three as (select doc_id, unnest(range(1, len(w) - 1)) as i, w from d),
+win as (select doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as x from three),
+many as (select doc_id, i from win qualify count(*) over (partition by doc_id, x) > 1),
+rep as (select doc_id, count(distinct i + j) as n from many, range(0, 3) r(j) group by 1),
+lines as (select doc_id, unnest(string_split(t, chr(10))) as line from d),
+dup as (select doc_id, count(*) - count(distinct line) as n from lines where regexp_matches(line, '[^ \t\n\r\f\x0B]') group by 1),
+c as (select doc_id, len(w) as n_words, cast(length(array_to_string(w, '')) as bigint) as word_chars, cast(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, coalesce(dup.n, 0) as n_dup_lines, coalesce(rep.n, 0) as n_repeat_words
+  from d left join dup using (doc_id) left join rep using (doc_id))
+select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from c
+"""

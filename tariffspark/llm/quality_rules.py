@@ -237,17 +237,36 @@ def _fitted(doc: np.ndarray, x: np.ndarray, y: np.ndarray, shared: np.ndarray, r
     return Field(emit, move, shared)
 
 
+def fails(counts: dict[str, np.ndarray]) -> np.ndarray:
+    """The base rules: fewer than 50 words, or more than half of the words in repeated windows."""
+    return (counts["n_words"] < 50) | (100 * counts["n_repeat_words"] > 50 * counts["n_words"])
+
+
 def judge(texts: list[str], field: Field, share: float = SHARE) -> dict[str, np.ndarray]:
     lines = measure(texts)
     labels = field.decode(lines.doc, field.features(lines))
     n = len(texts)
     content, size = np.bincount(lines.doc, lines.size * labels, n), np.bincount(lines.doc, lines.size, n)
     c = lines.counts
-    failed = (c["n_words"] < 50) | (100 * c["n_repeat_words"] > 50 * c["n_words"])
+    failed = fails(c)
     part = content / np.maximum(size, 1)
     return c | {"base_failed": failed, "kept": ~failed & (part >= share), "content_share": part}
 
 
+def base_counts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, counts, base_failed) for each row of docs(key, text): what needs no labels."""
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, texts in text_slices(batch.column(1)):
+                found = measure(texts).counts
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *[pa.array(found[c]) for c in names], pa.array(fails(found))], names=[key, *names, "base_failed"])
+
+    fields = ", ".join(f"{c} long" for c in names) + ", base_failed boolean"
+    return document_texts(docs, key).mapInArrow(run, typed(docs, key, fields))
+
+
 def assess(docs: DataFrame, field: Field, share: float = SHARE, key: str = "doc_id") -> DataFrame:
     """(key, counts, base_failed, kept, content_share) for each row of docs(key, text)."""
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share"]

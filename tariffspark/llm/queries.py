@@ -43,6 +43,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8 that need no labels, which SQL can express."""
+    return quality_rules.base_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_embedding_dedup": oracles.OP3, "op5_warc": oracles.OP5, "op6_mixing": oracles.OP6, "op7_minhash_dedup": oracles.OP7, "op11_spelling": oracles.OP11}
+    return {"op3_embedding_dedup": oracles.OP3, "op5_warc": oracles.OP5, "op6_mixing": oracles.OP6, "op7_minhash_dedup": oracles.OP7, "op8_base_counts": oracles.OP8_BASE, "op11_spelling": oracles.OP11}

@@ -505,6 +505,14 @@ def corrupt_categories(spark, sf_dir):
     return items(spark, sf_dir).groupBy(number.alias("category")).agg(F.count("*").alias("n"))
 
 
+@query(f"with items as ({ITEMS}) select cast(('0x' || substr(md5('44|' || seq),1,8)) as bigint) % 4 as template, count(*) as n, cast(sum(seq) as bigint) as seqs from items where ({_CAT}) = 0 group by 1")
+def corrupt_templates(spark, sf_dir):
+    """RN5: which of the vague texts a row gets."""
+    found = items(spark, sf_dir).select("seq", build.corrupted(F.col("description"), F.col("seq")).alias("x")).where(F.col("x.category") == build.CATEGORIES[0])
+    number = F.array_position(F.array(*map(F.lit, text.VAGUE)), F.col("x.description")) - 1
+    return found.groupBy(number.alias("template")).agg(F.count("*").alias("n"), F.sum("seq").alias("seqs"))
+
+
 _DEAL = "select *, case when n >= 3 then greatest(1, cast(floor(n * cast(0.1 as double)) as bigint)) else 0 end as v from r"
 _SIDE = "case when n - 2*v <= 0 or rk <= n - 2*v then 'train' when rk <= n - v then 'valid' else 'test' end"
 _SPLIT = f"""with e as ({EXAMPLES}), g as (select ruling_number, coalesce(arg_min(substr(hts_code,1,2), seq) filter (where not abstain), '__other__') as stratum from e where ruling_number is not null group by 1),

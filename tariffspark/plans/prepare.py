@@ -69,7 +69,7 @@ def run(spark: SparkSession, settings: files.DataSettings, checkpoint: Callable[
     """The whole preparation: splits as JSON lines under formatted_dir/split=.., audit.json under output_dir; returns the audit."""
     words = files.glossary(spark.read.json(settings.glossary_path).withColumn("line", F.monotonically_increasing_id())) if settings.glossary_path else None
     rows = checkpoint(split(built(checkpoint(normalized(ingested(spark, settings), settings.normalization, checkpoint)), settings, words), settings.split))
-    sinks.jsonl(formatted(rows), settings.formatted_dir, by="split")
+    sinks.jsonl(formatted(build.shuffled(rows)), settings.formatted_dir, by="split")
     found = {"splits": audit.split_summary(rows).first().asDict(), "abstentions": audit.abstentions(rows).first().asDict(), "leaking_rulings": build.leaking_groups(rows).count()}
     sinks.small(spark, found, f"{settings.output_dir}/audit.json")
     return found

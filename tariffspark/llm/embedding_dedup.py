@@ -14,6 +14,7 @@ of a spanning forest, never the pairs.
 
 Null label; null, zero or empty vectors, and null or non-finite components: linked with nothing, kept.
 Repeated rows are vectors of their own (linked by cosine 1); clashing extra columns are not read.
+A cosine of exactly the threshold links. Vectors may be of any length; one is held whole.
 """
 
 from __future__ import annotations

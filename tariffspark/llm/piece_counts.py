@@ -8,7 +8,8 @@ are counted, a character outside the vocabulary as its UTF-8 bytes.
 A sequence merges several occurrences of its lowest pair in one round only up to the first one
 whose merge opens a pair of the same or a lower rank, which equals merging one after another.
 Counts of short pre-tokens stay in a bounded cache. Null and empty texts have no tokens; texts of
-any length are processed whole; rows that repeat are counted each for itself.
+any length are processed whole; rows that repeat are counted each for itself; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

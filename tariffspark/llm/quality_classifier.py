@@ -5,7 +5,8 @@ in short ones; the difference of the summed sizes, divided by the text's bytes,
 sigmoid. The dictionaries come from one half of the sampled labelled texts, the sigmoid from the other,
 weighted by the labels' frequencies. Samples are at most `limit` texts of each label. Null and empty texts
 get the score of difference 0 (compressed alike by both). Without labelled rows of both kinds every text scores 0.5. Repeated rows score
-alike; labels and further columns are never inputs of a score.
+alike; labels and further columns are never inputs of a score. Texts of any length are compressed whole, a block at a
+time. A score of exactly the bar counts as label 1. Labelled texts over a million characters are not fitted on.
 """
 
 from __future__ import annotations

@@ -12,6 +12,8 @@ toxic texts, the `most_features` that tell most apart. Either label has half the
 most `limit` texts of either label. Null and empty texts have no feature and are clean; without toxic or
 without clean labelled rows nothing is toxic. Repeated rows score alike; very long texts are read whole, and a
 word however long is one feature. Columns other than the key and text are not read.
+Ties between features go to the one of the lesser hash; a probability of exactly the bar counts as toxic. Labelled texts
+over a million characters are not fitted on.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ hot URL is split as well - and in each range a loser tree merges the k runs into
 
 Null html: empty payload. Null url: no target header, key "". Null page ids get no record id and always
 are responses. Rows of one page id and payload repeat their record type. No pages: no rows. Extra columns
-are not read. Pages bear no capture time: it is page_id seconds after EPOCH.
+are not read. A payload of any length is one record, held whole by one task. Pages bear no capture time: it is page_id seconds after EPOCH.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffspark.functions import codes
+from tariffspark.functions import codes, text
 
 
 def index(rows: DataFrame, code: str = "gold_code", abstain: str = "gold_abstain") -> DataFrame:
@@ -50,14 +50,15 @@ def complete(preds: DataFrame, idx: DataFrame) -> DataFrame:
     """Reason and code after completion for each prediction (pred, pred_abstain). The index is joined twice: full code, prefix."""
     best = idx.groupBy(F.substring("code", 1, 8).alias("prefix")).agg(F.max_by("code", F.struct("n", (F.lit(10_000_000_000) - F.col("code").cast("long")).alias("low"))).alias("best"))
     bare = F.btrim(F.replace(F.replace("pred", F.lit("."), F.lit("")), F.lit("-"), F.lit("")))
-    rows = preds.withColumn("full", F.rpad(bare, 10, "0")).withColumn("eight", F.substring("full", 1, 8))
+    rows = text.settled(preds, full=F.rpad(bare, 10, "0")).withColumn("eight", F.substring("full", 1, 8))
     rows = rows.join(idx.select(F.col("code").alias("full"), F.lit(True).alias("known")), "full", "left").join(best.withColumnRenamed("prefix", "eight"), "eight", "left")
     reason = (
         F.when(F.col("pred_abstain"), "skipped_abstain").when(F.coalesce("pred", F.lit("")) == "", "skipped_no_code").when(F.col("known"), "valid")
         .when(F.col("best").isNull(), "no_8digit_match").when(F.col("best") == F.col("full"), "no_change_possible").otherwise("completed")
     )
     out = rows.withColumn("reason", reason)
-    return out.withColumn("pred_after", F.when(F.col("reason") == "completed", codes.dotted(F.col("best"))).otherwise(F.col("pred"))).drop("known", "best", "full", "eight")
+    dotted = F.concat_ws(".", F.substring("best", 1, 4), F.substring("best", 5, 2), F.substring("best", 7, 4))  # codes of the index have 10 digits
+    return out.withColumn("pred_after", F.when(F.col("reason") == "completed", dotted).otherwise(F.col("pred"))).drop("known", "best", "full", "eight")
 
 
 def reasons(done: DataFrame) -> DataFrame:

@@ -32,8 +32,8 @@ def _lines(golds: Column) -> Column:
 def flagged(preds: DataFrame) -> DataFrame:
     """Match flags, computed once for all reports, from codes that are normalised once.
 
-    A prediction counts as valid if it parsed, is no abstention and is a code. `flags` holds valid, consistent, hit_* and the
-    chapter of the first gold code. Levels are prefixes, so a hit is a place in the gold codes, one after another in one
+    A prediction counts as valid if it parsed, is no abstention and is a code. `flags` holds valid, consistent and
+    hit_*. Levels are prefixes, so a hit is a place in the gold codes, one after another in one
     string, where a code begins with the prediction's prefix: lambdas over the array would be interpreted, this is compiled.
     """
     parts = [F.col(c) if c in preds.columns else F.lit(None).cast("string") for c in _PARTS]
@@ -43,8 +43,7 @@ def flagged(preds: DataFrame) -> DataFrame:
     hit = lambda n: F.col("_valid") & F.coalesce(F.contains(F.col("_lines"), F.concat(F.lit(_MARK), F.left("_own", F.lit(n)))), F.lit(False))
     hits = [hit(codes.LEVELS[k]).alias(f"hit_{k}") for k in _LEVELS]
     agrees = F.col("_valid") & codes.agreeing(*parts, F.col("_own"))
-    chapter = codes.prefix(F.get("gold", F.lit(0)), 2)
-    flags = F.struct(F.col("_valid").alias("valid"), agrees.alias("consistent"), *hits, chapter.alias("chapter"))
+    flags = F.struct(F.col("_valid").alias("valid"), agrees.alias("consistent"), *hits)
     return coded.withColumn("flags", flags).drop("_bare", "_golds", "_valid", "_own", "_lines")
 
 
@@ -75,7 +74,8 @@ def parse_totals(preds: DataFrame) -> DataFrame:
 
 def by_chapter(flags: DataFrame) -> DataFrame:
     """AG14: by the chapter of the first gold code, abstentions and bad codes left out."""
-    per = flags.where(~F.col("gold_abstain")).groupBy(F.col("flags.chapter").alias("chapter")).agg(F.count("*").alias("total"), *[(F.count_if(_hit(k)) / F.count("*")).alias(f"{k}_match") for k in _LEVELS])
+    rows = text.settled(flags.where(~F.col("gold_abstain")), _first=codes.cleaned(F.get("gold", F.lit(0))))
+    per = rows.groupBy(F.substring(codes.padded(F.col("_first")), 1, 2).alias("chapter")).agg(F.count("*").alias("total"), *[(F.count_if(_hit(k)) / F.count("*")).alias(f"{k}_match") for k in _LEVELS])
     return per.where("chapter is not null")
 
 

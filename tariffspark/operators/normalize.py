@@ -1,9 +1,13 @@
 """Filters, exact and near-duplicate removal (FL1, FL2, WN1, ND1-ND4).
 
-Near-duplicates are exact: set-similarity join by prefix filtering. Shingles are ordered from rare to
-frequent; two sets of Jaccard t or more share one of their |x| - ceil(t |x|) + 1 rarest, so only these
-are joined, and frequent shingles, which would make quadratic groups, are hardly ever among them. Equal
-sets (copies, and all texts of under three words) are one set before anything is joined.
+Near-duplicates are exact: set-similarity join by prefix filtering. In any one order of all shingles, two
+sets of Jaccard t or more share m of their |x| - ceil(t |x|) + m first, so only these are joined and pairs
+that share fewer are dropped; what is left is compared whole. The order is that of the hashes, with frequent
+shingles, which would make quadratic groups, at the end. Which are frequent is counted for hashes below zero,
+since the first shingles of a set are hardly ever others, and marked in bits of fixed number: a shingle that
+is marked by chance, or frequent and not marked, costs time and changes no result, as the order is still one
+and the same for all sets. Equal sets (copies, and all texts of under three words) are one set before
+anything is joined.
 """
 
 from __future__ import annotations
@@ -11,12 +15,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tariffspark.functions import codes, text
 
+#: A shingle of more than OFTEN sets is frequent; frequent ones are marked in WORDS times 64 bits. Of every SHARE shingles of a set one more is joined.
+OFTEN, WORDS, SHARE = 32, 1 << 16, 40
+
 
 def valid_codes(items: DataFrame) -> DataFrame:
     return items.where(codes.is_valid(F.col("hts_code"))).withColumn("hts_code", codes.normalized(F.col("hts_code")))
@@ -37,7 +44,7 @@ def near_dedup(items: DataFrame, threshold: float, checkpoint) -> DataFrame:
     """ND3 on items(seq, description): of rows with equal sets the first stays, and of these what greedy keep-first removal leaves."""
     sets = with_shingles(items.select(F.col("seq").alias("id"), "description"), "description").select("id", "sh")
     dropped = greedy_keep(similar_pairs(sets, sets, threshold, same=True), checkpoint).withColumnRenamed("id", "seq")
-    kept = representatives(sets).where("id = rep").select(F.col("id").alias("seq"))
+    kept = first_ids(sets).withColumnRenamed("id", "seq")
     return items.join(kept.join(dropped, "seq", "left_anti"), "seq", "left_semi")
 
 
@@ -52,51 +59,97 @@ def with_shingles(df: DataFrame, description: str, size: int = 3) -> DataFrame:
     return df.withColumn("_w", text.words(F.lower(F.coalesce(F.col(description), F.lit(""))))).withColumn("sh", sh).drop("_w")
 
 
+def _key(sh: Column) -> list[Column]:
+    """128 bits of hash of a sorted set, by which sets are grouped and joined in place of their shingles."""
+    return [F.xxhash64(sh).alias("h"), F.xxhash64(F.lit(1), sh).alias("i")]
+
+
+def _keyed(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.select(*columns, F.sort_array("sh").alias("sh")).select("*", *_key(F.col("sh")))
+
+
 def representatives(rows: DataFrame) -> DataFrame:
     """(id, rep): rows with equal sets have one representative, their least id. However many copies there are, only it is compared."""
-    key = rows.select("id", F.array_sort("sh").alias("sh"))
-    least = key.groupBy("sh").agg(F.min("id").alias("rep"))
-    return key.join(least, "sh").select("id", "rep")
+    key = _keyed(rows, "id").drop("sh")
+    return key.join(key.groupBy("h", "i").agg(F.min("id").alias("rep")), ["h", "i"]).select("id", "rep")
 
 
-def distinct_sets(rows: DataFrame) -> DataFrame:
-    """The rows (id, sh) of least id among those with equal sets."""
-    return rows.groupBy(F.array_sort("sh").alias("sh")).agg(F.min("id").alias("id")).select("id", "sh")
+def first_ids(rows: DataFrame) -> DataFrame:
+    """(id): the least id among those of rows(id, sh) with equal sets."""
+    return _keyed(rows, "id").groupBy("h", "i").agg(F.min("id").alias("id")).select("id")
+
+
+def _distinct_sets(rows: DataFrame, *by: str) -> DataFrame:
+    """(h, i, *by, id, sh, docs): each distinct set of rows(id, sh, *by) under its least id, with its number of rows.
+
+    Every reader of it asks for all columns (hence the filter, which is always true): else the optimizer prunes them
+    differently for each, and the sets are shuffled once for every reader instead of once.
+    """
+    one = _keyed(rows, "id", *by).groupBy("h", "i", *by).agg(F.min(F.struct("id", "sh")).alias("d"), F.count("*").alias("docs")).where("docs > 0")
+    return one.select("h", "i", *by, "d.id", "d.sh", "docs")
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, same: bool) -> DataFrame:
+def _frequent(sets: DataFrame, often: int) -> DataFrame:
+    """One row of WORDS times 64 bits, in which every shingle of negative hash is marked that more than `often` sets hold."""
+    often_held = sets.select(F.explode("sh").alias("s")).where("s < 0").groupBy("s").agg(F.count("*").alias("df")).where(F.col("df") > often)
+    words = often_held.groupBy(_word(F.col("s")).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("bits"))
+    all_words = sets.sparkSession.range(WORDS).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("bits")).union(words).groupBy("w").agg(F.bit_or("bits").alias("bits"))
+    return all_words.agg(F.transform(F.sort_array(F.collect_list(F.struct("w", "bits"))), lambda x: x["bits"]).alias("marks"))
+
+
+def _word(s: Column) -> Column:
+    return F.shiftrightunsigned(s, 6).bitwiseAND(WORDS - 1).cast("int")
+
+
+def _first(n: Column, threshold: float) -> Column:
+    """How many of a set's n shingles are joined: what any similar set needs, and one for every SHARE more."""
+    return n - F.ceil(n * threshold - 1e-9).cast("int") + F.floor(n / SHARE).cast("int") + 1
+
+
+def _close(sets: DataFrame, threshold: float, often: int, *by: str) -> DataFrame:
+    """(x, y, jaccard): pairs of different rows of _distinct_sets with Jaccard threshold or more, as structs (h, i, *by, id, docs).
+
+    With `side` among `by`, x is of a lesser side than y; else each pair comes once.
+    """
+    key = ["h", "i", *by]
+    # every row is copied once with the marks, which therefore are few
+    held = sets.select(*key, "sh", _frequent(sets, often).scalar().alias("marks"))
+    marked = F.filter("sh", lambda s: (s < 0) & (F.getbit(F.get("marks", _word(s)), s.bitwiseAND(63).cast("int")) == 1))
+    known = text.settled(held, marked=marked)
+    order = F.concat(F.array_except("sh", "marked"), F.col("marked"))
+    n = F.size("sh")
+    first = known.select(*key, n.alias("n"), F.explode(F.slice(order, F.lit(1), _first(n, threshold))).alias("s"))
+    x, y = (first.select("s", *[F.col(c).alias(f"{c}_{side}") for c in [*key, "n"]]) for side in "xy")
+    once = F.col("side_x") < F.col("side_y") if "side" in by else (F.col("h_x") < F.col("h_y")) | ((F.col("h_x") == F.col("h_y")) & (F.col("i_x") < F.col("i_y")))
+    fits = F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * threshold - 1e-9
+    ends = [f"{c}_{side}" for side in "xy" for c in key]
+    shared = x.join(y, "s").where(once & fits).groupBy(*ends).agg(F.count("*").alias("m"), F.min("n_x").alias("n_x"), F.min("n_y").alias("n_y"))
+    # of the `meet` shingles that a pair has to share, all but those after the first are among the first, on either side
+    meet = F.ceil((F.col("n_x") + F.col("n_y")) * (threshold / (1 + threshold)) - 1e-9)
+    among = F.least(*[_first(F.col(n), threshold) - F.col(n) + meet for n in ("n_x", "n_y")])
+    pairs = shared.where(F.col("m") >= among).select(*ends)
+    for side in "xy":
+        own = sets.select(*[F.col(c).alias(f"{c}_{side}") for c in key], F.struct(*key, "id", "docs").alias(side), F.col("sh").alias(f"sh_{side}"))
+        pairs = pairs.join(own, [f"{c}_{side}" for c in key])
+    both = F.size(F.array_intersect("sh_x", "sh_y"))
+    return pairs.select("x", "y", (both / (F.size("sh_x") + F.size("sh_y") - both)).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-12)
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, same: bool, often: int = OFTEN) -> DataFrame:
     """ND2: (a, b, jaccard) between distinct sets of left(id, sh) and right(id, sh), each under its least id; a < b if both are the same table."""
-    left = distinct_sets(left)
-    right = left if same else distinct_sets(right)
-    # explode_outer: the filter that the optimizer derives from explode would be pushed below the words' column and split texts anew for each shingle
-    both = left if same else left.union(right)
-    freq = both.select(F.explode_outer("sh").alias("s")).groupBy("s").agg(F.count("*").alias("df"))
-
-    def rare(df: DataFrame) -> DataFrame:
-        order = df.select("id", F.size("sh").alias("n"), F.explode_outer("sh").alias("s")).join(freq, "s").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
-        keep = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
-        return order.select("id", "n", F.posexplode(F.slice("o", F.lit(1), keep)).alias("place", "x")).select("id", "n", "place", F.col("x.s").alias("s"))
-
-    a, b = rare(left).toDF("a", "na", "ia", "s"), rare(right).toDF("b", "nb", "ib", "s")
-    fits = (F.least("na", "nb") >= F.greatest("na", "nb") * threshold - 1e-9) & ((F.col("a") < F.col("b")) if same else F.lit(True))
-    # positional filter: all that two sets can share from their first common shingle on; at later ones it is less, so a pair stands or falls with its first
-    fits &= F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= (F.col("na") + F.col("nb")) * (threshold / (1 + threshold)) - 1e-9
-    pairs = a.join(b, "s").where(fits).select("a", "b").distinct()
-    full = pairs.join(left.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a").join(right.select(F.col("id").alias("b"), F.col("sh").alias("sb")), "b")
-    meet = F.size(F.array_intersect("sa", "sb"))
-    return full.select("a", "b", (meet / (F.size("sa") + F.size("sb") - meet)).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-12)
+    if same:
+        near = _close(_distinct_sets(left), threshold, often)
+        return near.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), "jaccard")
+    rows = left.select("id", "sh", F.lit(0).alias("side")).union(right.select("id", "sh", F.lit(1).alias("side")))
+    return _close(_distinct_sets(rows, "side"), threshold, often, "side").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "jaccard")
 
 
 def leakage(rows: DataFrame, threshold: float = 0.85) -> DataFrame:
     """ND4: (kind, n): rows(id, sh, split) of valid and of test with a similar row in train; a kind without any is left out."""
-    train = rows.where("split = 'train'")
-    out = None
-    for name in ("valid", "test"):
-        held = rows.where(F.col("split") == name)
-        hit = similar_pairs(train, held, threshold, same=False).select(F.col("b").alias("rep")).distinct()
-        one = representatives(held).join(hit, "rep", "left_semi").agg(F.lit(f"{name}_vs_train").alias("kind"), F.count("*").alias("n"))
-        out = one if out is None else out.union(one)
-    return out.where("n > 0")
+    side = F.when(F.col("split") == "train", 0).when(F.col("split").isin("valid", "test"), 1)
+    sets = _distinct_sets(rows.withColumn("side", side).where("side is not null"), "side", "split")
+    hit = _close(sets, threshold, OFTEN, "side", "split").select("y").distinct()
+    return hit.groupBy(F.concat("y.split", F.lit("_vs_train")).alias("kind")).agg(F.sum("y.docs").alias("n"))
 
 
 #: Components of so many pairs are settled by one task; greater ones in rounds, in all tasks.

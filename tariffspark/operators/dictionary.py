@@ -30,16 +30,27 @@ def _key(gram: Column) -> Column:
     return F.struct(F.xxhash64(gram).alias("h"), F.xxhash64(F.lit(1), gram).alias("i"))
 
 
+def _solid(token: Column) -> Column:
+    """Whether a token is a run of word characters, by its first one; there may be none."""
+    known = F.coalesce(token, F.lit(" "))
+    return ((known >= "0") & (known < ":")) | ((known >= "a") & (known < "{")) | known.startswith("_")
+
+
 def _border(i: Column) -> Column:
     """Whether one of the tokens before and at place i is a word and the other is not, or is none."""
-    word = lambda k: F.coalesce(F.get("solid", k), F.lit(False))
-    return word(i - 1) != word(i)
+    return _solid(F.get("words", i - 1)) != _solid(F.get("words", i))
+
 
+def _grams(texts: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(seq, place, size, key): the n-grams from border to border, of all `lengths` that terms have.
 
-def _grams(i: Column) -> Column:
-    """array(struct(place, size, key)): the n-grams from border i to another border, for all lengths that terms have."""
-    ends = F.filter("lengths", lambda n: _border(i + n))
-    return F.transform(ends, lambda n: F.struct(i.alias("place"), n.alias("size"), _key(F.array_join(F.slice("words", i + 1, n), "")).alias("key")))
+    Rows of places and not lambdas over arrays: all steps are compiled together, and the words are not copied with a row.
+    The outer generators have no filter that the optimizer derives from them, which would cut the texts anew.
+    """
+    cut = texts.select("seq", _tokens(F.col("description")).alias("words")).crossJoin(lengths)
+    starts = cut.select("seq", "words", "lengths", F.posexplode_outer("words").alias("place", "token")).where(_border(F.col("place")))
+    sized = starts.select("seq", "words", "place", F.explode_outer("lengths").alias("size")).where(_border(F.col("place") + F.col("size")))
+    return sized.select("seq", "place", "size", _key(F.array_join(F.slice("words", F.col("place") + 1, F.col("size")), "")).alias("key"))
 
 
 def terms_of(glossary: DataFrame) -> DataFrame:
@@ -56,10 +67,7 @@ def matches(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """
     dealt = terms.select(_key(F.col("term")).alias("key"), "term", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))).alias("part"))
     lengths = terms.select(F.size(_tokens(F.col("term"))).alias("n")).agg(F.collect_set("n").alias("lengths"))
-    cut = texts.select("seq", _tokens(F.col("description")).alias("words")).crossJoin(lengths)
-    cut = cut.withColumn("solid", F.transform("words", lambda w: w.rlike("^[a-z0-9_]")))
-    starts = F.filter(F.sequence(F.lit(0), F.size("words")), _border)
-    grams = cut.select("seq", F.explode(F.flatten(F.transform(starts, _grams))).alias("g")).select("seq", "g.*", F.pmod(F.xxhash64("seq"), F.lit(DEALT)).cast("int").alias("part"))
+    grams = _grams(texts, lengths).withColumn("part", F.pmod(F.xxhash64("seq"), F.lit(DEALT)).cast("int"))
     longest_first = F.struct("place", (-F.col("size")).alias("less"), "term")
     hits = grams.join(dealt, ["key", "part"]).groupBy("seq").agg(F.array_sort(F.collect_list(longest_first)).alias("hits"))
     start = F.struct(F.lit(0).alias("free"), F.array().cast("array<string>").alias("found"))

@@ -47,3 +47,12 @@ def test_many_terms_are_joined(spark):
         second = [] if k % 3 == 0 else [f"part {k}"]
         want[k] = list(dict.fromkeys(first + second))
     assert found == {k: w for k, w in want.items() if w}
+
+
+def test_words_are_met_in_compiled_code(spark):
+    """No lambda, which would be interpreted for every word of a text, stands below the join with the terms."""
+    items = spark.createDataFrame([(k, "a Steel bolt, of steel") for k in range(20)], "seq long, description string")
+    found = dictionary.matches(items, dictionary.terms_of(spark.createDataFrame([("steel",), ("steel bolt",)], "term string")))
+    assert {tuple(r.found) for r in found.collect()} == {("steel bolt", "steel")}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "xxhash64" in plan and not [line for line in plan[plan.index("Join") :].splitlines() if "lambda" in line]

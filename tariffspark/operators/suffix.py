@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffspark.functions import codes, text
 
+DEALT = 8
+
 
 def index(rows: DataFrame, code: str = "gold_code", abstain: str = "gold_abstain") -> DataFrame:
     """AG10: (code, n) over valid codes of rows that are no abstention."""
@@ -46,19 +50,28 @@ def meta(idx: DataFrame) -> DataFrame:
     return out.select("n_codes", F.col("prefixes").alias("n_prefixes"), "max_children", F.aggregate("hist", start, step, lambda s: s["k"]).alias("median_children"))
 
 
-def complete(preds: DataFrame, idx: DataFrame) -> DataFrame:
-    """Reason and code after completion for each prediction (pred, pred_abstain). The index is joined twice: full code, prefix."""
-    best = idx.groupBy(F.substring("code", 1, 8).alias("prefix")).agg(F.max_by("code", F.struct("n", (F.lit(10_000_000_000) - F.col("code").cast("long")).alias("low"))).alias("best"))
+def complete(preds: DataFrame, idx: DataFrame, spread: Sequence[str] | None = None) -> DataFrame:
+    """Reason and code after completion for each prediction (pred, pred_abstain), by one join with the codes of each prefix.
+
+    Rows without a code to look up go to partitions by the hash of their columns `spread` (all without maps, if none are
+    named), and those of a frequent prefix to DEALT of them, to which the index is copied: no task gets all of either.
+    """
+    by = spread or [f.name for f in preds.schema if "map<" not in f.dataType.simpleString()]
+    listed = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("neg"), "code")))["code"]  # at most 100 codes, most frequent first
+    known = idx.groupBy(F.substring("code", 1, 8).alias("eight")).agg(listed.alias("codes")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)).cast("array<long>")))
     bare = F.btrim(F.replace(F.replace("pred", F.lit("."), F.lit("")), F.lit("-"), F.lit("")))
-    rows = text.settled(preds, full=F.rpad(bare, 10, "0")).withColumn("eight", F.substring("full", 1, 8))
-    rows = rows.join(idx.select(F.col("code").alias("full"), F.lit(True).alias("known")), "full", "left").join(best.withColumnRenamed("prefix", "eight"), "eight", "left")
+    asked = ~F.coalesce("pred_abstain", F.lit(False)) & text.present(F.col("pred"))
+    rows = text.settled(preds, full=F.when(asked, F.rpad(bare, 10, "0")), dealt=F.xxhash64(*by))
+    rows = rows.withColumn("eight", F.substring("full", 1, 8)).withColumn("part", F.when(F.col("eight").isNull(), F.col("dealt")).otherwise(F.pmod("dealt", F.lit(DEALT))))
+    best = F.get("codes", F.lit(0))
+    rows = rows.join(known, ["eight", "part"], "left").withColumns({"known": F.array_contains("codes", F.col("full")), "best": best})
     reason = (
         F.when(F.col("pred_abstain"), "skipped_abstain").when(F.coalesce("pred", F.lit("")) == "", "skipped_no_code").when(F.col("known"), "valid")
         .when(F.col("best").isNull(), "no_8digit_match").when(F.col("best") == F.col("full"), "no_change_possible").otherwise("completed")
     )
     out = rows.withColumn("reason", reason)
     dotted = F.concat_ws(".", F.substring("best", 1, 4), F.substring("best", 5, 2), F.substring("best", 7, 4))  # codes of the index have 10 digits
-    return out.withColumn("pred_after", F.when(F.col("reason") == "completed", dotted).otherwise(F.col("pred"))).drop("known", "best", "full", "eight")
+    return out.withColumn("pred_after", F.when(F.col("reason") == "completed", dotted).otherwise(F.col("pred"))).drop("known", "best", "full", "eight", "codes", "part", "dealt")
 
 
 def reasons(done: DataFrame) -> DataFrame:

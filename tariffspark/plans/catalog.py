@@ -179,13 +179,13 @@ done as (select p.*, case when pred_abstain then 'skipped_abstain' when pred is
 @query(f"{_DONE} select l_orderkey, l_linenumber, l_partkey, reason, case when reason = 'completed' then substr(best,1,4)||'.'||substr(best,5,2)||'.'||substr(best,7,4) else pred end as pred_after from done")
 def suffix_apply(spark, sf_dir):
     p = preds(spark, sf_dir)
-    return suffix.complete(p, suffix.index(p)).select("l_orderkey", "l_linenumber", "l_partkey", "reason", "pred_after")
+    return suffix.complete(p, suffix.index(p), ("l_orderkey", "l_linenumber")).select("l_orderkey", "l_linenumber", "l_partkey", "reason", "pred_after")
 
 
 @query(f"{_DONE} select reason, count(*) as n from done group by 1")
 def suffix_reasons(spark, sf_dir):
     p = preds(spark, sf_dir)
-    return suffix.reasons(suffix.complete(p, suffix.index(p)))
+    return suffix.reasons(suffix.complete(p, suffix.index(p), ("l_orderkey", "l_linenumber")))
 
 
 @query(f"with items as ({ITEMS}) select seq, {_N} as normalized, hts_code as dotted, substr({_N},1,2) as chapter, substr({_N},1,4) as heading, substr({_N},1,6) as subheading from items")

@@ -1,12 +1,14 @@
 """Filters, exact and near-duplicate removal (FL1, FL2, WN1, ND1-ND4).
 
 Near-duplicates are exact: set-similarity join by prefix filtering. In any one order of all shingles, two
-sets of Jaccard t or more share m of their |x| - ceil(t |x|) + m first, so only these are joined and pairs
-that share fewer are dropped; what is left is compared whole. The order is that of the hashes, with frequent
+sets of Jaccard t or more share one of their |x| - ceil(t |x|) + 1 first, and m of m - 1 more, so only these are
+joined, a pair is sent on once for a run of them, and pairs that share fewer are dropped; what is left is compared
+whole. The order is that of the hashes, with frequent
 shingles, which would make quadratic groups, at the end. Which are frequent is counted for hashes below zero,
 since the first shingles of a set are hardly ever others, and marked in bits of fixed number: a shingle that
 is marked by chance, or frequent and not marked, costs time and changes no result, as the order is still one
-and the same for all sets. Equal sets (copies, and all texts of under three words) are one set before
+and the same for all sets. Greedy removal compares with sets that stay for certain first, and only what is still open
+with all. Equal sets (copies, and all texts of under three words) are one set before
 anything is joined.
 """
 
@@ -21,7 +23,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tariffspark.functions import codes, text
 
-#: A shingle of more than OFTEN sets is frequent; frequent ones are marked in WORDS times 64 bits. Of every SHARE shingles of a set one more is joined.
+#: A shingle of more than OFTEN sets is frequent; frequent ones are marked in WORDS times 64 bits. Of every SHARE shingles of a set one more has to be shared.
 OFTEN, WORDS, SHARE = 32, 1 << 16, 40
 
 
@@ -43,7 +45,7 @@ def exact_dedup(items: DataFrame) -> DataFrame:
 def near_dedup(items: DataFrame, threshold: float, checkpoint) -> DataFrame:
     """ND3 on items(seq, description): of rows with equal sets the first stays, and of these what greedy keep-first removal leaves."""
     sets = with_shingles(items.select(F.col("seq").alias("id"), "description"), "description").select("id", "sh")
-    dropped = greedy_keep(similar_pairs(sets, sets, threshold, same=True), checkpoint).withColumnRenamed("id", "seq")
+    dropped = greedy_keep(decisive_pairs(sets, threshold), checkpoint).withColumnRenamed("id", "seq")
     kept = first_ids(sets).withColumnRenamed("id", "seq")
     return items.join(kept.join(dropped, "seq", "left_anti"), "seq", "left_semi")
 
@@ -102,39 +104,67 @@ def _word(s: Column) -> Column:
 
 
 def _first(n: Column, threshold: float) -> Column:
-    """How many of a set's n shingles are joined: what any similar set needs, and one for every SHARE more."""
-    return n - F.ceil(n * threshold - 1e-9).cast("int") + F.floor(n / SHARE).cast("int") + 1
+    """How many of a set's n shingles are joined: any similar set has one of them."""
+    return n - F.ceil(n * threshold - 1e-9).cast("int") + 1
 
 
-def _close(sets: DataFrame, threshold: float, often: int, *by: str) -> DataFrame:
-    """(x, y, jaccard): pairs of different rows of _distinct_sets with Jaccard threshold or more, as structs (h, i, *by, id, docs).
+def _ends(key: list[str], side: str) -> list[str]:
+    return [f"{c}_{side}" for c in key]
 
-    With `side` among `by`, x is of a lesser side than y; else each pair comes once.
+
+def _candidates(sets: DataFrame, threshold: float, often: int, *by: str) -> DataFrame:
+    """(h_x, i_x, *by_x, h_y, i_y, *by_y, at): pairs of rows of _distinct_sets that may be similar, each once; at: how early they meet.
+
+    A pair is sent on for every run of shingles that it shares one after the other, not for every shingle: one is passed over if
+    that before it is shared too. So the first shared one is always sent, and only there the places have to leave room for what
+    must be shared. Runs of one (the next ones differ in eight bits of theirs) count as one, others as any number.
     """
     key = ["h", "i", *by]
     # every row is copied once with the marks, which therefore are few
     held = sets.select(*key, "sh", _frequent(sets, often).scalar().alias("marks"))
     marked = F.filter("sh", lambda s: (s < 0) & (F.getbit(F.get("marks", _word(s)), s.bitwiseAND(63).cast("int")) == 1))
     known = text.settled(held, marked=marked)
-    order = F.concat(F.array_except("sh", "marked"), F.col("marked"))
     n = F.size("sh")
-    first = known.select(*key, n.alias("n"), F.explode(F.slice(order, F.lit(1), _first(n, threshold))).alias("s"))
-    x, y = (first.select("s", *[F.col(c).alias(f"{c}_{side}") for c in [*key, "n"]]) for side in "xy")
+    begun = text.settled(known, own=F.slice(F.concat(F.array_except("sh", "marked"), F.col("marked")), F.lit(1), _first(n, threshold)))
+    spread = begun.select(*key, n.cast("long").alias("n"), "own", F.posexplode("own").alias("p", "s"))
+    # the size, the place and eight bits of the next shingle in one number
+    place = F.shiftleft("n", 36).bitwiseOR(F.shiftleft(F.col("p").cast("long"), 8)).bitwiseOR(F.coalesce(F.get("own", F.col("p") + 1).bitwiseAND(255), F.lit(0)))
+    first = spread.select(*key, "s", place.alias("place"), F.get("own", F.col("p") - 1).alias("prev"))
+    x, y = (first.select("s", *[F.col(c).alias(f"{c}_{side}") for c in [*key, "place", "prev"]]) for side in "xy")
     once = F.col("side_x") < F.col("side_y") if "side" in by else (F.col("h_x") < F.col("h_y")) | ((F.col("h_x") == F.col("h_y")) & (F.col("i_x") < F.col("i_y")))
-    fits = F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * threshold - 1e-9
-    ends = [f"{c}_{side}" for side in "xy" for c in key]
-    shared = x.join(y, "s").where(once & fits).groupBy(*ends).agg(F.count("*").alias("m"), F.min("n_x").alias("n_x"), F.min("n_y").alias("n_y"))
-    # of the `meet` shingles that a pair has to share, all but those after the first are among the first, on either side
-    meet = F.ceil((F.col("n_x") + F.col("n_y")) * (threshold / (1 + threshold)) - 1e-9)
-    among = F.least(*[_first(F.col(n), threshold) - F.col(n) + meet for n in ("n_x", "n_y")])
-    pairs = shared.where(F.col("m") >= among).select(*ends)
+    n_x, n_y = (F.shiftrightunsigned(f"place_{side}", 36) for side in "xy")
+    p_x, p_y = (F.shiftrightunsigned(f"place_{side}", 8).bitwiseAND((1 << 28) - 1) for side in "xy")
+    fits = F.least(n_x, n_y) >= F.greatest(n_x, n_y) * threshold - 1e-9
+    begins = F.coalesce(F.col("prev_x") != F.col("prev_y"), F.lit(True))
+    # of the `meet` shingles that a pair has to share, all but those after the first `zone` are among these, on either side
+    meet = F.ceil((n_x + n_y) * (threshold / (1 + threshold)) - 1e-9)
+    zones = [F.least(_first(n, threshold), n - meet + 1 + F.floor(F.least(n_x, n_y) / SHARE)) for n in (n_x, n_y)]
+    need = F.least(*[zone - n + meet for zone, n in zip(zones, (n_x, n_y), strict=True)])
+    run = F.when(F.col("place_x").bitwiseXOR(F.col("place_y")).bitwiseAND(255) == 0, 1 << 28).otherwise(1)
+    at = F.when((n_x - p_x >= meet) & (n_y - p_y >= meet), p_x + p_y)
+    runs = x.join(y, "s").where(once & fits & begins & (p_x < zones[0]) & (p_y < zones[1])).groupBy(*_ends(key, "x"), *_ends(key, "y"))
+    return runs.agg(F.sum(run).alias("m"), F.min(need).alias("need"), F.min(at).alias("at")).where("m >= need and at is not null").select(*_ends(key, "x"), *_ends(key, "y"), "at")
+
+
+def _compared(sets: DataFrame, pairs: DataFrame, threshold: float, *by: str) -> DataFrame:
+    """(x, y, jaccard): the pairs with Jaccard threshold or more, as structs (h, i, *by, id, docs)."""
+    key = ["h", "i", *by]
+    pairs = pairs.select(*_ends(key, "x"), *_ends(key, "y"))
     for side in "xy":
         own = sets.select(*[F.col(c).alias(f"{c}_{side}") for c in key], F.struct(*key, "id", "docs").alias(side), F.col("sh").alias(f"sh_{side}"))
-        pairs = pairs.join(own, [f"{c}_{side}" for c in key])
+        pairs = pairs.join(own, _ends(key, side))
     both = F.size(F.array_intersect("sh_x", "sh_y"))
     return pairs.select("x", "y", (both / (F.size("sh_x") + F.size("sh_y") - both)).alias("jaccard")).where(F.col("jaccard") >= threshold - 1e-12)
 
 
+def _close(sets: DataFrame, threshold: float, often: int, *by: str) -> DataFrame:
+    """All similar pairs of different rows of _distinct_sets, as _compared gives them.
+
+    With `side` among `by`, x is of a lesser side than y; else each pair comes once.
+    """
+    return _compared(sets, _candidates(sets, threshold, often, *by), threshold, *by)
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, same: bool, often: int = OFTEN) -> DataFrame:
     """ND2: (a, b, jaccard) between distinct sets of left(id, sh) and right(id, sh), each under its least id; a < b if both are the same table."""
     if same:
@@ -144,6 +174,31 @@ def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, same: boo
     return _close(_distinct_sets(rows, "side"), threshold, often, "side").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "jaccard")
 
 
+def decisive_pairs(rows: DataFrame, threshold: float, often: int = OFTEN) -> DataFrame:
+    """(a, b): of the similar pairs of similar_pairs(rows, rows), enough for greedy keep-first removal.
+
+    What may only be like later sets stays for certain, so what is like it goes, and no other pair of that matters. Among many
+    near copies this leaves the pairs of one with all others in place of all pairs.
+    """
+    sets = _distinct_sets(rows)
+    pairs = _candidates(sets, threshold, often).drop("at")
+    for side in "xy":
+        pairs = pairs.join(sets.select(*[F.col(c).alias(f"{c}_{side}") for c in ("h", "i", "id")]), _ends(["h", "i"], side))
+    x, y = (F.struct(*[F.col(f"{c}_{side}").alias(c) for c in ("h", "i")]) for side in "xy")
+    ahead = F.col("id_x") < F.col("id_y")
+    pairs = pairs.select(F.when(ahead, x).otherwise(y).alias("x"), F.when(ahead, y).otherwise(x).alias("y"))
+    pairs = pairs.select(*[F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "xy" for c in ("h", "i")])
+    later = pairs.select(*_ends(["h", "i"], "y")).distinct().toDF("h_x", "i_x").withColumn("later", F.lit(True))
+    known = pairs.join(later, ["h_x", "i_x"], "left")
+    found = _compared(sets, known.where("later is null"), threshold).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), "y.h", "y.i")
+    # both ids are asked for, in a way that filters no set by them: so sets are sent once to what is compared
+    gone = found.where(~F.col("a").eqNullSafe(F.col("b"))).select("h", "i").distinct()
+    rest = known.where("later")
+    for side in "xy":
+        rest = rest.join(gone.toDF(*_ends(["h", "i"], side)), _ends(["h", "i"], side), "left_anti")
+    return found.select("a", "b").union(_compared(sets, rest, threshold).select("x.id", "y.id"))
+
+
 def leakage(rows: DataFrame, threshold: float = 0.85) -> DataFrame:
     """ND4: (kind, n): rows(id, sh, split) of valid and of test with a similar row in train; a kind without any is left out."""
     side = F.when(F.col("split") == "train", 0).when(F.col("split").isin("valid", "test"), 1)

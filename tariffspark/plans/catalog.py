@@ -622,7 +622,7 @@ gone as (select unnest(dropped) as id from state where k = (select max(k) from s
 def fuzzy_dedup(spark, sf_dir):
     """Greedy keep-first removal, in SQL one row after another. Copies go with their first one."""
     s = _sets(spark, sf_dir)
-    dropped = normalize.greedy_keep(normalize.similar_pairs(s, s, 0.8, same=True), _checkpoint(spark))
+    dropped = normalize.greedy_keep(normalize.decisive_pairs(s, 0.8), _checkpoint(spark))
     kept = normalize.first_ids(s).withColumnRenamed("id", "doc_id")
     return kept.join(dropped.withColumnRenamed("id", "doc_id"), "doc_id", "left_anti")
 

@@ -7,8 +7,8 @@ whole. The order is that of the hashes, with frequent
 shingles, which would make quadratic groups, at the end. Which are frequent is counted for hashes below zero,
 since the first shingles of a set are hardly ever others, and marked in bits of fixed number: a shingle that
 is marked by chance, or frequent and not marked, costs time and changes no result, as the order is still one
-and the same for all sets. Greedy removal compares with sets that stay for certain first, and only what is still open
-with all. Equal sets (copies, and all texts of under three words) are one set before
+and the same for all sets. Greedy removal and leakage compare each set with one that decides first, and only
+those still open with all. Equal sets (copies, and all texts of under three words) are one set before
 anything is joined.
 """
 
@@ -200,10 +200,19 @@ def decisive_pairs(rows: DataFrame, threshold: float, often: int = OFTEN) -> Dat
 
 
 def leakage(rows: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """ND4: (kind, n): rows(id, sh, split) of valid and of test with a similar row in train; a kind without any is left out."""
+    """ND4: (kind, n): rows(id, sh, split) of valid and of test with a similar row in train; a kind without any is left out.
+
+    Each set is compared with the one of train that it meets first, and only without success with all others.
+    """
     side = F.when(F.col("split") == "train", 0).when(F.col("split").isin("valid", "test"), 1)
-    sets = _distinct_sets(rows.withColumn("side", side).where("side is not null"), "side", "split")
-    hit = _close(sets, threshold, OFTEN, "side", "split").select("y").distinct()
+    by = ["side", "split"]
+    sets = _distinct_sets(rows.withColumn("side", side).where("side is not null"), *by)
+    pairs = _candidates(sets, threshold, OFTEN, *by)
+    x, y = (_ends(["h", "i", *by], side) for side in "xy")
+    first = pairs.groupBy(*y).agg(F.min(F.struct("at", *x)).alias("x")).select(*[F.col(f"x.{c}").alias(c) for c in x], *y)
+    hit = _compared(sets, first, threshold, *by).select("y").distinct()
+    rest = pairs.join(hit.select(*[F.col(f"y.{c}").alias(f"{c}_y") for c in ("h", "i", *by)]), y, "left_anti")
+    hit = hit.union(_compared(sets, rest, threshold, *by).select("y").distinct())
     return hit.groupBy(F.concat("y.split", F.lit("_vs_train")).alias("kind")).agg(F.sum("y.docs").alias("n"))
 
 

@@ -106,7 +106,7 @@ def test_decisive_pairs(spark, threshold):
     assert {r.id for r in normalize.greedy_keep(pairs, _checkpoint(spark)).collect()} == gone and len(gone) > 20
 
 
-@pytest.mark.parametrize("name", ["fuzzy"])
+@pytest.mark.parametrize("name", ["fuzzy", "leakage"])
 def test_near_copies_do_not_multiply(spark, name):
     """Near copies of one text: four times as many shuffle at most six times the bytes, not sixteen times."""
     rng = random.Random(6)

@@ -114,7 +114,7 @@ class Codec:
         self.chunks = TwoGenerations(cache, LONGEST_KEPT)
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """word -> its ids as little-endian uint32."""
+        """word -> its ids as little-endian uint32. A word that was a chunk by itself before is not contracted again."""
         out: dict[str, bytes] = {}
         batch, size = [], 0
         for word in words:
@@ -123,6 +123,10 @@ class Codec:
             if rank is not None:
                 out[word] = rank.to_bytes(4, "little")
                 continue
+            known = self.chunks.get(word)
+            if known is not None and self.words_of(word) == [word]:
+                out[word] = known[0] if self.decoded else known
+                continue
             batch.append((word, raw))
             size += len(raw)
             if size >= QUERY_BYTES:

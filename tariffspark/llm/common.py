@@ -98,6 +98,10 @@ class TwoGenerations:
     def __init__(self, limit: int, longest: int):
         self.limit, self.longest, self.new, self.old, self.size = limit, longest, {}, {}, 0
 
+    def get(self, key: str):
+        found = self.new.get(key)
+        return self.old.get(key) if found is None else found
+
     def resolve(self, parts: list[list[str]], make: Callable[[list[str]], dict]) -> list[list]:
         """The value of every part; make gives those of the parts that aren't held. Keys over `longest` aren't kept."""
         get = self.new.get

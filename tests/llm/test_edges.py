@@ -115,3 +115,17 @@ def test_pieces_decode(spark):
     coded = piece_codec.encode(documents(spark, TEXTS), tokenizers.path("piece_bpe_32k.model"))
     back = piece_codec.decode(coded, tokenizers.path("piece_bpe_32k.model")).collect()
     assert sorted((str(r.doc_id), r.decoded) for r in back) == sorted((str(i), t or "") for i, t in TEXTS)
+
+
+@pytest.mark.parametrize("decoded", [False, True])
+def test_byte_bpe_reuses_words_that_were_chunks(decoded):
+    """A word that was a chunk by itself is not contracted again where punctuation follows; its ids are those of a new codec."""
+    make = lambda: byte_bpe.Codec(tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, decoded)
+    used, contracted = make(), []
+    plain = used._contract
+    used._contract = lambda words, raws: contracted.extend(words) or plain(words, raws)
+    used.encode(["zqxv zqxvkjw ézqxvkjw  \t zqxvkjw"])
+    assert " zqxvkjw" in contracted
+    contracted.clear()
+    later = ["zqxv zqxvkjw, zqxvkjw. zqxvkjw;\t \n  zqxvkjw! ézqxvkjw?"]
+    assert used.encode(later) == make().encode(later) and " zqxvkjw" not in contracted
